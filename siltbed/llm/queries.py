@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import exact_dedup, mixing
+from siltbed.llm import exact_dedup, langid, media, mixing, quality
 from siltbed.llm._common import table
 
 
@@ -16,12 +16,43 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = media.image_features(media.with_images(table(spark, sf_dir, "documents")))
+    return found.select(
+        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"
+    )
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op7_source_mixing)}
+def remainder(modulus: int):
+    """crc32 of the id as text, modulo; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs.where(remainder(3) != 1))
+    held_out = F.coalesce(remainder(3) == 1, F.lit(False))
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.NeighbourModel:
+    return quality.fit(docs, labels.where(remainder(5) != 0))
+
+
+def op10_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder(5) == 0, F.lit(False))
+    return quality.classify(docs, quality_model(docs, table(spark, sf_dir, "labels"))).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op6_png_media, op7_source_mixing, op8_language_id, op10_quality_neighbours)}
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
