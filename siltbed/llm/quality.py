@@ -4,7 +4,8 @@ Document frequencies of hashed character n-grams are counted over all documents.
 bounded sample of labelled rows (``sample_rows``, taken in hash order): their log-scaled tf-idf rows give a truncated
 singular value basis by subspace iteration. Basis and labelled vectors have fixed sizes, so the broadcast is bounded.
 Every document is projected, its cosines with all labelled vectors are computed in blocks, and its ``neighbours``
-nearest vote with their similarity as weight.
+nearest vote with a power of their similarity as weight. One more coordinate of a vector is the share of words that
+repeat the word before, which counts of n-grams hardly show.
 
 Defined results: a null or empty text, or one without any known n-gram, gets the sample's mean label; without labelled
 rows every score is 0.5; labels that are null are ignored and several labels of one id are averaged; repeated rows get
@@ -13,6 +14,9 @@ equal scores; columns other than id and text never enter a score.
 
 from __future__ import annotations
 
+import operator
+from itertools import islice
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -25,10 +29,23 @@ from siltbed.llm.ngrams import chunked, hashed
 SIZES, BITS = (2, 3), 13
 WIDTH = 1 << BITS
 BLOCK = 256
+#: Length of the coordinate of repetition where every word repeats the one before; a latent-semantic vector has 1.
+AGAIN = 2.0
+#: Power of a similarity that is a neighbour's weight.
+SHARPNESS = 4
+
+
+def unit(rows: np.ndarray) -> np.ndarray:
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+
+
+def repeated_share(text: str) -> float:
+    words = text.split()
+    return sum(map(operator.eq, words, islice(words, 1, None))) / max(1, len(words))
 
 
 def counts_of(texts):
-    """(first, dense rows of n-gram counts) for blocks of texts; case is kept."""
+    """(first, dense rows of n-gram counts, shares of repeated words) for blocks of texts; case is kept."""
     for first, run in chunked(texts, 1 << 19):
         features, starts = hashed(run, SIZES, BITS)
         for low in range(0, len(run), BLOCK):
@@ -36,7 +53,8 @@ def counts_of(texts):
             part = features[:, starts[low] : starts[high]].astype(np.int64)
             row = np.repeat(np.arange(high - low), np.diff(starts[low : high + 1])) * (WIDTH + 1)
             cells = np.bincount((part + row).ravel(), minlength=(high - low) * (WIDTH + 1))
-            yield first + low, cells.reshape(high - low, WIDTH + 1)[:, :WIDTH]
+            again = np.array([repeated_share(t) for t in run[low:high]], np.float32)
+            yield first + low, cells.reshape(high - low, WIDTH + 1)[:, :WIDTH], again
 
 
 class NeighbourModel:
@@ -47,19 +65,18 @@ class NeighbourModel:
 
     def weighted(self, counts: np.ndarray) -> np.ndarray:
         rows = np.log1p(counts.astype(np.float32)) * self.idf
-        return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+        return unit(rows)
 
-    def vectors(self, counts: np.ndarray) -> np.ndarray:
-        out = self.weighted(counts) @ self.basis
-        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+    def vectors(self, counts: np.ndarray, again: np.ndarray) -> np.ndarray:
+        return unit(np.column_stack([unit(self.weighted(counts) @ self.basis), AGAIN * np.sqrt(again)]))
 
     def scores(self, texts) -> np.ndarray:
         out = np.full(len(texts), self.labels.mean() if len(self.labels) else 0.5)
         k = min(self.neighbours, len(self.labels))
-        for first, counts in counts_of(texts) if k else ():
-            cosines = self.vectors(counts) @ self.refs.T
+        for first, counts, again in counts_of(texts) if k else ():
+            cosines = self.vectors(counts, again) @ self.refs.T
             near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-            weight = np.clip(np.take_along_axis(cosines, near, axis=1), 0, None).astype(np.float64)
+            weight = np.clip(np.take_along_axis(cosines, near, axis=1), 0, None).astype(np.float64) ** SHARPNESS
             total = weight.sum(axis=1)
             vote = (weight * self.labels[near]).sum(axis=1) / np.maximum(total, 1e-12)
             known = (counts.sum(axis=1) > 0) & (total > 0)
@@ -75,7 +92,7 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
         total, n = np.zeros(WIDTH, np.int64), 0
         for pdf in batches:
             n += len(pdf)
-            for _, counts in counts_of(list(pdf["text"])):
+            for _, counts, _ in counts_of(list(pdf["text"])):
                 total += (counts > 0).sum(axis=0)
         yield pd.DataFrame({"feature": np.arange(-1, WIDTH), "n": np.concatenate([[n], total])})
 
@@ -106,7 +123,7 @@ def fit(
     label_col: str = "quality",
     sample_rows: int = 4096,
     rank: int = 64,
-    neighbours: int = 25,
+    neighbours: int = 9,
 ) -> NeighbourModel:
     """Fit on at most ``sample_rows`` of ``labels`` (id, label); statistics cover all of ``docs``."""
     present, n_docs = document_frequencies(docs, text_col)
@@ -125,7 +142,7 @@ def fit(
     def sparse(batches):
         for pdf in batches:
             texts = list(pdf["text"])
-            for first, counts in counts_of(texts):
+            for first, counts, again in counts_of(texts):
                 at = [np.flatnonzero(c) for c in counts]
                 part = pdf.iloc[first : first + len(counts)]
                 yield pd.DataFrame(
@@ -134,13 +151,14 @@ def fit(
                         "label": part["label"],
                         "at": [a.astype(np.uint16).tobytes() for a in at],
                         "n": [c[a].astype(np.int32).tobytes() for a, c in zip(at, counts, strict=True)],
+                        "again": again,
                     }
                 )
 
     kind = rows.schema["label_id"].dataType.simpleString()
-    sample = rows.mapInPandas(sparse, f"label_id {kind}, label double, at binary, n binary")
+    sample = rows.mapInPandas(sparse, f"label_id {kind}, label double, at binary, n binary, again float")
     sample = sample.orderBy("label_id").toPandas()  # at most sample_rows sparse rows
-    model = NeighbourModel(idf, np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), neighbours)
+    model = NeighbourModel(idf, np.zeros((WIDTH, 1), np.float32), np.zeros((0, 2), np.float32), np.zeros(0), neighbours)
     if len(sample):
         dense = np.zeros((len(sample), WIDTH), np.float32)
         for i, (at, n) in enumerate(zip(sample["at"], sample["n"], strict=True)):
@@ -148,8 +166,8 @@ def fit(
         for low in range(0, len(dense), BLOCK):
             dense[low : low + BLOCK] = model.weighted(dense[low : low + BLOCK])
         model.basis = basis_of(dense, rank)
-        refs = dense @ model.basis
-        model.refs = refs / np.maximum(np.linalg.norm(refs, axis=1, keepdims=True), 1e-9)
+        again = sample["again"].to_numpy(np.float32)
+        model.refs = unit(np.column_stack([unit(dense @ model.basis), AGAIN * np.sqrt(again)]))
         model.labels = sample["label"].to_numpy(float)
     return model
 
