@@ -8,9 +8,11 @@ import uuid
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Runs of anything but ASCII white space.
@@ -88,5 +90,40 @@ def chained(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mixed(first * np.uint64(0x9E3779B97F4A7C15) + second)
 
 
+ARROW = {
+    "int": pa.int32(),
+    "long": pa.int64(),
+    "double": pa.float64(),
+    "float": pa.float32(),
+    "string": pa.string(),
+    "binary": pa.binary(),
+    "boolean": pa.bool_(),
+    "array<long>": pa.list_(pa.int64()),
+}
+
+
+def scanned(df: DataFrame, column: str, keep: list[str], added: dict[str, str], fn, arrow=ARROW) -> DataFrame:
+    """Columns ``keep`` of ``df``, untouched, and those that ``fn`` makes of a batch of ``column``'s values.
+
+    fn(values) -> lists in the order of ``added`` (name -> type). It may also return, in front of them, the list of row
+    numbers that its rows belong to: then it makes any number of rows from each row.
+    """
+    source = df.select(*[F.col(c) for c in keep], F.col(column).alias("scanned value"))
+    schema = T.StructType(source.schema.fields[:-1] + T.StructType.fromDDL(", ".join(f"{k} {v}" for k, v in added.items())).fields)
+    kinds, n = [arrow[v] for v in added.values()], len(keep)
+
+    def run(batches):
+        for batch in batches:
+            made = list(fn(batch.column(n).to_pylist()))
+            own = batch.columns[:n]
+            if len(made) > len(kinds):
+                rows = pa.array(made.pop(0), pa.int64())
+                own = [c.take(rows) for c in own]
+            made = [pa.array(values, kind) for values, kind in zip(made, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(own + made, names=schema.names)
+
+    return source.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm._common import staged
+from siltbed.llm._common import scanned, staged
 from siltbed.llm.ngrams import chunked, hashed
 
 SIZES, BITS = (1, 2, 3), 16
@@ -86,13 +86,6 @@ def learn(docs: DataFrame, text_col="text", lang_col="lang", smoothing: float =
 
 def identify(docs: DataFrame, model: LanguageModel, id_col="doc_id", text_col="text") -> DataFrame:
     """id, lang_pred, score (the posterior of the predicted language) for each row; only the text is looked at."""
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches):
-        for pdf in batches:
-            names, scores = shared.value.predict(list(pdf["text"]))
-            yield pd.DataFrame({"id": pdf["id"], "lang_pred": names, "score": scores})
-
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInPandas(score, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    added = {"lang_pred": "string", "score": "double"}
+    return scanned(docs, text_col, [id_col], added, lambda texts: shared.value.predict(texts))

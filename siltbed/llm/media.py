@@ -18,9 +18,9 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from siltbed.llm._common import scanned
 
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 WIDTH, CHANNELS = 64, 3
@@ -150,17 +150,12 @@ def low_frequency_hash(samples: np.ndarray) -> str:
 
 def with_images(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes and the text's PNG in the binary column ``media``."""
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
-    def encode(batches):
-        for pdf in batches:
-            sized = [payload_of(t) for t in pdf["text"]]
-            yield pd.DataFrame(
-                {"id": pdf["id"], "n_bytes": [n for n, _ in sized], "media": [encoded(p) for _, p in sized]}
-            )
+    def encode(texts):
+        sized = [payload_of(t) for t in texts]
+        return [n for n, _ in sized], [encoded(p) for _, p in sized]
 
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInPandas(encode, f"id {kind}, n_bytes long, media binary").withColumnRenamed("id", id_col)
+    return scanned(docs, text_col, [id_col], {"n_bytes": "long", "media": "binary"}, encode)
 
 
 FEATURES = {
@@ -195,16 +190,10 @@ def features_of(data: bytes | None) -> tuple:
 
 def image_features(media: DataFrame, media_col: str = "media") -> DataFrame:
     """The other columns of ``media``, and what the files hold when read back (``FEATURES``)."""
-    kept = [f for f in media.schema.fields if f.name != media_col and f.name not in FEATURES]
-    source = media.select(*[f.name for f in kept], F.col(media_col).alias("media"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{k} {v}" for k, v in FEATURES.items()])
-
-    def read(batches):
-        for pdf in batches:
-            rows = [features_of(None if x is None else bytes(x)) for x in pdf.pop("media")]
-            found = pd.DataFrame(rows, columns=list(FEATURES), index=pdf.index)
-            for name, kind in FEATURES.items():
-                found[name] = found[name].astype("Int64" if kind == "long" else object)
-            yield pd.concat([pdf, found], axis=1)
-
-    return source.mapInPandas(read, schema)
+    keep = [c for c in media.columns if c != media_col and c not in FEATURES]
+
+    def read(files):
+        rows = [features_of(x) for x in files]
+        return [[row[i] for row in rows] for i in range(len(FEATURES))]
+
+    return scanned(media, media_col, keep, FEATURES, read)

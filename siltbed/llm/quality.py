@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm._common import staged
+from siltbed.llm._common import scanned, staged
 from siltbed.llm.ngrams import chunked, hashed
 
 SIZES, BITS = (2, 3), 13
@@ -174,15 +174,8 @@ def fit(
 
 def classify(docs: DataFrame, model: NeighbourModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and score for each row."""
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "score": shared.value.scores(list(pdf["text"]))})
-
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInPandas(score, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    return scanned(docs, text_col, [id_col], {"score": "double"}, lambda texts: [shared.value.scores(texts)])
 
 
 def kept(docs: DataFrame, model: NeighbourModel, threshold: float = 0.3, text_col: str = "text") -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import exact_dedup, langid, media, mixing, quality
+from siltbed.llm import exact_dedup, langid, media, mixing, packing, pii, quality, url_filter
 from siltbed.llm._common import table
 
 
@@ -16,6 +17,25 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_grouping_genetic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+#: Fixed values: (host, path, action).
+URL_RULES = [
+    ("com", "/en/", "block"),
+    ("example.com", "/en/7", "allow"),
+    ("net", "/de/", "allow"),
+    ("example.net", "/de/8", "block"),
+    ("org", "/es/", "block"),
+]
+
+
+def op5_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op6_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = media.image_features(media.with_images(table(spark, sf_dir, "documents")))
     return found.select(
@@ -40,6 +60,20 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def listed(spans: str) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.expr(f"concat_ws(',', transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)))")
+
+
+def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents")).withColumn("base", F.expr("filter(spans, s -> not s.added)"))
+    counts = [
+        F.expr(f"cast(size(filter(base, s -> s.kind = '{kind}')) as long) AS n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.NeighbourModel:
     return quality.fit(docs, labels.where(remainder(5) != 0))
 
@@ -52,7 +86,19 @@ def op10_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op6_png_media, op7_source_mixing, op8_language_id, op10_quality_neighbours)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_exact_dedup,
+        op4_grouping_genetic,
+        op5_url_cascade,
+        op6_png_media,
+        op7_source_mixing,
+        op8_language_id,
+        op9_pii_spans,
+        op10_quality_neighbours,
+    )
+}
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -62,6 +108,17 @@ WITH t AS (SELECT doc_id, {LOWERED} AS norm FROM documents),
 g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256
 FROM t JOIN g USING (norm)""",
+    "op5_url_cascade": r"""
+WITH rules(host, path, action) AS (VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'),
+    ('net', '/de/', 'allow'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')),
+p AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+m AS (SELECT page_id, r.host || r.path AS rule, action,
+             row_number() OVER (PARTITION BY page_id ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) AS rank
+      FROM p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
+FROM p LEFT JOIN (SELECT * FROM m WHERE rank = 1) USING (page_id)""",
     "op7_source_mixing": r"""
 WITH t AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
                   md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), md5(text), '')) AS key FROM documents),
