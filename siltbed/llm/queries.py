@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import exact_dedup, langid, media, mixing, packing, pii, quality, url_filter
+from siltbed.llm import exact_dedup, jaccard_join, langid, media, mixing, packing, pii, quality, url_filter
 from siltbed.llm._common import table
 
 
@@ -17,6 +17,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 def op4_grouping_genetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -90,6 +94,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_exact_dedup,
+        op3_jaccard_join,
         op4_grouping_genetic,
         op5_url_cascade,
         op6_png_media,
