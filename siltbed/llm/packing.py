@@ -15,11 +15,12 @@ from __future__ import annotations
 
 import os
 import random
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -41,44 +42,95 @@ MOST_BINS = 1 << 20
 REMEMBERED = 400_000
 
 
+def gathered(flat: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches ``at`` of a flat array one behind the other, and where they end. ends: of the stretches, from 0."""
+    begin, sizes = ends[at], ends[at + 1] - ends[at]
+    to = np.cumsum(sizes)
+    return flat[np.repeat(begin - to + sizes, sizes) + np.arange(int(sizes.sum()))], to
+
+
+class Ragged:
+    """Numbered keys, each with a stretch of ids."""
+
+    def __init__(self):
+        self.numbers: defaultdict = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def unknown(self) -> list:
+        return list(islice(self.numbers, len(self.ends) - 1, None))
+
+    def add(self, flat: np.ndarray, to: np.ndarray) -> None:
+        self.ends = np.concatenate([self.ends, self.ends[-1] + to])
+        self.flat = np.concatenate([self.flat, flat])
+
+
+#: Letters, then ASCII punctuation without the apostrophe: two pre-tokens, whatever stands around them.
+LETTERS_AND_SIGNS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+END_OF_WORD = "</w>"
+
+
 class WordIds:
-    """Ids of texts by a tokenizer whose pre-tokens never reach over ASCII white space: words are looked up."""
+    """Ids of texts by a tokenizer whose pre-tokens never reach over ASCII white space.
+
+    Words are looked up. Those not met before are taken apart into letters and signs where that is safe; parts of
+    letters only are tokenised many at a time and told apart by the end-of-word mark of their last id.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self):
-        self.numbers: defaultdict[bytes, int] = defaultdict()
-        self.numbers.default_factory = self.numbers.__len__
-        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def learn(self):
+        vocabulary = self.tokenizer.get_vocab()
+        self.ending = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ending[[i for t, i in vocabulary.items() if t.endswith(END_OF_WORD)]] = True
+        self.words, self.parts = Ragged(), Ragged()
+
+    def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        to = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(to[-1]) if len(to) else 0), to
+
+    def joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters."""
+        flat, _ = self.each([" ".join(words[i : i + 512]) for i in range(0, len(words), 512)])
+        to = np.flatnonzero(self.ending[flat]) + 1
+        fits = len(to) == len(words) and (not len(to) or to[-1] == len(flat))
+        return (flat, to) if fits else self.each(words)
+
+    def learn(self) -> None:
         """Ids of the words numbered since the last call."""
-        first = len(self.ends) - 1
-        new = [w.decode("utf-8", "surrogatepass") for w in list(self.numbers)[first:]]
-        if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-            self.flat = np.concatenate([self.flat, flat])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        at, counts = [], []
+        for raw in self.words.unknown():
+            word = raw.decode("utf-8", "surrogatepass")
+            found = LETTERS_AND_SIGNS.fullmatch(word)
+            if found and found[1].isalpha() and (word.isascii() or found[1].lower().isalpha()):
+                parts = [p for p in found.groups() if p]
+            else:
+                parts = [word]
+            at.extend(map(self.parts.numbers.__getitem__, parts))
+            counts.append(len(parts))
+        new = self.parts.unknown()
+        # Parts that are letters in any case go together; they keep their order within their kind.
+        plain = np.fromiter((p.isalpha() and p.lower().isalpha() for p in new), bool, len(new))
+        kinds = [self.joined([p for p, x in zip(new, plain, strict=True) if x]), self.each([p for p, x in zip(new, plain, strict=True) if not x])]
+        flat = np.concatenate([k[0] for k in kinds])
+        ends = np.concatenate([[0], kinds[0][1], len(kinds[0][0]) + kinds[1][1]])
+        self.parts.add(*gathered(flat, ends, np.argsort(np.argsort(~plain, kind="stable"))))
+        ids, to = gathered(self.parts.flat, self.parts.ends, np.array(at, np.int64))
+        self.words.add(ids, np.concatenate([[0], to])[np.cumsum(counts, dtype=np.int64)])
 
     def of(self, texts: list[str | None], end: int = 0) -> list[np.ndarray]:
         """Each text's ids, with ``end`` behind."""
-        if len(self.numbers) > REMEMBERED:
-            self.forget()
+        if len(self.words.numbers) > REMEMBERED:
+            self.words, self.parts = Ragged(), Ragged()
         words = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
         counts = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
+        at = np.fromiter(map(self.words.numbers.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
         self.learn()
-        begin, sizes = self.ends[at], self.ends[at + 1] - self.ends[at]
-        ends = np.cumsum(sizes)
-        ids = self.flat[np.repeat(begin - ends + sizes, sizes) + np.arange(int(sizes.sum()))]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        ids, to = gathered(self.words.flat, self.words.ends, at)
+        bounds = np.concatenate([[0], to])[np.concatenate([[0], np.cumsum(counts)])]
         return [np.append(ids[a:b], np.uint32(end)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
