@@ -6,8 +6,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import exact_dedup, jaccard_join, langid, media, mixing, packing, pii, quality, url_filter
-from siltbed.llm._common import table
+from siltbed.llm import exact_dedup, jaccard_join, langid, lm_scoring, media, mixing, packing, pii, quality, url_filter
+from siltbed.llm._common import small, staged, table
+
+
+WORD_BPE, WORD_BPE_END, WORD_BPE_SIZE = public_tokenizers.path("word_bpe_49k.json"), 49407, 49408
+
+
+def op1_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is the documents labelled as of good quality, the background all documents."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    good = staged(labels.where("quality = 1").select(F.col("doc_id").alias("good_id")).distinct(), "lm-target")
+    flagged = docs.join(small(good), docs["doc_id"] == good["good_id"], "left")
+    flagged = flagged.select("doc_id", "text", F.col("good_id").isNotNull().alias("in_target"))
+    return lm_scoring.score(flagged, "in_target", WORD_BPE, WORD_BPE_END, WORD_BPE_SIZE)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +34,7 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_grouping_genetic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
 #: Fixed values: (host, path, action).
@@ -93,6 +105,7 @@ def op10_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_cross_entropy_difference,
         op2_exact_dedup,
         op3_jaccard_join,
         op4_grouping_genetic,
