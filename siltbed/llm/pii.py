@@ -110,6 +110,8 @@ def plain_forms() -> dict[str, str]:
 
 FORMS = plain_forms()
 STRANGE = re.compile("[" + re.escape("".join(FORMS)) + "]")
+#: Scans that most texts end with: some character above the Latin ones or a rare one below; two digit words in a row.
+PERHAPS_STRANGE = re.compile("[\u00a0\u00ad\u0131\u0250-\U0010ffff]")
 DOT_WORD = "dot|punkt|punto|point"
 # Ends of domain names after a bare "dot".
 ENDINGS = "com|org|net|edu|gov|info|io|de|fr|es|eu|uk|us|co|ai|ch|at|it|biz|dev|app|me|tv"
@@ -117,6 +119,7 @@ BRACKETED = re.compile(rf"\s*[\[({{<]\s*(?:(at|@)|(?:{DOT_WORD}|\.))\s*[\])}}>]\
 BRACKET = re.compile(rf"[\[({{<]\s*(?:at|@|{DOT_WORD}|\.)\s*[\])}}>]", re.I)
 WORDS = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
 SPELLED = re.compile(rf"\b(?:{WORDS})(?:[\s,-]{{1,3}}(?:{WORDS})\b)+", re.I)
+PERHAPS_SPELLED = re.compile(rf"[^\w](?:{WORDS})[\s,-]{{1,3}}(?:{WORDS})")
 ONE_WORD = re.compile(rf"\b(?:{WORDS})\b", re.I)
 BARE_AT = re.compile(
     rf"(?<=[A-Za-z0-9])\s{{1,3}}at\s{{1,3}}(?=[A-Za-z0-9-]{{1,63}}(?:(?:\.|\s{{1,3}}(?:{DOT_WORD})\s{{1,3}})[A-Za-z0-9-]{{1,63}}){{0,8}}?"
@@ -180,8 +183,8 @@ def sign_word(m: re.Match):
 
 def added(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of disguised data that ``base`` has not."""
-    odd, first = bool(STRANGE.search(text)), Rewritten(text)
-    if odd:
+    first = Rewritten(text)
+    if PERHAPS_STRANGE.search(text):
         first = first.by(STRANGE, form_of)
     if BRACKET.search(first.text):
         first = first.by(BRACKETED, sign_of)
@@ -190,10 +193,9 @@ def added(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, i
         for s, k, e in first.spans():
             if not any(b <= s and e <= d and j == k for b, j, d in base):
                 out.append((s, k, e))
-    second = first
-    if SPELLED.search(second.text):
+    second, low = first, "\n" + first.text.lower()
+    if PERHAPS_SPELLED.search(low):
         second = second.by(SPELLED, digits_of)
-    low = second.text.lower()
     if any(w in low for w in ("dot", "punkt", "punto", "point")):
         second = second.by(BARE_AT, whole("@")).by(BARE_DOT, whole("."))
     if second is not first and SIGN_WORD.search(second.text):
