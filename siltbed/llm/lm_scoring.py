@@ -41,7 +41,7 @@ class Blocks:
     """Tokenised documents in blocks: block, ids, target flags, document ends and tokens (unsigned 32 bits)."""
 
     def __init__(self, docs: DataFrame, flag: str, tokenizer: str, end: int, id_col: str, text_col: str):
-        source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(flag), F.lit(False)), F.col(text_col))
+        source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(flag), F.lit(False)), F.col(text_col).cast("binary"))
         self.id_type, self.end = source.schema["id"].dataType, end
         schema = T.StructType([T.StructField("ids", T.ArrayType(self.id_type))])
         schema = T.StructType(schema.fields + T.StructType.fromDDL("flags array<boolean>, ends binary, tokens binary").fields)

@@ -18,9 +18,8 @@ import random
 import re
 import zlib
 from bisect import bisect_left, insort
-from collections import defaultdict
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -49,20 +48,22 @@ def gathered(flat: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.nda
     return flat[np.repeat(begin - to + sizes, sizes) + np.arange(int(sizes.sum()))], to
 
 
-class Ragged:
-    """Numbered keys, each with a stretch of ids."""
+class Ragged(dict):
+    """Numbered keys, each with a stretch of ids; ``new`` are those whose ids are not known yet."""
 
     def __init__(self):
-        self.numbers: defaultdict = defaultdict()
-        self.numbers.default_factory = self.numbers.__len__
+        self.new: list = []
         self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def unknown(self) -> list:
-        return list(islice(self.numbers, len(self.ends) - 1, None))
+    def __missing__(self, key) -> int:
+        self.new.append(key)
+        number = self[key] = len(self)
+        return number
 
     def add(self, flat: np.ndarray, to: np.ndarray) -> None:
         self.ends = np.concatenate([self.ends, self.ends[-1] + to])
         self.flat = np.concatenate([self.flat, flat])
+        self.new = []
 
 
 #: Letters, then ASCII punctuation without the apostrophe: two pre-tokens, whatever stands around them.
@@ -85,7 +86,14 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab()
         self.ending = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ending[[i for t, i in vocabulary.items() if t.endswith(END_OF_WORD)]] = True
-        self.words, self.parts = Ragged(), Ragged()
+        self.forget()
+
+    def forget(self) -> None:
+        self.words, self.letters, self.others = Ragged(), Ragged(), Ragged()
+
+    def folded(self, text: bytes) -> bytes:
+        """A-Z lower-cased, as the tokenizer does too; not where that could write the name of a special token."""
+        return text if b"<|" in text else text.lower()
 
     def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -101,33 +109,36 @@ class WordIds:
 
     def learn(self) -> None:
         """Ids of the words numbered since the last call."""
-        at, counts = [], []
-        for raw in self.words.unknown():
-            word = raw.decode("utf-8", "surrogatepass")
+        at, counts, letters, others = [], [], self.letters, self.others
+        for raw in self.words.new:
+            word = raw.decode()
+            if word.isalpha() and (word.isascii() or word.lower().isalpha()):
+                at.append(2 * letters[word])
+                counts.append(1)
+                continue
             found = LETTERS_AND_SIGNS.fullmatch(word)
             if found and found[1].isalpha() and (word.isascii() or found[1].lower().isalpha()):
-                parts = [p for p in found.groups() if p]
+                at.append(2 * letters[found[1]])
+                at.append(2 * others[found[2]] + 1)
+                counts.append(2)
             else:
-                parts = [word]
-            at.extend(map(self.parts.numbers.__getitem__, parts))
-            counts.append(len(parts))
-        new = self.parts.unknown()
-        # Parts that are letters in any case go together; they keep their order within their kind.
-        plain = np.fromiter((p.isalpha() and p.lower().isalpha() for p in new), bool, len(new))
-        kinds = [self.joined([p for p, x in zip(new, plain, strict=True) if x]), self.each([p for p, x in zip(new, plain, strict=True) if not x])]
-        flat = np.concatenate([k[0] for k in kinds])
-        ends = np.concatenate([[0], kinds[0][1], len(kinds[0][0]) + kinds[1][1]])
-        self.parts.add(*gathered(flat, ends, np.argsort(np.argsort(~plain, kind="stable"))))
-        ids, to = gathered(self.parts.flat, self.parts.ends, np.array(at, np.int64))
+                at.append(2 * others[word] + 1)
+                counts.append(1)
+        letters.add(*self.joined(letters.new))
+        others.add(*self.each(others.new))
+        parts = np.array(at, np.int64)
+        flat = np.concatenate([letters.flat, others.flat])
+        ends = np.concatenate([letters.ends, len(letters.flat) + others.ends[1:]])
+        ids, to = gathered(flat, ends, parts // 2 + parts % 2 * (len(letters.ends) - 1))
         self.words.add(ids, np.concatenate([[0], to])[np.cumsum(counts, dtype=np.int64)])
 
-    def of(self, texts: list[str | None], end: int = 0) -> list[np.ndarray]:
-        """Each text's ids, with ``end`` behind."""
-        if len(self.words.numbers) > REMEMBERED:
-            self.words, self.parts = Ragged(), Ragged()
-        words = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
+    def of(self, texts: list[bytes | None], end: int = 0) -> list[np.ndarray]:
+        """Each text's ids (of its UTF-8 bytes), with ``end`` behind."""
+        if len(self.words) > REMEMBERED:
+            self.forget()
+        words = [self.folded(t).split() if t else [] for t in texts]
         counts = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.fromiter(map(self.words.numbers.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
+        at = np.fromiter(map(self.words.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
         self.learn()
         ids, to = gathered(self.words.flat, self.words.ends, at)
         bounds = np.concatenate([[0], to])[np.concatenate([[0], np.cumsum(counts)])]
@@ -139,15 +150,15 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def runs(texts: list[str | None], chars: int = 1 << 20):
-    """Runs of texts of about so many characters."""
+def runs(texts: list[bytes | None], size: int = 1 << 20):
+    """Runs of texts of about so many bytes."""
     run, total = [], 0
     for t in texts:
-        if run and total + len(t or "") > chars:
+        if run and total + len(t or b"") > size:
             yield run
             run, total = [], 0
         run.append(t)
-        total += len(t or "")
+        total += len(t or b"")
     if run:
         yield run
 
@@ -165,7 +176,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str, text_col
         return [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 6
 
     added = {"piece": "int", "start": "long", "length": "long", "ids_crc32": "long", "ids": "binary"}
-    cuts = scanned(docs, text_col, [id_col], added, cut).withColumnRenamed(id_col, "id")
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("raw"))
+    cuts = scanned(source, "raw", ["id"], added, cut)
     return cuts.withColumn("uid", F.monotonically_increasing_id())
 
 
