@@ -88,9 +88,19 @@ class DigestIndex:
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns; of repeated rows of one id and text, one."""
     index = DigestIndex(id_col, text_col, keep)
-    gone = staged(index.decide(docs).where(~F.col("kept")).select(F.col(id_col).alias("gone"), "digest"), "dedup-gone")
-    norm = ascii_lower(F.coalesce(docs[text_col], F.lit("")))
-    same = docs[id_col].eqNullSafe(F.col("gone")) & (index.digest(norm) == F.col("digest"))
-    return docs.join(small(gone), same, "left_anti")
+    decided = staged(index.decide(docs).select(F.col(id_col).alias("own_id"), "digest", "kept"), "dedup-decided")
+    rows = decided.groupBy("own_id", "digest").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    gone = staged(rows.where(~F.col("kept")).select("own_id", "digest"), "dedup-gone")
+    repeated = staged(rows.where("kept AND n > 1").select("own_id", "digest"), "dedup-repeated")
+    digest = index.digest(ascii_lower(F.coalesce(docs[text_col], F.lit(""))))
+
+    def same(other: DataFrame):
+        return docs[id_col].eqNullSafe(other["own_id"]) & (digest == other["digest"])
+
+    left = docs.join(small(gone), same(gone), "left_anti")
+    if repeated.isEmpty():
+        return left
+    once = docs.join(small(repeated), same(repeated), "left_semi").dropDuplicates([id_col, text_col])
+    return left.join(small(repeated), same(repeated), "left_anti").unionByName(once)

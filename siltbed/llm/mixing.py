@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltbed.llm._common import WORD, staged
+from siltbed.llm._common import WORD, small, staged
 
 #: Documents of a key range on average.
 RANGE_ROWS = 4096
@@ -66,7 +66,7 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """A row for each document: id, source, key, size, source_size, target, epochs, extra, taken.
+    """A row for each document: id, source, key, text_hash, size, source_size, target, epochs, extra, taken.
 
     ``epochs`` whole copies are taken, then ``extra`` leading words; ``taken`` is the sum in words.
     """
@@ -79,6 +79,7 @@ def mix(
             F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.md5(text), F.lit("")))).alias(
                 "key"
             ),
+            F.xxhash64(text).alias("text_hash"),
         ),
         "mix-rows",
     )
@@ -86,7 +87,7 @@ def mix(
     ranges = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(RANGE_ROWS))).cast("long")
     place = F.shiftright(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * ranges, 32)
     placed = rows.join(targets, rows["source"].eqNullSafe(targets["source"])).select(
-        "id", rows["source"], "key", "size", "idx", "source_size", "target", place.alias("range")
+        "id", rows["source"], "key", "text_hash", "size", "idx", "source_size", "target", place.alias("range")
     )
     within = Window.partitionBy("idx").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = staged(
@@ -109,6 +110,7 @@ def mix(
             F.col("id").alias(id_col),
             F.col("source").alias(source_col),
             "key",
+            "text_hash",
             "size",
             "source_size",
             "target",
@@ -117,3 +119,20 @@ def mix(
             (F.col("epochs") * F.col("size") + F.col("extra")).alias("taken"),
         )
     )
+
+
+def mixture(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", **settings) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, whole: the document at a cut if at least half of it is taken.
+
+    Rows equal in id, source and text share their copies evenly, rounded down.
+    """
+    taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings)
+    copies = F.col("epochs") + F.when((F.col("extra") > 0) & (F.col("extra") * 2 >= F.col("size")), 1).otherwise(0)
+    names = {"own_id": id_col, "own_source": source_col, "own_hash": "text_hash"}
+    plan = taken.groupBy(*[F.col(c).alias(k) for k, c in names.items()]).agg(
+        F.floor(F.sum(copies) / F.count(F.lit(1))).cast("int").alias("copies")
+    )
+    plan = staged(plan.where("copies > 0"), "mix-plan")
+    same = docs[id_col].eqNullSafe(plan["own_id"]) & docs[source_col].eqNullSafe(plan["own_source"])
+    rows = docs.join(small(plan), same & (F.xxhash64(docs[text_col]) == plan["own_hash"]))
+    return rows.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(*[docs[c] for c in docs.columns])

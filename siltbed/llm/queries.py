@@ -90,6 +90,10 @@ def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
+#: Least quality score of a document that stays.
+GOOD_ENOUGH = 0.3
+
+
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.NeighbourModel:
     return quality.fit(docs, labels.where(remainder(5) != 0))
 
@@ -98,7 +102,7 @@ def op10_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(remainder(5) == 0, F.lit(False))
     return quality.classify(docs, quality_model(docs, table(spark, sf_dir, "labels"))).select(
-        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD_ENOUGH).cast("int").alias("predicted")
     )
 
 
