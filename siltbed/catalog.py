@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ()
-FLAGSHIP = ""
+MODULES = ("corpus",)
+FLAGSHIP = "dedup_keep_best"
 
 QUERIES, ORACLE_SQL = {}, {}
 for _name in MODULES:
