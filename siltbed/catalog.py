@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("corpus",)
+MODULES = ("corpus", "timeline", "places")
 FLAGSHIP = "dedup_keep_best"
 
 QUERIES, ORACLE_SQL = {}, {}

@@ -102,12 +102,24 @@ ARROW = {
 }
 
 
+#: Most bytes of an Arrow batch on its way to Python; the JVM and the worker each hold some of them.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches for Python by bytes, as texts differ in length: a setting of the session, lowered if it is higher."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(name).rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def scanned(df: DataFrame, column: str, keep: list[str], added: dict[str, str], fn, arrow=ARROW) -> DataFrame:
     """Columns ``keep`` of ``df``, untouched, and those that ``fn`` makes of a batch of ``column``'s values.
 
     fn(values) -> lists in the order of ``added`` (name -> type). It may also return, in front of them, the list of row
     numbers that its rows belong to: then it makes any number of rows from each row.
     """
+    bounded_batches(df.sparkSession)
     source = df.select(*[F.col(c) for c in keep], F.col(column).alias("scanned value"))
     schema = T.StructType(source.schema.fields[:-1] + T.StructType.fromDDL(", ".join(f"{k} {v}" for k, v in added.items())).fields)
     kinds, n = [arrow[v] for v in added.values()], len(keep)

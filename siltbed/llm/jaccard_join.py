@@ -2,7 +2,7 @@
 
 Equal sets are one node. A node's shingles are ordered by a coarse frequency level (a sketch of fixed size that counts
 every shingle of every text) and hash; the head of that order is its prefix, and two linked nodes share a prefix
-shingle. Relations between sets spare work twice. *Answers are derived*: nodes with a common least hash are verified
+shingle. Relations between sets spare work twice. *Answers are derived*: nodes of similar size with two common least hashes are verified
 against the least of them, and those that link become its members at a known distance; only leaders are looked up, and a
 leader's answer bounds its members' answers by the triangle inequality of Jaccard distance. Members meet another
 cluster's members only if the leaders' distance leaves room and the clusters are not yet connected. *Blocks are
@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm._common import ARROW, chained, mixed, scanned, small, staged, word_codes
+from siltbed.llm._common import ARROW, bounded_batches, chained, mixed, scanned, small, staged, word_codes
 from siltbed.llm.components import components
 
 #: The sketch has 2**BITS counters whatever the size of the corpus.
 BITS = 18
+#: For the four least hashes of a set.
+SALTS = np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 #: Texts whose shingles are made at once.
 CHUNK = 256
 
@@ -60,8 +62,9 @@ def levels_of(docs: DataFrame, text: str, width: int) -> np.ndarray:
     def count(batches):
         total = np.zeros(1 << BITS, np.int64)
         for batch in batches:
-            for s in shingle_sets(batch.column(0).to_pylist(), width):
-                total += 0 if not len(s) else np.bincount((s >> np.uint64(64 - BITS)).astype(np.int64), minlength=1 << BITS)
+            sets = list(shingle_sets(batch.column(0).to_pylist(), width))
+            cells = np.concatenate([s >> np.uint64(64 - BITS) for s in sets]).astype(np.int64)
+            total += np.bincount(cells, minlength=1 << BITS)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["cell", "n"])
 
@@ -72,8 +75,14 @@ def levels_of(docs: DataFrame, text: str, width: int) -> np.ndarray:
     return np.clip(np.log2(np.maximum(counts, 1) / max(2 * counts.mean(), 1)) + 1, 0, 60).astype(np.uint8)
 
 
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, text_hash and raw: by the first two, a text is found again."""
+    raw = F.col(text_col).cast("binary")
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(raw).alias("text_hash"), raw.alias("raw"))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """id, n, node (hash of the set), two least hashes, and the prefix, for each row."""
+    """id, text_hash, n, node (hash of the set), two keys of two least hashes each, and the prefix, for each row."""
     shared = docs.sparkSession.sparkContext.broadcast(levels_of(docs, text_col, width))
 
     def sign(texts):
@@ -86,85 +95,92 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
                     column.append(None)
                 continue
             node.append(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64))
-            first.append(s[0].astype(np.int64))
-            second.append(mixed(s ^ np.uint64(0x5BD1E995)).min().astype(np.int64))
+            least = np.array([mixed(s ^ salt).min() for salt in SALTS])
+            keys = chained(least[::2], least[1::2]).astype(np.int64)
+            first.append(keys[0])
+            second.append(keys[1])
             level = levels[(s >> np.uint64(64 - BITS)).astype(np.int64)]
             order = np.argsort(level, kind="stable")  # the set is sorted: ties by hash
             prefix.append(s[order[: len(s) - -(-percent * len(s) // 100) + 1]].astype(np.int64))
         return n, node, first, second, prefix
 
     added = {"n": "long", "node": "long", "first": "long", "second": "long", "prefix": "array<long>"}
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("raw"))
-    return staged(scanned(rows, "raw", ["id"], added, sign), "jaccard-signatures")
+    return staged(scanned(keyed(docs, id_col, text_col), "raw", ["id", "text_hash"], added, sign), "jaccard-signatures")
 
 
 class SetJoin:
     """Links between nodes of one table; see the module."""
 
     def __init__(self, docs: DataFrame, id_col="doc_id", text_col="text", width: int = 3, percent: int = 90):
-        self.rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("raw"))
+        bounded_batches(docs.sparkSession)
+        self.rows = keyed(docs, id_col, text_col)
         self.width, self.percent = width, percent
         self.signed = signatures(docs, id_col, text_col, width, percent)
         # Smaller sets link with nothing but their equals.
         self.least_size = next(n for n in range(1, 1000) if 100 * n >= percent * (n + 1))
         nodes = self.signed.where(F.col("n") >= self.least_size).groupBy("node")
         self.nodes = staged(
-            nodes.agg(*[F.min(c).alias(c) for c in ("n", "first", "second")], F.min("id").alias("some_id")), "jaccard-nodes"
+            nodes.agg(
+                *[F.min(c).alias(c) for c in ("n", "first", "second", "text_hash")], F.min_by("id", "text_hash").alias("id")
+            ),
+            "jaccard-nodes",
         )
 
     def linked(self):
         return F.col("shared") * 100 >= self.percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """a, b, n_a, n_b, shared for each pair of nodes. Only their texts are fetched and made into sets again."""
-        pairs = staged(pairs, "jaccard-pairs")
-        needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        needed = staged(needed.join(self.nodes, "node").select("node", "some_id"), "jaccard-needed")
-        wanted = small(staged(needed.select("some_id").distinct(), "jaccard-ids"))
+    def sets_of(self, wanted: DataFrame, node: str, keep: list[str], members: str) -> DataFrame:
+        """wanted (node, ...) with each node's set, made again from one of its texts."""
+        places = self.nodes.select(F.col("node").alias(node), F.col("id").alias("some_id"), F.col("text_hash").alias("some_text"))
+        wanted = small(staged(wanted.join(places, node), "jaccard-wanted"))
+        same = self.rows["id"].eqNullSafe(wanted["some_id"]) & (self.rows["text_hash"] == wanted["some_text"])
+        found = self.rows.join(wanted, same).select("raw", *keep)
         width = self.width
 
         def resolve(texts):
-            sets = list(shingle_sets(texts, width))
-            return (
-                [np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64) for s in sets],
-                [s.tobytes() for s in sets],
-            )
+            return [[s.tobytes() for s in shingle_sets(texts, width)]]
 
-        found = self.rows.join(wanted, self.rows["id"].eqNullSafe(wanted["some_id"]), "left_semi")
-        sets = scanned(found, "raw", [], {"node": "long", "members": "binary"}, resolve)
-        sets = sets.join(small(needed.select("node")), "node", "left_semi").dropDuplicates(["node"])
-        sets = staged(sets, "jaccard-sets")
-        a = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
-        b = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
-        joined = pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
+        return scanned(found, "raw", keep, {members: "binary"}, resolve)
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """a, b, n_a, n_b, shared for each pair of nodes. The first one's set travels to the second one's, once."""
+        pairs = staged(pairs, "jaccard-pairs")
+        one = self.sets_of(pairs, "a", ["a", "b"], "set_a")
+        two = self.sets_of(pairs.select("b").distinct(), "b", ["b"], "set_b")
         schema = T.StructType.fromDDL("a long, b long, n_a long, n_b long, shared long")
 
         def compare(batches):
             for batch in batches:
                 out = []
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                    x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
                     every = np.sort(np.concatenate([x, y]))
                     out.append((len(x), len(y), int((every[1:] == every[:-1]).sum())))
                 columns = [pa.array([o[i] for o in out], ARROW["long"]) for i in range(3)]
                 yield pa.RecordBatch.from_arrays(batch.columns[:2] + columns, names=schema.names)
 
-        return staged(joined.mapInArrow(compare, schema), "jaccard-verified")
+        joined = one.join(two, "b").select("a", "b", "set_a", "set_b")
+        return staged(joined.mapInArrow(compare, schema).distinct(), "jaccard-verified")
 
     def stars(self) -> tuple[DataFrame, DataFrame]:
-        """Links of nodes with the least node of their least hash; and members: node, leader, distance."""
+        """Links of nodes with the least node of their key; and members: node, leader, distance."""
 
-        def pairs(hash_col: str) -> DataFrame:
-            groups = self.nodes.groupBy(hash_col).agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("count"))
+        def pairs(key: str) -> DataFrame:
+            groups = self.nodes.groupBy(key).agg(
+                F.min("node").alias("b"), F.min_by("n", "node").alias("n_b"), F.count(F.lit(1)).alias("count")
+            )
             groups = staged(groups.where("count > 1").drop("count"), "jaccard-stars")
-            return self.nodes.join(small(groups), hash_col).where("node != b").select(F.col("node").alias("a"), "b")
+            alike = (F.col("n") * 100 >= F.col("n_b") * self.percent) & (F.col("n_b") * 100 >= F.col("n") * self.percent)
+            return self.nodes.join(small(groups), key).where((F.col("node") != F.col("b")) & alike).select(
+                F.col("node").alias("a"), "b"
+            )
 
         first, second = staged(pairs("first"), "jaccard-first"), staged(pairs("second"), "jaccard-second")
         links = self.verified(first.unionByName(second).distinct()).where(self.linked())
         distance = (1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("distance")
         links = staged(links.select("a", "b", distance), "jaccard-star-links")
         one = staged(links.join(first, ["a", "b"], "left_semi"), "jaccard-one")
-        # By the second hash, nodes join a leader or a single one if they are neither members nor leaders themselves.
+        # By the second key, nodes join a leader or a single one if they are neither members nor leaders themselves.
         taken = small(staged(one.select(F.col("a").alias("x")).distinct(), "jaccard-taken"))
         leading = small(staged(one.select(F.col("b").alias("x")).distinct(), "jaccard-leading"))
         two = (
@@ -177,11 +193,11 @@ class SetJoin:
         return links, staged(members, "jaccard-members")
 
     def entries(self, members: DataFrame) -> DataFrame:
-        """Index entries (token, position, node, n, cluster, distance) of tokens that several nodes have."""
+        """Index entries (token, position, node, n, cluster, distance) of tokens that several rows have."""
         rows = self.signed.where(F.col("n") >= self.least_size)
         tokens = rows.select("node", "n", F.posexplode("prefix").alias("position", "token"))
-        live = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        live = small(staged(live.where("low < high").select("token"), "jaccard-tokens"))
+        live = tokens.groupBy("token").count().where("count > 1").select("token")
+        live = small(staged(live, "jaccard-tokens"))
         found = tokens.join(live, "token", "left_semi").join(small(members), "node", "left")
         return staged(
             found.select(

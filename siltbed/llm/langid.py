@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm._common import scanned, staged
+from siltbed.llm._common import bounded_batches, scanned, staged
 from siltbed.llm.ngrams import chunked, hashed
 
 SIZES, BITS = (1, 2, 3), 16
@@ -49,6 +49,7 @@ class LanguageModel:
 
 def learn(docs: DataFrame, text_col="text", lang_col="lang", smoothing: float = 0.5, max_languages: int = 256):
     """A LanguageModel of all rows of ``docs`` that have a language. More than ``max_languages`` is an error."""
+    bounded_batches(docs.sparkSession)
     source = docs.where(F.col(lang_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     )

@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm._common import staged
+from siltbed.llm._common import bounded_batches, staged
 from siltbed.llm.packing import runs, word_ids
 
 #: Tokens of a block, as long as one document does not have more.
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 1_500_000
 #: Pseudo-counts of the unigram distribution in each context.
 CONTEXT = 16.0
 
@@ -38,9 +38,11 @@ def bigrams(tokens: np.ndarray, end: int) -> np.ndarray:
 
 
 class Blocks:
-    """Tokenised documents in blocks: block, ids, target flags, document ends and tokens (unsigned 32 bits)."""
+    """Tokenised documents in blocks: block, ids, target flags, document ends and tokens (16 bits if the vocabulary allows)."""
 
-    def __init__(self, docs: DataFrame, flag: str, tokenizer: str, end: int, id_col: str, text_col: str):
+    def __init__(self, docs: DataFrame, flag: str, tokenizer: str, end: int, vocabulary: int, id_col: str, text_col: str):
+        self.token = token = "<u2" if vocabulary <= 1 << 16 else "<u4"
+        bounded_batches(docs.sparkSession)
         source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(flag), F.lit(False)), F.col(text_col).cast("binary"))
         self.id_type, self.end = source.schema["id"].dataType, end
         schema = T.StructType([T.StructField("ids", T.ArrayType(self.id_type))])
@@ -49,10 +51,10 @@ class Blocks:
         def make(batches):
             held, size = [], 0
             for batch in batches:
-                at = 0
+                at, own = 0, batch.select([0, 1])  # the texts are let go
                 for run in runs(batch.column(2).to_pylist()):
                     tokens = word_ids(tokenizer).of(run, end)
-                    held.append((batch.slice(at, len(run)), tokens))
+                    held.append((own.slice(at, len(run)), [t.astype(token) for t in tokens]))
                     size += sum(map(len, tokens))
                     at += len(run)
                     if size >= BLOCK_TOKENS:
@@ -70,7 +72,7 @@ class Blocks:
                 pa.ListArray.from_arrays(one, ids),
                 pa.ListArray.from_arrays(one, flags),
                 pa.array([np.cumsum([len(t) for t in tokens], dtype=np.int64).tobytes()], pa.binary()),
-                pa.array([np.concatenate(tokens).astype("<u4").tobytes()], pa.binary()),
+                pa.array([np.concatenate(tokens).tobytes()], pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(columns, names=["ids", "flags", "ends", "tokens"])
 
@@ -79,12 +81,12 @@ class Blocks:
 
     def counts(self) -> DataFrame:
         """block, gram, n_all, n_target: each distinct bigram of each block once."""
-        end = self.end
+        end, token = self.end, self.token
 
         def count(batches):
             for batch in batches:
                 for block, flags, ends, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    tokens, ends = np.frombuffer(raw, "<u4"), np.frombuffer(ends, np.int64)
+                    tokens, ends = np.frombuffer(raw, token), np.frombuffer(ends, np.int64)
                     grams = bigrams(tokens, end)
                     chosen = np.repeat(np.array(flags, bool), np.diff(ends, prepend=0))
                     every, n = np.unique(grams, return_counts=True)
@@ -121,7 +123,8 @@ def score(
     tokenizer: path of a tokenizer file whose pre-tokens never reach over white space. end: id behind and in front of
     every document. vocabulary: number of ids.
     """
-    blocks = Blocks(docs, flag, tokenizer, end, id_col, text_col)
+    blocks = Blocks(docs, flag, tokenizer, end, vocabulary, id_col, text_col)
+    token = blocks.token
     grams = blocks.counts()
     sums = grams.groupBy("gram").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
     model = staged(sums, "lm-model", compression="zstd")
@@ -146,7 +149,7 @@ def score(
     def judge(key, block, found):
         if not block.num_rows:
             return schema_arrow.empty_table()
-        tokens, ends = (np.frombuffer(block[c][0].as_py(), k) for c, k in (("tokens", "<u4"), ("ends", np.int64)))
+        tokens, ends = (np.frombuffer(block[c][0].as_py(), k) for c, k in (("tokens", token), ("ends", np.int64)))
         starts = np.concatenate([[0], ends[:-1]])
         size = ends - starts
         background, target = (np.add.reduceat(x, starts) / size for x in losses(tokens, found))

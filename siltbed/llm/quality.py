@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm._common import scanned, staged
+from siltbed.llm._common import bounded_batches, scanned, staged
 from siltbed.llm.ngrams import chunked, hashed
 
 SIZES, BITS = (2, 3), 13
@@ -88,6 +88,8 @@ class NeighbourModel:
 def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
     """Over all rows: in how many texts each feature occurs, and the number of texts."""
 
+    bounded_batches(docs.sparkSession)
+
     def count(batches):
         total, n = np.zeros(WIDTH, np.int64), 0
         for pdf in batches:
@@ -180,6 +182,7 @@ def classify(docs: DataFrame, model: NeighbourModel, id_col: str = "doc_id", tex
 
 def kept(docs: DataFrame, model: NeighbourModel, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text scores ``threshold`` or more, with all their columns."""
+    bounded_batches(docs.sparkSession)
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def choose(batches):

@@ -15,8 +15,8 @@ def daily(df: DataFrame, key: list[str], ts: str, value: str, order: str) -> Dat
     mode = counted.groupBy(*key, "day").agg(
         F.max(F.col("times")).alias("times"), F.collect_list(F.struct("times", "seen", value)).alias("all")
     )
-    first = F.array_min(F.transform(F.filter("all", lambda x: x["times"] == F.col("times")), lambda x: F.struct(x["seen"], x[value])))
-    mode = mode.select(*key, "day", first["col2"].alias("mode"))
+    first = F.array_min(F.transform(F.filter("all", lambda x: x["times"] == F.col("times")), lambda x: F.struct(x["seen"].alias("seen"), x[value].alias("value"))))
+    mode = mode.select(*key, "day", first["value"].alias("mode"))
     sums = rows.groupBy(*key, "day").agg(F.avg(value).alias("mean"), F.sum(value).alias("sum"))
     return sums.join(mode, [*key, "day"], "left")
 
