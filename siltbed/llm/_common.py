@@ -66,6 +66,19 @@ def raw_words(raw: bytes | None) -> list[bytes]:
     return raw.lower().split() if raw else []
 
 
+def runs(texts: list[bytes | None], size: int = 1 << 20):
+    """Runs of texts of about so many bytes."""
+    run, total = [], 0
+    for t in texts:
+        if run and total + len(t or b"") > size:
+            yield run
+            run, total = [], 0
+        run.append(t)
+        total += len(t or b"")
+    if run:
+        yield run
+
+
 def word_codes(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word number of each token, first token of each text plus the end, 64-bit hash of each numbered word)."""
     numbers: defaultdict[bytes, int] = defaultdict()

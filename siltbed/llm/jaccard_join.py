@@ -4,10 +4,12 @@ Equal sets are one node. A node's shingles are ordered by a coarse frequency lev
 every shingle of every text) and hash; the head of that order is its prefix, and two linked nodes share a prefix
 shingle. Relations between sets spare work twice. *Answers are derived*: nodes of similar size with two common least hashes are verified
 against the least of them, and those that link become its members at a known distance; only leaders are looked up, and a
-leader's answer bounds its members' answers by the triangle inequality of Jaccard distance. Members meet another
-cluster's members only if the leaders' distance leaves room and the clusters are not yet connected. *Blocks are
+leader's answer bounds its members' answers by the triangle inequality of Jaccard distance. Where two leaders' distance
+leaves room and the clusters are not yet connected, members meet the other leader, and members that both leaders'
+answers leave room for meet each other. *Blocks are
 skipped*: an index list holds one entry for each cluster, is cut into blocks by set size, meets only the two blocks a
-partner can be in, and there only entries whose positions leave room for the overlap required.
+partner can be in, and there only entries whose positions leave room for the overlap required. Before sets travel, the
+pair's counts of shingles by hash range bound its overlap from above; a pair whose bound is too low is ruled out.
 
 All comparisons of sets are exact on 64-bit shingle hashes. Copies are never expanded into pairs.
 
@@ -25,21 +27,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm._common import ARROW, bounded_batches, chained, mixed, scanned, small, staged, word_codes
+from siltbed.llm._common import ARROW, bounded_batches, chained, mixed, runs, scanned, small, staged, word_codes
 from siltbed.llm.components import components
 
 #: The sketch has 2**BITS counters whatever the size of the corpus.
 BITS = 18
 #: For the four least hashes of a set.
 SALTS = np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-#: Texts whose shingles are made at once.
-CHUNK = 256
+#: Bytes of texts whose shingles are made at once.
+CHUNK = 1 << 20
+#: Shingles of a hash range on average, up to twice as many: the ranges' counts bound the overlap of two sets.
+RANGE_SHINGLES = 2
 
 
 def shingle_sets(texts, width: int):
     """The sorted distinct shingle hashes of each text (UTF-8 bytes or None)."""
-    for low in range(0, len(texts), CHUNK):
-        codes, starts, hashes = word_codes(texts[low : low + CHUNK])
+    for run in runs(texts, CHUNK):
+        codes, starts, hashes = word_codes(run)
         words = hashes[codes]
         shingles = words
         for k in range(1, width):
@@ -56,6 +60,23 @@ def shingle_sets(texts, width: int):
                 yield words[:0]
 
 
+def range_counts(s: np.ndarray) -> bytes:
+    """How many hashes of a set fall into each of equal ranges, a byte each; empty if a range has more than a byte holds."""
+    bits = max(4, (len(s) // RANGE_SHINGLES).bit_length() - 1)
+    counts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+def most_shared(one: bytes, two: bytes, sizes: tuple[int, int]) -> int:
+    """An upper bound of the number of common hashes of two sets with these range counts."""
+    if not one or not two:
+        return min(sizes)
+    x, y = (np.frombuffer(c, np.uint8).astype(np.int32) for c in (one, two))
+    ranges = min(len(x), len(y))
+    x, y = (c.reshape(ranges, -1).sum(axis=1) for c in (x, y))
+    return int(np.minimum(x, y).sum())
+
+
 def levels_of(docs: DataFrame, text: str, width: int) -> np.ndarray:
     """For each counter of the sketch, how many doublings its count is above twice the mean; 0 for most."""
 
@@ -82,16 +103,16 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """id, text_hash, n, node (hash of the set), two keys of two least hashes each, and the prefix, for each row."""
+    """id, text_hash, n, node (hash of the set), two keys of two least hashes each, prefix and range counts, for each row."""
     shared = docs.sparkSession.sparkContext.broadcast(levels_of(docs, text_col, width))
 
     def sign(texts):
         levels = shared.value
-        n, node, first, second, prefix = [], [], [], [], []
+        n, node, first, second, prefix, counts = [], [], [], [], [], []
         for s in shingle_sets(texts, width):
             n.append(len(s))
             if not len(s):
-                for column in (node, first, second, prefix):
+                for column in (node, first, second, prefix, counts):
                     column.append(None)
                 continue
             node.append(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64))
@@ -102,9 +123,10 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
             level = levels[(s >> np.uint64(64 - BITS)).astype(np.int64)]
             order = np.argsort(level, kind="stable")  # the set is sorted: ties by hash
             prefix.append(s[order[: len(s) - -(-percent * len(s) // 100) + 1]].astype(np.int64))
-        return n, node, first, second, prefix
+            counts.append(range_counts(s))
+        return n, node, first, second, prefix, counts
 
-    added = {"n": "long", "node": "long", "first": "long", "second": "long", "prefix": "array<long>"}
+    added = {"n": "long", "node": "long", "first": "long", "second": "long", "prefix": "array<long>", "counts": "binary"}
     return staged(scanned(keyed(docs, id_col, text_col), "raw", ["id", "text_hash"], added, sign), "jaccard-signatures")
 
 
@@ -121,7 +143,7 @@ class SetJoin:
         nodes = self.signed.where(F.col("n") >= self.least_size).groupBy("node")
         self.nodes = staged(
             nodes.agg(
-                *[F.min(c).alias(c) for c in ("n", "first", "second", "text_hash")], F.min_by("id", "text_hash").alias("id")
+                *[F.min(c).alias(c) for c in ("n", "first", "second", "text_hash", "counts")], F.min_by("id", "text_hash").alias("id")
             ),
             "jaccard-nodes",
         )
@@ -142,9 +164,35 @@ class SetJoin:
 
         return scanned(found, "raw", keep, {members: "binary"}, resolve)
 
+    def apart(self):
+        return 1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
+
+    def plausible(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b, within) whose range counts do not rule out a distance of ``within``."""
+        for side in "ab":
+            own = self.nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("counts").alias(f"counts_{side}"))
+            pairs = pairs.join(own, side)
+
+        def choose(batches):
+            for batch in batches:
+                a, b, within, *sides = (c.to_pylist() for c in batch.columns)
+                kept = []
+                for i, (most, n_a, n_b, one, two) in enumerate(zip(within, *sides, strict=True)):
+                    shared = most_shared(one, two, (n_a, n_b))
+                    if 1 - shared / (n_a + n_b - shared) <= most + 1e-9:
+                        kept.append(i)
+                yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
+
+        return pairs.select("a", "b", "within", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(choose, "a long, b long")
+
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """a, b, n_a, n_b, shared for each pair of nodes. The first one's set travels to the second one's, once."""
-        pairs = staged(pairs, "jaccard-pairs")
+        """a, b, n_a, n_b, shared for each plausible pair of nodes (a, b and perhaps within, the largest distance of use).
+
+        The first one's set travels to the second one's, once.
+        """
+        if "within" not in pairs.columns:
+            pairs = pairs.withColumn("within", F.lit(1 - self.percent / 100))
+        pairs = staged(self.plausible(staged(pairs, "jaccard-candidates")), "jaccard-pairs")
         one = self.sets_of(pairs, "a", ["a", "b"], "set_a")
         two = self.sets_of(pairs.select("b").distinct(), "b", ["b"], "set_b")
         schema = T.StructType.fromDDL("a long, b long, n_a long, n_b long, shared long")
@@ -159,7 +207,8 @@ class SetJoin:
                 columns = [pa.array([o[i] for o in out], ARROW["long"]) for i in range(3)]
                 yield pa.RecordBatch.from_arrays(batch.columns[:2] + columns, names=schema.names)
 
-        joined = one.join(two, "b").select("a", "b", "set_a", "set_b")
+        # Sorted and merged, so that a task never has the Python of both steps at once.
+        joined = one.hint("merge").join(two, "b").select("a", "b", "set_a", "set_b")
         return staged(joined.mapInArrow(compare, schema).distinct(), "jaccard-verified")
 
     def stars(self) -> tuple[DataFrame, DataFrame]:
@@ -177,8 +226,7 @@ class SetJoin:
 
         first, second = staged(pairs("first"), "jaccard-first"), staged(pairs("second"), "jaccard-second")
         links = self.verified(first.unionByName(second).distinct()).where(self.linked())
-        distance = (1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("distance")
-        links = staged(links.select("a", "b", distance), "jaccard-star-links")
+        links = staged(links.select("a", "b", self.apart().alias("distance")), "jaccard-star-links")
         one = staged(links.join(first, ["a", "b"], "left_semi"), "jaccard-one")
         # By the second key, nodes join a leader or a single one if they are neither members nor leaders themselves.
         taken = small(staged(one.select(F.col("a").alias("x")).distinct(), "jaccard-taken"))
@@ -192,19 +240,21 @@ class SetJoin:
         members = one.unionByName(two).select(F.col("a").alias("node"), F.col("b").alias("leader"), "distance")
         return links, staged(members, "jaccard-members")
 
-    def entries(self, members: DataFrame) -> DataFrame:
-        """Index entries (token, position, node, n, cluster, distance) of tokens that several rows have."""
+    def lists(self, members: DataFrame) -> DataFrame:
+        """Index lists (token, cluster, low, high, at): sizes and first position of a cluster's sets with the token.
+
+        Only tokens that several rows have.
+        """
         rows = self.signed.where(F.col("n") >= self.least_size)
         tokens = rows.select("node", "n", F.posexplode("prefix").alias("position", "token"))
         live = tokens.groupBy("token").count().where("count > 1").select("token")
         live = small(staged(live, "jaccard-tokens"))
         found = tokens.join(live, "token", "left_semi").join(small(members), "node", "left")
-        return staged(
-            found.select(
-                "token", "position", "node", "n", F.coalesce("leader", "node").alias("cluster"), F.coalesce("distance", F.lit(0.0)).alias("distance")
-            ),
-            "jaccard-entries",
-        )
+        found = found.select("token", "position", "n", F.coalesce("leader", "node").alias("cluster"))
+        found = found.groupBy("token", "cluster").agg(
+            F.min("n").alias("low"), F.max("n").alias("high"), F.min("position").alias("at")
+        )
+        return staged(found, "jaccard-lists")
 
     def room(self, n_a, n_b, most_a, most_b, at_a, at_b):
         """Whether a first common token at these positions leaves room for the overlap required."""
@@ -212,14 +262,8 @@ class SetJoin:
             (n_a + n_b) * F.lit(self.percent) / F.lit(100 + self.percent)
         )
 
-    def cluster_pairs(self, entries: DataFrame) -> DataFrame:
+    def cluster_pairs(self, lists: DataFrame) -> DataFrame:
         """Pairs of clusters (a < b) that may hold a link, from blocks of index lists."""
-        lists = staged(
-            entries.groupBy("token", "cluster").agg(
-                F.min("n").alias("low"), F.max("n").alias("high"), F.min("position").alias("at")
-            ),
-            "jaccard-lists",
-        )
         step = F.lit(float(np.log(100 / self.percent)))
 
         def band(n):
@@ -240,48 +284,80 @@ class SetJoin:
             F.least("cluster_a", "cluster_b").alias("a"), F.greatest("cluster_a", "cluster_b").alias("b")
         ).distinct()
 
-    def member_pairs(self, entries: DataFrame, near: DataFrame) -> DataFrame:
-        """Pairs of nodes of cluster pairs ``near`` (a, b, distance) that the leaders' answers do not rule out."""
-        one, two = (entries.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("position", "node", "n", "cluster", "distance")]) for x in "ab")
-        pairs = near.select(F.col("a").alias("cluster_a"), F.col("b").alias("cluster_b"), F.col("distance").alias("apart"))
-        met = one.join(small(pairs), "cluster_a").join(two, ["token", "cluster_b"]).where(
+    def leader_answers(self, near: DataFrame, members: DataFrame, reach: DataFrame) -> DataFrame:
+        """leader_a, leader_b, node, aim, own, other, n, linked: distances of a cluster's members to the other cluster's leader.
+
+        A member that is too far from that leader for a link with any of its members is left out.
+        """
+        sides = []
+        for own, other in (("a", "b"), ("b", "a")):
+            far = reach.select(F.col("leader").alias(other), F.col("reach"))
+            within = F.coalesce("reach", F.lit(0.0)) + (1 - self.percent / 100)
+            side = near.join(members.withColumnRenamed("leader", own), own).join(far, other, "left").withColumn("within", within)
+            side = side.where(F.col("apart") - F.col("distance") <= F.col("within") + 1e-9)
+            sides.append(side.select(F.col("a").alias("leader_a"), F.col("b").alias("leader_b"), "node", F.col(other).alias("aim"), F.col("distance").alias("own"), "within"))
+        asked = staged(sides[0].unionByName(sides[1]), "jaccard-asked")
+        pairs = asked.groupBy(F.col("node").alias("a"), F.col("aim").alias("b")).agg(F.max("within").alias("within"))
+        found = self.verified(pairs).select(F.col("a").alias("node"), F.col("b").alias("aim"), F.col("n_a").alias("n"), self.apart().alias("other"), self.linked().alias("linked"))
+        met = asked.join(found, ["node", "aim"]).where(F.col("other") <= F.col("within") + 1e-9)
+        return staged(met.select("leader_a", "leader_b", "node", "aim", "own", "other", "n", "linked"), "jaccard-leader-answers")
+
+    def member_pairs(self, answers: DataFrame, near: DataFrame) -> DataFrame:
+        """Pairs of members of cluster pairs ``near`` (a, b) that their distances to both leaders do not rule out."""
+        least = 1 - self.percent / 100 + 1e-9
+        open_ = near.select(F.col("a").alias("leader_a"), F.col("b").alias("leader_b"))
+        of = answers.join(open_, ["leader_a", "leader_b"], "left_semi")
+        one = of.where("aim = leader_b").select("leader_a", "leader_b", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("a_to_a"), F.col("other").alias("a_to_b"))
+        two = of.where("aim = leader_a").select("leader_a", "leader_b", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("own").alias("b_to_b"), F.col("other").alias("b_to_a"))
+        met = one.join(two, ["leader_a", "leader_b"]).where(
             (F.col("n_a") * self.percent <= F.col("n_b") * 100)
             & (F.col("n_b") * self.percent <= F.col("n_a") * 100)
-            & (F.col("apart") - F.col("distance_a") - F.col("distance_b") <= 1 - self.percent / 100 + 1e-9)
-            & self.room(*[F.col(c) for c in ("n_a", "n_b", "n_a", "n_b", "position_a", "position_b")])
+            & (F.abs(F.col("a_to_a") - F.col("b_to_a")) <= least)
+            & (F.abs(F.col("a_to_b") - F.col("b_to_b")) <= least)
         )
-        return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def still_open(self, near: DataFrame, links: DataFrame) -> DataFrame:
+        """Cluster pairs of ``near`` that ``links`` do not connect."""
+        labels = small(staged(components(links), "jaccard-labels"))
+        for side in "ab":
+            of = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+            near = near.join(of, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
+        return staged(near.where("label_a != label_b").select("a", "b", "apart"), "jaccard-open")
 
     def links(self) -> DataFrame:
         """Links (a, b) between nodes that connect exactly what all links connect."""
         star_links, members = self.stars()
-        entries = self.entries(members)
-        answers = self.verified(self.cluster_pairs(entries))
-        direct = answers.where(self.linked()).select("a", "b")
-        found = staged(star_links.select("a", "b").unionByName(direct), "jaccard-links")
+        # Members of two clusters can link only if the leaders' distance is within their own distances and a link's.
         reach = members.groupBy("leader").agg(F.max("distance").alias("reach"))
         reach = small(staged(reach, "jaccard-reach"))
-        apart = (1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))).alias("distance")
-        near = (
-            answers.where(~self.linked())
-            .select("a", "b", apart)
+        pairs = staged(
+            self.cluster_pairs(self.lists(members))
             .join(reach.select(F.col("leader").alias("a"), F.col("reach").alias("reach_a")), "a", "left")
             .join(reach.select(F.col("leader").alias("b"), F.col("reach").alias("reach_b")), "b", "left")
             .na.fill(0.0, ["reach_a", "reach_b"])
-            .where(F.col("reach_a") + F.col("reach_b") > 0)
-            .where(F.col("distance") <= 1 - self.percent / 100 + F.col("reach_a") + F.col("reach_b") + 1e-9)
+            .select("a", "b", (1 - self.percent / 100 + F.col("reach_a") + F.col("reach_b")).alias("within")),
+            "jaccard-cluster-pairs",
         )
-        near = staged(near.select("a", "b", "distance"), "jaccard-near")
+        answers = self.verified(pairs)
+        direct = answers.where(self.linked()).select("a", "b")
+        found = staged(star_links.select("a", "b").unionByName(direct), "jaccard-links")
+        near = answers.where(~self.linked()).select("a", "b", self.apart().alias("apart"))
+        near = near.join(pairs, ["a", "b"]).where(F.col("apart") <= F.col("within") + 1e-9)
+        near = staged(near.select("a", "b", "apart"), "jaccard-near")
         if near.isEmpty():
             return found
-        labels = small(staged(components(found), "jaccard-labels"))
-        for side in "ab":
-            of = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
-            near = near.join(of, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
-        near = staged(near.where("label_a != label_b").select("a", "b", "distance"), "jaccard-open")
+        near = self.still_open(near, found)
+        if near.isEmpty():
+            return found
+        # First members meet the other leaders, whose answers then limit which members meet each other.
+        led = self.leader_answers(near, members, reach)
+        close = led.where("linked").select(F.col("node").alias("a"), F.col("aim").alias("b"))
+        found = staged(found.unionByName(close.distinct()), "jaccard-links")
+        near = self.still_open(near, found)
         if near.isEmpty():
             return found
-        more = self.verified(self.member_pairs(entries, near)).where(self.linked()).select("a", "b")
+        more = self.verified(self.member_pairs(led, near)).where(self.linked()).select("a", "b")
         return staged(found.unionByName(more), "jaccard-links")
 
     def groups(self) -> DataFrame:

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm._common import bounded_batches, staged
-from siltbed.llm.packing import runs, word_ids
+from siltbed.llm._common import bounded_batches, runs, staged
+from siltbed.llm.packing import word_ids
 
 #: Tokens of a block, as long as one document does not have more.
 BLOCK_TOKENS = 1_500_000

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm._common import scanned, staged
+from siltbed.llm._common import runs, scanned, staged
 
 #: Pieces of a shard on average, islands of a shard, epochs between which elites move.
 SHARD_PIECES, ISLANDS, EPOCHS = 1500, 2, 2
@@ -150,19 +150,6 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def runs(texts: list[bytes | None], size: int = 1 << 20):
-    """Runs of texts of about so many bytes."""
-    run, total = [], 0
-    for t in texts:
-        if run and total + len(t or b"") > size:
-            yield run
-            run, total = [], 0
-        run.append(t)
-        total += len(t or b"")
-    if run:
-        yield run
-
-
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str, text_col: str, with_ids: bool = False):
     """id, piece, start, length, ids_crc32, uid (tells equal rows apart once it is written) and the ids if wanted."""
     def cut(texts):
