@@ -9,7 +9,8 @@ leaves room and the clusters are not yet connected, members meet the other leade
 answers leave room for meet each other. *Blocks are
 skipped*: an index list holds one entry for each cluster, is cut into blocks by set size, meets only the two blocks a
 partner can be in, and there only entries whose positions leave room for the overlap required. Before sets travel, the
-pair's counts of shingles by hash range bound its overlap from above; a pair whose bound is too low is ruled out.
+pair's counts of shingles by hash range bound its overlap from above; a pair whose bound is too low is ruled out. In
+large groups each cluster first meets a few common hubs, and then only those that the links found do not connect it to.
 
 All comparisons of sets are exact on 64-bit shingle hashes. Copies are never expanded into pairs.
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm._common import ARROW, bounded_batches, chained, mixed, runs, scanned, small, staged, word_codes
+from siltbed.llm._common import ARROW, bounded_batches, chained, dropped, mixed, runs, scanned, small, staged, word_codes
 from siltbed.llm.components import components
 
 #: The sketch has 2**BITS counters whatever the size of the corpus.
@@ -36,6 +37,8 @@ BITS = 18
 SALTS = np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of texts whose shingles are made at once.
 CHUNK = 1 << 20
+#: In these turns, if open pairs outnumber their clusters by the factor, each cluster meets so many hubs before all others.
+HUBS = (16, 48)
 #: Shingles of a hash range on average, up to twice as many: the ranges' counts bound the overlap of two sets.
 RANGE_SHINGLES = 2
 
@@ -317,13 +320,43 @@ class SetJoin:
         )
         return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def still_open(self, near: DataFrame, links: DataFrame) -> DataFrame:
-        """Cluster pairs of ``near`` that ``links`` do not connect."""
-        labels = small(staged(components(links), "jaccard-labels"))
+    def still_open(self, pairs: DataFrame, links: DataFrame) -> DataFrame:
+        """The rows of ``pairs`` (a, b, ...) that ``links`` do not connect."""
+        labels, columns = small(staged(components(links), "jaccard-labels")), pairs.columns
         for side in "ab":
             of = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
-            near = near.join(of, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
-        return staged(near.where("label_a != label_b").select("a", "b", "apart"), "jaccard-open")
+            pairs = pairs.join(of, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
+        return staged(pairs.where("label_a != label_b").select(*columns), "jaccard-open")
+
+    def hub_pairs(self, pairs: DataFrame, turn: int, count: int) -> DataFrame:
+        """The rows of ``pairs`` in which one is among the other's hubs: its partners that come first in some orders.
+
+        Clusters that share their partners share their hubs, so that a large group is tied together by few pairs.
+        """
+        both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(
+            pairs.select(F.col("b").alias("x"), F.col("a").alias("y"))
+        )
+        first = [F.min_by("y", F.xxhash64("y", F.lit(turn), F.lit(i))) for i in range(count)]
+        hubs = both.groupBy("x").agg(*[c.alias(f"hub_{i}") for i, c in enumerate(first)])
+        hubs = hubs.select("x", F.explode(F.array(*[f"hub_{i}" for i in range(count)])).alias("y"))
+        hubs = hubs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        return staged(pairs.join(hubs, ["a", "b"]), "jaccard-hub-pairs")
+
+    def answered(self, pairs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Verified answers for ``pairs`` (a, b, within), but for those that come to be connected; and all links."""
+        answers, turn = None, 0
+        while True:
+            clusters = pairs.select("a").distinct().count() + pairs.select("b").distinct().count()
+            hubs = HUBS[turn] if turn < len(HUBS) else 0
+            many = hubs > 0 and pairs.count() > hubs * clusters
+            asked = self.hub_pairs(pairs, turn, hubs) if many else pairs
+            new = self.verified(asked)
+            new = staged(new.join(asked.select("a", "b", "within"), ["a", "b"]), "jaccard-answers")
+            answers = new if answers is None else answers.unionByName(new)
+            found = staged(found.unionByName(new.where(self.linked()).select("a", "b")), "jaccard-links")
+            if not many:
+                return answers, found
+            pairs, turn = self.still_open(pairs.join(asked, ["a", "b"], "left_anti"), found), turn + 1
 
     def links(self) -> DataFrame:
         """Links (a, b) between nodes that connect exactly what all links connect."""
@@ -331,19 +364,19 @@ class SetJoin:
         # Members of two clusters can link only if the leaders' distance is within their own distances and a link's.
         reach = members.groupBy("leader").agg(F.max("distance").alias("reach"))
         reach = small(staged(reach, "jaccard-reach"))
+        lists = self.lists(members)
         pairs = staged(
-            self.cluster_pairs(self.lists(members))
+            self.cluster_pairs(lists)
             .join(reach.select(F.col("leader").alias("a"), F.col("reach").alias("reach_a")), "a", "left")
             .join(reach.select(F.col("leader").alias("b"), F.col("reach").alias("reach_b")), "b", "left")
             .na.fill(0.0, ["reach_a", "reach_b"])
             .select("a", "b", (1 - self.percent / 100 + F.col("reach_a") + F.col("reach_b")).alias("within")),
             "jaccard-cluster-pairs",
         )
-        answers = self.verified(pairs)
-        direct = answers.where(self.linked()).select("a", "b")
-        found = staged(star_links.select("a", "b").unionByName(direct), "jaccard-links")
-        near = answers.where(~self.linked()).select("a", "b", self.apart().alias("apart"))
-        near = near.join(pairs, ["a", "b"]).where(F.col("apart") <= F.col("within") + 1e-9)
+        dropped(lists)
+        answers, found = self.answered(pairs, star_links.select("a", "b"))
+        near = answers.where(~self.linked()).select("a", "b", self.apart().alias("apart"), "within")
+        near = near.where(F.col("apart") <= F.col("within") + 1e-9)
         near = staged(near.select("a", "b", "apart"), "jaccard-near")
         if near.isEmpty():
             return found
