@@ -87,8 +87,8 @@ def nearest_reference(spark: SparkSession, sf: str) -> DataFrame:
 
 def polyline_length(spark: SparkSession, sf: str) -> DataFrame:
     """Paths of orders: the points of their lines' parts in line order."""
-    rows = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", fx.latitude(F.col("l_partkey")).alias("lat"), fx.longitude(F.col("l_partkey")).alias("lon"))
-    return sp.path_lengths(rows, ["l_orderkey"], ["l_linenumber"]).select("l_orderkey", F.round("metres", 2).alias("metres"), "segments")
+    rows = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", fx.latitude(F.col("l_partkey")).alias("lat"), fx.longitude(F.col("l_partkey")).alias("lon"))
+    return sp.path_lengths(rows, ["l_orderkey"], ["l_linenumber", "l_partkey"]).select("l_orderkey", F.round("metres", 2).alias("metres"), "segments")
 
 
 def circular_mean(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,7 +123,8 @@ def relief_class(spark: SparkSession, sf: str) -> DataFrame:
 
 def line_obstruction(spark: SparkSession, sf: str) -> DataFrame:
     """Sight along each order's lines: terrain from the lines' quantities."""
-    rows = fx.table(spark, sf, "lineitem").select("l_orderkey", ((F.col("l_linenumber") - 1) * 500.0).alias("distance"), F.col("l_quantity").alias("terrain"), (F.col("l_partkey") % 40 + 2.0).alias("end"))
+    rows = fx.table(spark, sf, "lineitem").select("l_orderkey", ((F.col("l_linenumber") - 1) * 500.0).alias("distance"), F.col("l_quantity").alias("terrain"), (F.col("l_partkey") % 40 + 2.0).alias("end"), "l_partkey", "l_suppkey")
+    rows = rows.groupBy("l_orderkey", "distance").agg(*[F.min_by(c, F.struct("l_partkey", "l_suppkey")).alias(c) for c in ("terrain", "end")])
     ends = rows.groupBy("l_orderkey").agg(F.max("distance").alias("total"), F.min_by("end", "distance").alias("eye"), F.max_by("end", "distance").alias("aim"))
     out = sp.obstruction(rows.join(ends.where("total > 0"), "l_orderkey"), ["l_orderkey"])
     return out.select("l_orderkey", "blocked_at", F.round("above", 6).alias("above"), "visible")
@@ -162,7 +163,7 @@ def first_capture_compare(spark: SparkSession, sf: str) -> DataFrame:
 def gps_degrees(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("c_custkey")
     value = tx.dms_degrees((key % 90).cast("double"), (key % 60).cast("double"), (key % 3600) / 60.0, F.when(key % 2 == 0, "s").otherwise("N"))
-    return fx.table(spark, sf, "customer").select(key.alias("id"), F.round(value, 8).alias("degrees"))
+    return fx.table(spark, sf, "customer").select(key.alias("id"), (F.round(value, 8) + 0.0).alias("degrees"))
 
 
 def HAVERSINE(r: float, a: str = "lat", b: str = "lon", c: str = "lat2", d: str = "lon2") -> str:
@@ -220,8 +221,8 @@ ORACLE_SQL = {
         SELECT left_id, right_id, round(d, 3) AS distance FROM m WHERE d <= 25000""",
     "nearest_reference": f"""WITH {fx.POINTS_SQL}, m AS (SELECT c.id AS left_id, s.id AS right_id, {HAVERSINE(geo.MEAN_RADIUS, 'c.lat', 'c.lon', 's.lat', 's.lon')} AS d FROM c, s WHERE abs(c.lat - s.lat) < 1),
         r AS (SELECT *, row_number() OVER (PARTITION BY left_id ORDER BY d, right_id) AS rank FROM m WHERE d <= 60000) SELECT left_id, right_id, round(d, 3) AS distance FROM r WHERE rank = 1""",
-    "polyline_length": f"""WITH l AS (SELECT l_orderkey, l_linenumber, {fx.LAT_SQL.format('l_partkey')} AS lat, {fx.LON_SQL.format('l_partkey')} AS lon FROM lineitem),
-        n AS (SELECT *, lead(lat) OVER w AS lat2, lead(lon) OVER w AS lon2 FROM l WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber))
+    "polyline_length": f"""WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, {fx.LAT_SQL.format('l_partkey')} AS lat, {fx.LON_SQL.format('l_partkey')} AS lon FROM lineitem),
+        n AS (SELECT *, lead(lat) OVER w AS lat2, lead(lon) OVER w AS lon2 FROM l WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey))
         SELECT l_orderkey, round(sum({HAVERSINE(geo.MEAN_RADIUS)}), 2) AS metres, count(*) AS segments FROM n WHERE lat2 IS NOT NULL GROUP BY l_orderkey""",
     "circular_mean": """WITH r AS (SELECT o_custkey, avg(sin(radians(CAST(o_orderkey % 360 AS DOUBLE)))) AS s, avg(cos(radians(CAST(o_orderkey % 360 AS DOUBLE)))) AS c FROM orders GROUP BY 1)
         SELECT o_custkey, round((degrees(atan2(s, c)) + 360) % 360, 5) AS mean FROM r WHERE sqrt(s * s + c * c) > 1e-6""",
@@ -237,7 +238,8 @@ ORACLE_SQL = {
     "relief_class": f"""WITH {CELLS}, s AS (SELECT grid, min(value) AS low, max(value) AS high, round(avg(value), 6) AS mean,
         round(quantile_cont(value, 0.1), 6) AS p10, round(quantile_cont(value, 0.9), 6) AS p90 FROM c GROUP BY grid)
         SELECT *, CASE WHEN high - low < 30 THEN 'flat' WHEN high - low < 150 THEN 'rolling' WHEN high - low < 249.7::DOUBLE THEN 'hilly' ELSE 'mountain' END AS relief FROM s""",
-    "line_obstruction": """WITH l AS (SELECT l_orderkey, (l_linenumber - 1) * 500.0::DOUBLE AS distance, l_quantity AS terrain, l_partkey % 40 + 2.0::DOUBLE AS "end" FROM lineitem),
+    "line_obstruction": """WITH l AS (SELECT l_orderkey, (l_linenumber - 1) * 500.0::DOUBLE AS distance, arg_min(l_quantity, (l_partkey, l_suppkey)) AS terrain,
+        arg_min(l_partkey % 40 + 2.0::DOUBLE, (l_partkey, l_suppkey)) AS "end" FROM lineitem GROUP BY 1, 2),
         e AS (SELECT l_orderkey, max(distance) AS total, arg_min("end", distance) AS eye, arg_max("end", distance) AS aim FROM l GROUP BY 1 HAVING max(distance) > 0),
         s AS (SELECT l_orderkey, distance, terrain, total, eye + (aim - eye) * distance / total - distance * (total - distance) / (2 * 1.33 * 6371000.0)::DOUBLE AS sight FROM l JOIN e USING (l_orderkey)),
         b AS (SELECT l_orderkey, min(distance) AS blocked_at, arg_min(terrain - sight, distance) AS above FROM s WHERE distance > 0 AND distance < total AND terrain > sight + 0.05::DOUBLE GROUP BY 1)
@@ -255,7 +257,7 @@ ORACLE_SQL = {
         list_sum([a * a FOR a IN x]) / 64 AS xx, list_sum([a * a FOR a IN y]) / 64 AS yy FROM n)
         SELECT vec_id, first_id, round(CASE WHEN xx - mx * mx < 1e-6 OR yy - my * my < 1e-6 THEN 0 ELSE (xy - mx * my) / sqrt((xx - mx * mx) * (yy - my * my)) END, 6) AS ncc FROM m""",
     "gps_degrees": """SELECT c_custkey AS id, round((CASE WHEN c_custkey % 2 = 0 THEN -1 ELSE 1 END)
-        * (CAST(c_custkey % 90 AS DOUBLE) + CAST(c_custkey % 60 AS DOUBLE) / 60 + c_custkey % 3600 / 60.0::DOUBLE / 3600), 8) AS degrees FROM customer""",
+        * (CAST(c_custkey % 90 AS DOUBLE) + CAST(c_custkey % 60 AS DOUBLE) / 60 + c_custkey % 3600 / 60.0::DOUBLE / 3600), 8) + 0.0::DOUBLE AS degrees FROM customer""",
 }
 
 QUERIES = {
