@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from siltbed.llm import exact_dedup, jaccard_join, mixing, packing, quality, queries
-from siltbed.llm._common import small, staged, table
+from siltbed.llm._common import staged, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,22 +18,14 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.without_copies(docs, keep="max")
 
 
-def without_near_copies(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """One document of each group of linked shingle sets, that of the least id."""
-    groups = jaccard_join.near_duplicate_groups(docs, width=width, percent=percent)
-    gone = groups.where("NOT (doc_id <=> component_id)").select("doc_id").withColumnRenamed("doc_id", "gone")
-    gone = staged(gone.distinct(), "near-gone")
-    return docs.join(small(gone), docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
-
-
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without near copies by three words and 0.9, the contract of the op3 query."""
-    return without_near_copies(docs, 3, 90)
+    """One document of each group, that of the least id: near copies by three words and 0.9, the contract of the op3 query."""
+    return jaccard_join.without_near_copies(docs, width=3, percent=90)
 
 
 def wide_near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without near copies by five words and 0.8, which has copies with more text appended or more words edited."""
-    return without_near_copies(docs, 5, 80)
+    """One document of each group, that of the least id: near copies by five words and 0.8, which has copies with more text appended or more words edited."""
+    return jaccard_join.without_near_copies(docs, width=5, percent=80)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

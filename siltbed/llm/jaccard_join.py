@@ -374,6 +374,26 @@ class SetJoin:
             F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
         )
 
+    def spare(self) -> DataFrame:
+        """id and text_hash of all rows but one of each component: the least id stays, null last, and of its texts the least hash."""
+        labels = staged(components(self.links()), "jaccard-labels")
+        first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("first")
+        nodes = self.signed.where("node IS NOT NULL").groupBy("node").agg(first, F.count(F.lit(1)).alias("rows"))
+        nodes = nodes.join(small(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        nodes = staged(nodes, "jaccard-labelled")
+        best = nodes.groupBy("label").agg(F.min("first").alias("best"), F.sum("rows").alias("rows")).where("rows > 1")
+        best = small(staged(best.select("label", "best"), "jaccard-best"))
+        nodes = small(staged(nodes.join(best, "label").select("node", "best"), "jaccard-shared"))
+        own = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("text_hash") == F.col("best.text_hash"))
+        return self.signed.join(nodes, "node").where(~own).select("id", "text_hash").distinct()
+
+
+def without_near_copies(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 3, percent: int = 90) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; repeated rows of one id and text stay or go together."""
+    gone = small(staged(SetJoin(docs, id_col, text_col, width, percent).spare(), "near-gone"))
+    same = docs[id_col].eqNullSafe(gone["id"]) & (F.xxhash64(docs[text_col].cast("binary")) == gone["text_hash"])
+    return docs.join(gone, same, "left_anti")
+
 
 def near_duplicate_groups(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 3, percent: int = 90):
     """id, n_shingles, component_id for each row."""

@@ -50,3 +50,17 @@ def test_nothing_near_stays(spark):
             assert set(left) == set(brute_components(five_words(before), 80).values())
     sets = five_words(left)
     assert not any(5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) > 0 for a, b in combinations(sets, 2))
+
+
+def test_null_and_repeated_ids(spark):
+    long = " ".join(f"x{i}" for i in range(3000))
+    low, high = " ".join(f"u{i}" for i in range(200)), " ".join(f"v{i}" for i in range(200))
+    rows = [(9, long, "a"), (8, long + " tail", "b"), (None, long, "c"), (None, "alone here now", "d"),
+            (5, low, "e"), (4, low + " tail", "f"), (5, "another text of five", "g"), (None, high, "h"), (None, high + " tail", "i"),
+            (None, "", "j"), (None, None, "k"), (3, "", "l")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string")
+    for _, stage in NEAR:
+        left = stage(spark, docs, SF)
+        assert left.columns == docs.columns
+        got = "".join(sorted(r["digest"] for r in left.collect()))
+        assert got in ("bdfghjkl", "bdfgijkl")
