@@ -3,7 +3,7 @@
 Base spans are the plain patterns in the text as it stands. For disguised data, transducers rewrite the text and keep
 for every character written the source span it came from: first characters (look-alike letters, digits of other scripts,
 full-width and mathematical forms, invisible characters) and bracketed ``at`` and ``dot``; then, in a second reading,
-bare ``at`` ... ``dot`` between words and runs of spelled digits. The same patterns run on the rewritten text, and their
+bare ``at`` ... ``dot`` between words and spelled digits that stand beside a digit, a dot word or another spelled one. The same patterns run on the rewritten text, and their
 spans are mapped back. A span of the first reading is added unless a base span of its kind covers it; one of the second
 only where it overlaps nothing found before.
 
@@ -110,16 +110,35 @@ def plain_forms() -> dict[str, str]:
 
 FORMS = plain_forms()
 STRANGE = re.compile("[" + re.escape("".join(FORMS)) + "]")
-#: Scans that most texts end with: some character above the Latin ones or a rare one below; two digit words in a row.
+#: Scans that most texts end with: some character above the Latin ones or a rare one below; a digit word beside another or a digit.
 PERHAPS_STRANGE = re.compile("[\u00a0\u00ad\u0131\u0250-\U0010ffff]")
 DOT_WORD = "dot|punkt|punto|point"
-# Ends of domain names after a bare "dot".
-ENDINGS = "com|org|net|edu|gov|info|io|de|fr|es|eu|uk|us|co|ai|ch|at|it|biz|dev|app|me|tv"
+# Ends of domain names after a bare "dot": all country codes and the common generic ones.
+COUNTRIES = (
+    "ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bv bw by bz ca cc cd "
+    "cf cg ch ci ck cl cm cn co cr cu cv cw cx cy cz de dj dk dm do dz ec ee eg er es et eu fi fj fk fm fo fr ga gb gd ge gf "
+    "gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in io iq ir is it je jm jo jp ke kg kh ki km kn "
+    "kp kr kw ky kz la lb lc li lk lr ls lt lu lv ly ma mc md me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my mz na nc "
+    "ne nf ng ni nl no np nr nu nz om pa pe pf pg ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd se sg sh si sj "
+    "sk sl sm sn so sr ss st su sv sx sy sz tc td tf tg th tj tk tl tm tn to tr tt tv tw tz ua ug uk us uy uz va vc ve vg vi "
+    "vn vu wf ws ye yt za zm zw"
+)
+GENERIC = (
+    "com org net edu gov mil int info biz name pro aero coop museum jobs mobi travel tel cat asia post arpa app dev xyz "
+    "online site store shop tech cloud blog club live news agency email group world space website digital media network "
+    "systems solutions services company academy center life today design studio work page link one top vip fun wiki art bank "
+    "berlin london nyc paris tokyo wien"
+)
+ENDINGS = "|".join(sorted(f"{COUNTRIES} {GENERIC}".split(), key=len, reverse=True))
 BRACKETED = re.compile(rf"\s*[\[({{<]\s*(?:(at|@)|(?:{DOT_WORD}|\.))\s*[\])}}>]\s*", re.I)
 BRACKET = re.compile(rf"[\[({{<]\s*(?:at|@|{DOT_WORD}|\.)\s*[\])}}>]", re.I)
 WORDS = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
+BESIDE = rf"[\s,-]{{1,3}}|\s{{0,3}}\.\s{{0,3}}|\s{{1,3}}(?:{DOT_WORD})\s{{1,3}}"
 SPELLED = re.compile(rf"\b(?:{WORDS})(?:[\s,-]{{1,3}}(?:{WORDS})\b)+", re.I)
-PERHAPS_SPELLED = re.compile(rf"[^\w](?:{WORDS})[\s,-]{{1,3}}(?:{WORDS})")
+#: A digit word beside a digit, a dot or another digit word: first those that stand before one, then those that stand after one.
+SPELLED_BEFORE = re.compile(rf"\b(?:{WORDS})\b(?=(?:{BESIDE})(?:[0-9]|(?:{WORDS})\b))", re.I)
+SPELLED_AFTER = re.compile(rf"(?<=[0-9])({BESIDE})({WORDS})\b", re.I)
+PERHAPS_SPELLED = re.compile(rf"[^\w](?:{WORDS})\b(?=(?:{BESIDE})(?:[0-9]|(?:{WORDS})\b))|[0-9](?:{BESIDE})(?:{WORDS})\b")
 ONE_WORD = re.compile(rf"\b(?:{WORDS})\b", re.I)
 BARE_AT = re.compile(
     rf"(?<=[A-Za-z0-9])\s{{1,3}}at\s{{1,3}}(?=[A-Za-z0-9-]{{1,63}}(?:(?:\.|\s{{1,3}}(?:{DOT_WORD})\s{{1,3}})[A-Za-z0-9-]{{1,63}}){{0,8}}?"
@@ -177,6 +196,15 @@ def digits_of(m: re.Match):
     return [(DIGIT_OF[w[0].lower()], w.start(), w.end() - 1) for w in ONE_WORD.finditer(m.string, m.start(), m.end())]
 
 
+def digit_of(m: re.Match):
+    return [(DIGIT_OF[m[0].lower()], m.start(), m.end() - 1)]
+
+
+def digit_after(m: re.Match):
+    """The gap as it stands, and the digit."""
+    return [(c, k, k) for k, c in enumerate(m[1], m.start())] + [(DIGIT_OF[m[2].lower()], m.start(2), m.end() - 1)]
+
+
 def sign_word(m: re.Match):
     return [("+" if m[0][:4].lower() == "plus" else "-", m.start(), m.end() - 1)]
 
@@ -195,7 +223,9 @@ def added(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, i
                 out.append((s, k, e))
     second, low = first, "\n" + first.text.lower()
     if PERHAPS_SPELLED.search(low):
-        second = second.by(SPELLED, digits_of)
+        second = second.by(SPELLED, digits_of).by(SPELLED_BEFORE, digit_of)
+        while SPELLED_AFTER.search(second.text):
+            second = second.by(SPELLED_AFTER, digit_after)
     if any(w in low for w in ("dot", "punkt", "punto", "point")):
         second = second.by(BARE_AT, whole("@")).by(BARE_DOT, whole("."))
     if second is not first and SIGN_WORD.search(second.text):
