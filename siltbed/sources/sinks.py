@@ -37,11 +37,24 @@ def geojson(elements: DataFrame) -> DataFrame:
     return elements.select("result_id", feature.alias("feature"))
 
 
+#: Most tag keys that become columns; with more, ``tag_rows`` has them all.
+TAG_COLUMNS = 1000
+
+
 def tag_columns(elements: DataFrame, order: str) -> list[str]:
-    """Tag keys in the order in which they are first met. Only distinct keys come to the driver."""
+    """All tag keys in the order in which they are first met; an error if they are more than ``TAG_COLUMNS``."""
     keys = elements.select(F.col(order).alias("n"), F.posexplode(F.map_keys("tags")).alias("k", "key"))
     first = keys.groupBy("key").agg(F.min(F.struct("n", "k")).alias("first"))
-    return [r["key"] for r in first.orderBy("first").limit(1000).collect()]
+    found = [r["key"] for r in first.orderBy("first").limit(TAG_COLUMNS + 1).collect()]
+    if len(found) > TAG_COLUMNS:
+        raise ValueError(f"more than {TAG_COLUMNS} tag keys do not fit into columns; export tag_rows")
+    return found
+
+
+def tag_rows(elements: DataFrame) -> DataFrame:
+    """result_id, key, value for each tag, whatever the number of keys, safe for spreadsheets."""
+    tags = elements.select("result_id", F.explode("tags").alias("key", "value"))
+    return tags.select("result_id", tx.formula_safe(F.col("key")).alias("key"), F.coalesce(tx.formula_safe(F.col("value")), F.lit("")).alias("value"))
 
 
 def csv_rows(elements: DataFrame, columns: list[str]) -> DataFrame:
