@@ -1,7 +1,7 @@
 """Exact dedup as a log-structured merge index, in DataFrame operations only.
 
 Each scanning task is a memtable: it flushes one *run*, a file of (digest, id) rows sorted by digest, with min/max
-statistics and a Bloom filter on the digest, so that a later lookup skips runs and row groups that cannot hold it.
+statistics and a Bloom filter on the digest. Nothing here looks digests up by them: decisions are joins.
 Compaction merges runs by digest, keeps one id of each digest (pre-aggregated before the shuffle) and writes the
 next level range-partitioned and sorted, again with filters. A *hit* is a digest that occurs more than once; hits are
 verified on the bytes of their texts: rows with one digest and different bytes become different groups.
