@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import itertools
 import tempfile
 import uuid
@@ -17,8 +19,8 @@ from pyspark.sql import types as T
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-#: A side of a join is broadcast by hint only if it was counted and has at most this many narrow rows (under 64 MB).
-BROADCAST_ROWS = 1_000_000
+#: A side of a join is broadcast by hint only if it was counted and has at most this many narrow rows, of some 64 bytes.
+BROADCAST_ROWS = 200_000
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -119,6 +121,13 @@ ARROW = {
 BATCH_BYTES = 8 << 20
 
 
+def trimmed() -> None:
+    """Give memory that a task freed back to the system: a worker waits for its next task with what it holds."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Batches for Python by bytes, as texts differ in length: a setting of the session, lowered if it is higher."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -146,6 +155,7 @@ def scanned(df: DataFrame, column: str, keep: list[str], added: dict[str, str],
                 own = [c.take(rows) for c in own]
             made = [pa.array(values, kind) for values, kind in zip(made, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(own + made, names=schema.names)
+        trimmed()
 
     return source.mapInArrow(run, schema)
 

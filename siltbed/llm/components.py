@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm._common import dropped, small, staged
+from siltbed.llm._common import dropped, staged
 
 
-def minima(links: DataFrame) -> DataFrame:
-    return staged(links.groupBy("u").agg(F.min("v").alias("least")), "links-least")
+def least_of(links: DataFrame) -> DataFrame:
+    return links.groupBy("u").agg(F.min("v").alias("least"))
 
 
 def state(links: DataFrame) -> tuple:
@@ -27,15 +27,13 @@ def components(links: DataFrame) -> DataFrame:
     before = state(links)
     while before[0]:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = minima(both)
-        pointed = both.join(small(least), "u").where("v > u").select("v", F.least("u", "least").alias("m"))
+        pointed = both.join(least_of(both), "u").where("v > u").select("v", F.least("u", "least").alias("m"))
         large = staged(pointed.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "links")
-        below = minima(large)
-        moved = large.join(small(below), "u").where("v != least").select(F.col("v").alias("u"), F.col("least").alias("v"))
-        own = below.select("u", F.col("least").alias("v"))
-        small_star = staged(moved.unionByName(own).distinct(), "links")
+        below = least_of(large)
+        moved = large.join(below, "u").where("v != least").select(F.col("v").alias("u"), F.col("least").alias("v"))
+        small_star = staged(moved.unionByName(below.select("u", F.col("least").alias("v"))).distinct(), "links")
         after = state(small_star)
-        dropped(links, least, large, below)
+        dropped(links, large)
         links = small_star
         if after == before:
             break

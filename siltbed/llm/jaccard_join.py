@@ -1,17 +1,20 @@
 """Exact Jaccard self-join of word-shingle sets, by set-relation skipping, as connected groups.
 
-Equal sets are one node. A node's shingles are ordered by a coarse frequency level (a sketch of fixed size that counts
-every shingle of every text) and hash; the head of that order is its prefix, and two linked nodes share a prefix
-shingle. Relations between sets spare work twice. *Answers are derived*: nodes of similar size with two common least hashes are verified
-against the least of them, and those that link become its members at a known distance; only leaders are looked up, and a
-leader's answer bounds its members' answers by the triangle inequality of Jaccard distance. Where two leaders' distance
-leaves room and the clusters are not yet connected, members meet the other leader, and members that both leaders'
-answers leave room for meet each other. *Blocks are
-skipped*: an index list holds one entry for each cluster, is cut into blocks by set size, meets only the two blocks a
-partner can be in, and there only entries whose positions leave room for the overlap required. Before sets travel, the
+Equal sets are one node. Relations between sets spare work twice. *Answers are derived.* A set's hashes fall into
+``BINS`` bins and the least of each bin is a key; of all nodes with one key, each meets only the
+key's leader, so that a group of any size gives pairs in proportion to it. Every node's most alike of these is verified, then the others that
+are in another component still; those that link become members of that leader at a known distance. What follows looks
+only for links *between* components: members of one component have their answer. Leaders are looked up first, and a
+leader's answer bounds its members' answers by the triangle inequality of Jaccard distance: only where that leaves room
+do members meet the other leader, and then each other. *Blocks are skipped.* A node's shingles are ordered by a coarse
+frequency level (a sketch of fixed size that counts every shingle of every text) and hash; the head of that order is
+its prefix, and two linked nodes share a prefix shingle. Lists exist only for shingles that several components share,
+hold one entry for each cluster, are cut into blocks by set size, meet only the two blocks a partner can be in, and
+there only entries of another component whose positions leave room for the overlap required. Before sets travel, the
 pair's counts of shingles by hash range bound its overlap from above; a pair whose bound is too low is ruled out.
 
-All comparisons of sets are exact on 64-bit shingle hashes. Copies are never expanded into pairs.
+Sets are compared exactly on 64-bit shingle hashes; a node is a 128-bit hash of its set. Copies are never expanded into
+pairs. The texts are read four times (levels, signatures, sets that meet a leader, sets that meet another component).
 
 Defined results: null text, and text without words, has an empty set and is a component of its own; fewer words than a
 shingle make one shingle; repeated rows share their component; a component without any id has a null one; an empty table
@@ -27,13 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm._common import ARROW, bounded_batches, chained, mixed, runs, scanned, small, staged, word_codes
+from siltbed.llm._common import ARROW, bounded_batches, chained, mixed, runs, scanned, small, staged, trimmed, word_codes
 from siltbed.llm.components import components
 
 #: The sketch has 2**BITS counters whatever the size of the corpus.
 BITS = 18
-#: For the four least hashes of a set.
-SALTS = np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+#: Bins of a set's hashes, by their low bits; the least hash of each is a key under which nodes meet their leader.
+BINS = 8
 #: Bytes of texts whose shingles are made at once.
 CHUNK = 1 << 20
 #: Shingles of a hash range on average, up to twice as many: the ranges' counts bound the overlap of two sets.
@@ -87,6 +90,7 @@ def levels_of(docs: DataFrame, text: str, width: int) -> np.ndarray:
             cells = np.concatenate([s >> np.uint64(64 - BITS) for s in sets]).astype(np.int64)
             total += np.bincount(cells, minlength=1 << BITS)
         some = np.flatnonzero(total)
+        trimmed()
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["cell", "n"])
 
     cells = docs.select(F.col(text).cast("binary")).mapInArrow(count, "cell long, n long")
@@ -102,67 +106,90 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(raw).alias("text_hash"), raw.alias("raw"))
 
 
+def bin_minima(s: np.ndarray) -> tuple[np.ndarray, int]:
+    """The least hash of each bin that has any, and eight bits of each bin's least packed into one signed number."""
+    low = s & np.uint64(BINS - 1)
+    least = [part[0] for part in (s[low == k] for k in range(BINS)) if len(part)]  # the set is sorted
+    packed = sum((int(x) >> 20 & 255) << 8 * (int(x) & BINS - 1) for x in least)
+    return np.array(least, np.uint64).astype(np.int64), packed - (packed >> 63 << 64)
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """id, text_hash, n, node (hash of the set), two keys of two least hashes each, prefix and range counts, for each row."""
+    """id, text_hash, n, node (hash of the set), keys, sketch (of the keys), prefix and range counts, for each row."""
     shared = docs.sparkSession.sparkContext.broadcast(levels_of(docs, text_col, width))
 
     def sign(texts):
         levels = shared.value
-        n, node, first, second, prefix, counts = [], [], [], [], [], []
+        n, node, keys, sketch, prefix, counts = [], [], [], [], [], []
         for s in shingle_sets(texts, width):
             n.append(len(s))
             if not len(s):
-                for column in (node, first, second, prefix, counts):
+                for column in (node, keys, sketch, prefix, counts):
                     column.append(None)
                 continue
-            node.append(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64))
-            least = np.array([mixed(s ^ salt).min() for salt in SALTS])
-            keys = chained(least[::2], least[1::2]).astype(np.int64)
-            first.append(keys[0])
-            second.append(keys[1])
+            node.append(xxhash.xxh3_128_digest(s.tobytes()))
+            least, packed = bin_minima(s)
+            keys.append(least)
+            sketch.append(packed)
             level = levels[(s >> np.uint64(64 - BITS)).astype(np.int64)]
             order = np.argsort(level, kind="stable")  # the set is sorted: ties by hash
             prefix.append(s[order[: len(s) - -(-percent * len(s) // 100) + 1]].astype(np.int64))
             counts.append(range_counts(s))
-        return n, node, first, second, prefix, counts
+        return n, node, keys, sketch, prefix, counts
 
-    added = {"n": "long", "node": "long", "first": "long", "second": "long", "prefix": "array<long>", "counts": "binary"}
+    added = {"n": "long", "node": "binary", "keys": "array<long>", "sketch": "long", "prefix": "array<long>", "counts": "binary"}
     return staged(scanned(keyed(docs, id_col, text_col), "raw", ["id", "text_hash"], added, sign), "jaccard-signatures")
 
 
+def agreeing(one, two):
+    """In how many bins two sketches agree."""
+    apart = one.bitwiseXOR(two)
+    return sum((F.shiftrightunsigned(apart, 8 * k).bitwiseAND(F.lit(255)) == 0).cast("int") for k in range(BINS))
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (node, label: the least node reachable, where it is another) after more links (a, b) between any nodes."""
+    known = small(labels)
+    for side in "ab":
+        of = known.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+        links = links.join(of, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
+    moved = components(links.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+    renamed = small(moved).select(F.col("node").alias("label"), F.col("label").alias("now"))
+    kept = labels.join(renamed, "label", "left").select("node", F.coalesce("now", "label").alias("label"))
+    return staged(kept.unionByName(moved), "jaccard-labels")
+
+
 class SetJoin:
     """Links between nodes of one table; see the module."""
 
-    def __init__(self, docs: DataFrame, id_col="doc_id", text_col="text", width: int = 3, percent: int = 90):
+    def __init__(self, docs: DataFrame, id_col="doc_id", text_col="text", width: int = 5, percent: int = 80):
         bounded_batches(docs.sparkSession)
         self.rows = keyed(docs, id_col, text_col)
         self.width, self.percent = width, percent
         self.signed = signatures(docs, id_col, text_col, width, percent)
         # Smaller sets link with nothing but their equals.
         self.least_size = next(n for n in range(1, 1000) if 100 * n >= percent * (n + 1))
-        nodes = self.signed.where(F.col("n") >= self.least_size).groupBy("node")
-        self.nodes = staged(
-            nodes.agg(
-                *[F.min(c).alias(c) for c in ("n", "first", "second", "text_hash", "counts")], F.min_by("id", "text_hash").alias("id")
-            ),
-            "jaccard-nodes",
-        )
+        first = F.min(F.struct("text_hash", "id", "n", "keys", "sketch", "counts")).alias("first")
+        nodes = self.signed.where(F.col("n") >= self.least_size).groupBy("node").agg(first)
+        self.nodes = staged(nodes.select("node", "first.*"), "jaccard-nodes")
 
     def linked(self):
         return F.col("shared") * 100 >= self.percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))
 
-    def sets_of(self, wanted: DataFrame, node: str, keep: list[str], members: str) -> DataFrame:
-        """wanted (node, ...) with each node's set, made again from one of its texts."""
-        places = self.nodes.select(F.col("node").alias(node), F.col("id").alias("some_id"), F.col("text_hash").alias("some_text"))
-        wanted = small(staged(wanted.join(places, node), "jaccard-wanted"))
-        same = self.rows["id"].eqNullSafe(wanted["some_id"]) & (self.rows["text_hash"] == wanted["some_text"])
-        found = self.rows.join(wanted, same).select("raw", *keep)
+    def sets_of(self, wanted: DataFrame) -> DataFrame:
+        """node and its set for the wanted ones (node), made again from one of each node's texts and written once."""
+        wanted = staged(wanted.distinct().join(self.nodes, "node").select("node", F.col("id").alias("some_id"), F.col("text_hash").alias("some_text")), "jaccard-wanted")
+        near = small(wanted)
+        same = self.rows["id"].eqNullSafe(near["some_id"]) & (self.rows["text_hash"] == near["some_text"])
+        found = self.rows.join(near, same).select("raw", "node")
         width = self.width
 
         def resolve(texts):
             return [[s.tobytes() for s in shingle_sets(texts, width)]]
 
-        return scanned(found, "raw", keep, {members: "binary"}, resolve)
+        sets = staged(scanned(found, "raw", ["node"], {"members": "binary"}, resolve), "jaccard-sets")
+        # A row may be repeated as a whole; then its set was made for each.
+        return sets if sets.count() == wanted.count() else staged(sets.dropDuplicates(["node"]), "jaccard-sets")
 
     def apart(self):
         return 1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
@@ -183,19 +210,15 @@ class SetJoin:
                         kept.append(i)
                 yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
 
-        return pairs.select("a", "b", "within", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(choose, "a long, b long")
+        return pairs.select("a", "b", "within", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(choose, "a binary, b binary")
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """a, b, n_a, n_b, shared for each plausible pair of nodes (a, b and perhaps within, the largest distance of use).
-
-        The first one's set travels to the second one's, once.
-        """
-        if "within" not in pairs.columns:
-            pairs = pairs.withColumn("within", F.lit(1 - self.percent / 100))
-        pairs = staged(self.plausible(staged(pairs, "jaccard-candidates")), "jaccard-pairs")
-        one = self.sets_of(pairs, "a", ["a", "b"], "set_a")
-        two = self.sets_of(pairs.select("b").distinct(), "b", ["b"], "set_b")
-        schema = T.StructType.fromDDL("a long, b long, n_a long, n_b long, shared long")
+    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """a, b, n_a, n_b, shared for each pair of nodes (a, b). The first one's set travels to the second one's, once."""
+        pairs = small(staged(pairs.select("a", "b").distinct(), "jaccard-pairs"))
+        one = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a")).join(pairs, "a")
+        two = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
+        two = two.join(pairs.select("b"), "b", "left_semi")
+        schema = T.StructType.fromDDL("a binary, b binary, n_a long, n_b long, shared long")
 
         def compare(batches):
             for batch in batches:
@@ -206,52 +229,66 @@ class SetJoin:
                     out.append((len(x), len(y), int((every[1:] == every[:-1]).sum())))
                 columns = [pa.array([o[i] for o in out], ARROW["long"]) for i in range(3)]
                 yield pa.RecordBatch.from_arrays(batch.columns[:2] + columns, names=schema.names)
+            trimmed()
 
         # Sorted and merged, so that a task never has the Python of both steps at once.
         joined = one.hint("merge").join(two, "b").select("a", "b", "set_a", "set_b")
-        return staged(joined.mapInArrow(compare, schema).distinct(), "jaccard-verified")
+        return staged(joined.mapInArrow(compare, schema), "jaccard-verified")
+
+    def links_of(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        links = self.verified(pairs, sets).where(self.linked())
+        return staged(links.select("a", "b", self.apart().alias("distance")), "jaccard-links")
 
     def stars(self) -> tuple[DataFrame, DataFrame]:
-        """Links of nodes with the least node of their key; and members: node, leader, distance."""
-
-        def pairs(key: str) -> DataFrame:
-            groups = self.nodes.groupBy(key).agg(
-                F.min("node").alias("b"), F.min_by("n", "node").alias("n_b"), F.count(F.lit(1)).alias("count")
-            )
-            groups = staged(groups.where("count > 1").drop("count"), "jaccard-stars")
-            alike = (F.col("n") * 100 >= F.col("n_b") * self.percent) & (F.col("n_b") * 100 >= F.col("n") * self.percent)
-            return self.nodes.join(small(groups), key).where((F.col("node") != F.col("b")) & alike).select(
-                F.col("node").alias("a"), "b"
-            )
-
-        first, second = staged(pairs("first"), "jaccard-first"), staged(pairs("second"), "jaccard-second")
-        links = self.verified(first.unionByName(second).distinct()).where(self.linked())
-        links = staged(links.select("a", "b", self.apart().alias("distance")), "jaccard-star-links")
-        one = staged(links.join(first, ["a", "b"], "left_semi"), "jaccard-one")
-        # By the second key, nodes join a leader or a single one if they are neither members nor leaders themselves.
-        taken = small(staged(one.select(F.col("a").alias("x")).distinct(), "jaccard-taken"))
-        leading = small(staged(one.select(F.col("b").alias("x")).distinct(), "jaccard-leading"))
-        two = (
-            links.join(second, ["a", "b"], "left_semi")
-            .join(taken, F.col("a") == taken["x"], "left_anti")
-            .join(leading, F.col("a") == leading["x"], "left_anti")
-            .join(taken, F.col("b") == taken["x"], "left_anti")
-        )
-        members = one.unionByName(two).select(F.col("a").alias("node"), F.col("b").alias("leader"), "distance")
-        return links, staged(members, "jaccard-members")
+        """Labels after the links of nodes with the leader of a key; and members: node, leader, distance."""
+        keys = self.nodes.select(F.col("node").alias("a"), "id", "n", "sketch", F.explode("keys").alias("key"))
+        # In most bins the least id leads, as a text mostly comes before what was made from it; in the others chance decides.
+        early = F.col("key").bitwiseAND(F.lit(3)) != 3
+        rank = F.struct(early & F.col("id").isNull(), F.when(early, F.col("id")), F.xxhash64("a", "key"), "a", "n", "sketch")
+        leaders = keys.groupBy("key").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("count")).where("count > 1")
+        leaders = leaders.select("key", F.col("first.a").alias("b"), F.col("first.n").alias("n_b"), F.col("first.sketch").alias("sketch_b"))
+        leaders = small(staged(leaders, "jaccard-leaders"))
+        alike = (F.col("n") * 100 >= F.col("n_b") * self.percent) & (F.col("n_b") * 100 >= F.col("n") * self.percent)
+        agree = agreeing(F.col("sketch"), F.col("sketch_b"))
+        # Agreement of bins only says which pairs are worth a try here; links that it misses are found later.
+        likely = (agree + 2) * 100 > BINS * self.percent
+        pairs = keys.join(leaders, "key").where((F.col("a") != F.col("b")) & alike & likely)
+        pairs = staged(pairs.select("a", "b", agree.alias("agree"), early.alias("early")).distinct(), "jaccard-star-pairs")
+        sets = self.sets_of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))))
+        best = pairs.groupBy("a", "early").agg(F.max(F.struct("agree", "b")).alias("best")).select("a", "best.b")
+        links = self.links_of(best, sets)
+        labels = staged(components(links), "jaccard-labels")
+        more = self.apart_still(pairs, labels).groupBy("a", "label_b").agg(F.max(F.struct("agree", "b")).alias("best"))
+        more = self.links_of(more.select("a", "best.b"), sets)
+        if not more.isEmpty():
+            labels = merged(labels, more)
+        # Members of a leader that is a member itself stand alone: then every distance is to a cluster's own leader.
+        moved = small(staged(links.select(F.col("a").alias("moved")).distinct(), "jaccard-moved"))
+        members = links.join(moved, F.col("b") == F.col("moved"), "left_anti").groupBy(F.col("a").alias("node"))
+        members = members.agg(F.min(F.struct("distance", "b")).alias("own")).select("node", F.col("own.b").alias("leader"), "own.distance")
+        return labels, staged(members, "jaccard-members")
+
+    def apart_still(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are in different components, with their labels."""
+        labels = small(labels)
+        for side in "ab":
+            of = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+            pairs = pairs.join(of, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
+        return pairs.where("label_a != label_b")
 
-    def lists(self, members: DataFrame) -> DataFrame:
-        """Index lists (token, cluster, low, high, at): sizes and first position of a cluster's sets with the token.
+    def lists(self, labels: DataFrame, members: DataFrame) -> DataFrame:
+        """Index lists (token, cluster, label, low, high, at): sizes and first position of a cluster's sets with the token.
 
-        Only tokens that several rows have.
+        Only tokens that several components have; components are told apart by a hash of 64 bits.
         """
-        rows = self.signed.where(F.col("n") >= self.least_size)
-        tokens = rows.select("node", "n", F.posexplode("prefix").alias("position", "token"))
-        live = tokens.groupBy("token").count().where("count > 1").select("token")
-        live = small(staged(live, "jaccard-tokens"))
-        found = tokens.join(live, "token", "left_semi").join(small(members), "node", "left")
-        found = found.select("token", "position", "n", F.coalesce("leader", "node").alias("cluster"))
-        found = found.groupBy("token", "cluster").agg(
+        nodes = self.signed.where(F.col("n") >= self.least_size).select("node", "n", "prefix")
+        nodes = nodes.join(small(labels), "node", "left")
+        nodes = nodes.withColumn("label", F.coalesce("label", "node"))
+        tokens = nodes.select(F.explode("prefix").alias("token"), F.xxhash64("label").alias("of"))
+        live = tokens.groupBy("token").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low != high")
+        live = small(staged(live.select("token"), "jaccard-tokens"))
+        found = nodes.join(small(members), "node", "left").select(F.coalesce("leader", "node").alias("cluster"), "label", "n", F.posexplode("prefix").alias("position", "token"))
+        found = found.join(live, "token", "left_semi").groupBy("token", "cluster", "label").agg(
             F.min("n").alias("low"), F.max("n").alias("high"), F.min("position").alias("at")
         )
         return staged(found, "jaccard-lists")
@@ -263,7 +300,7 @@ class SetJoin:
         )
 
     def cluster_pairs(self, lists: DataFrame) -> DataFrame:
-        """Pairs of clusters (a < b) that may hold a link, from blocks of index lists."""
+        """Pairs of clusters (a < b) of different components that may hold a link, from blocks of index lists."""
         step = F.lit(float(np.log(100 / self.percent)))
 
         def band(n):
@@ -271,11 +308,11 @@ class SetJoin:
 
         def side(name: str, beyond: int) -> DataFrame:
             bands = F.explode(F.sequence(band("low"), band("high") + beyond)).alias("band")
-            return lists.select("token", bands, *[F.col(c).alias(f"{c}_{name}") for c in ("cluster", "low", "high", "at")])
+            return lists.select("token", bands, *[F.col(c).alias(f"{c}_{name}") for c in ("cluster", "label", "low", "high", "at")])
 
         # The larger set of a link is in the smaller one's band or in the next.
         met = side("a", 1).join(side("b", 0), ["token", "band"]).where(
-            (F.col("cluster_a") != F.col("cluster_b"))
+            (F.col("label_a") != F.col("label_b"))
             & (F.col("low_b") * self.percent <= F.col("high_a") * 100)
             & (F.col("low_a") <= F.col("high_b"))
             & self.room(*[F.col(c) for c in ("low_a", "low_b", "high_a", "high_b", "at_a", "at_b")])
@@ -284,7 +321,7 @@ class SetJoin:
             F.least("cluster_a", "cluster_b").alias("a"), F.greatest("cluster_a", "cluster_b").alias("b")
         ).distinct()
 
-    def leader_answers(self, near: DataFrame, members: DataFrame, reach: DataFrame) -> DataFrame:
+    def leader_answers(self, near: DataFrame, members: DataFrame, reach: DataFrame, sets: DataFrame) -> DataFrame:
         """leader_a, leader_b, node, aim, own, other, n, linked: distances of a cluster's members to the other cluster's leader.
 
         A member that is too far from that leader for a link with any of its members is left out.
@@ -298,7 +335,7 @@ class SetJoin:
             sides.append(side.select(F.col("a").alias("leader_a"), F.col("b").alias("leader_b"), "node", F.col(other).alias("aim"), F.col("distance").alias("own"), "within"))
         asked = staged(sides[0].unionByName(sides[1]), "jaccard-asked")
         pairs = asked.groupBy(F.col("node").alias("a"), F.col("aim").alias("b")).agg(F.max("within").alias("within"))
-        found = self.verified(pairs).select(F.col("a").alias("node"), F.col("b").alias("aim"), F.col("n_a").alias("n"), self.apart().alias("other"), self.linked().alias("linked"))
+        found = self.verified(self.plausible(pairs), sets).select(F.col("a").alias("node"), F.col("b").alias("aim"), F.col("n_a").alias("n"), self.apart().alias("other"), self.linked().alias("linked"))
         met = asked.join(found, ["node", "aim"]).where(F.col("other") <= F.col("within") + 1e-9)
         return staged(met.select("leader_a", "leader_b", "node", "aim", "own", "other", "n", "linked"), "jaccard-leader-answers")
 
@@ -317,52 +354,49 @@ class SetJoin:
         )
         return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def still_open(self, near: DataFrame, links: DataFrame) -> DataFrame:
-        """Cluster pairs of ``near`` that ``links`` do not connect."""
-        labels = small(staged(components(links), "jaccard-labels"))
-        for side in "ab":
-            of = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
-            near = near.join(of, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
-        return staged(near.where("label_a != label_b").select("a", "b", "apart"), "jaccard-open")
-
-    def links(self) -> DataFrame:
-        """Links (a, b) between nodes that connect exactly what all links connect."""
-        star_links, members = self.stars()
+    def labels(self) -> DataFrame:
+        """node, label (the least node reachable) for every node that links reach a smaller one from."""
+        labels, members = self.stars()
         # Members of two clusters can link only if the leaders' distance is within their own distances and a link's.
-        reach = members.groupBy("leader").agg(F.max("distance").alias("reach"))
-        reach = small(staged(reach, "jaccard-reach"))
-        pairs = staged(
-            self.cluster_pairs(self.lists(members))
+        least = 1 - self.percent / 100
+        reach = small(staged(members.groupBy("leader").agg(F.max("distance").alias("reach")), "jaccard-reach"))
+        pairs = (
+            staged(self.cluster_pairs(self.lists(labels, members)), "jaccard-cluster-pairs")
             .join(reach.select(F.col("leader").alias("a"), F.col("reach").alias("reach_a")), "a", "left")
             .join(reach.select(F.col("leader").alias("b"), F.col("reach").alias("reach_b")), "b", "left")
             .na.fill(0.0, ["reach_a", "reach_b"])
-            .select("a", "b", (1 - self.percent / 100 + F.col("reach_a") + F.col("reach_b")).alias("within")),
-            "jaccard-cluster-pairs",
+            .select("a", "b", (least + F.col("reach_a") + F.col("reach_b")).alias("within"))
         )
-        answers = self.verified(pairs)
-        direct = answers.where(self.linked()).select("a", "b")
-        found = staged(star_links.select("a", "b").unionByName(direct), "jaccard-links")
-        near = answers.where(~self.linked()).select("a", "b", self.apart().alias("apart"))
-        near = near.join(pairs, ["a", "b"]).where(F.col("apart") <= F.col("within") + 1e-9)
-        near = staged(near.select("a", "b", "apart"), "jaccard-near")
-        if near.isEmpty():
-            return found
-        near = self.still_open(near, found)
+        pairs = staged(pairs, "jaccard-within")
+        met = staged(self.plausible(pairs), "jaccard-plausible")
+        if met.isEmpty():
+            return labels
+        leaders = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node"))).distinct()
+        leaders = staged(leaders, "jaccard-met")
+        led = members.join(small(leaders.withColumnRenamed("node", "leader")), "leader", "left_semi").select("node")
+        sets = self.sets_of(leaders.unionByName(led))
+        answers = self.verified(met, sets)
+        labels = merged(labels, answers.where(self.linked()).select("a", "b"))
+        near = answers.where(~self.linked()).select("a", "b", self.apart().alias("apart")).join(pairs, ["a", "b"])
+        near = staged(near.where(F.col("apart") <= F.col("within") + 1e-9).select("a", "b", "apart"), "jaccard-near")
+        near = staged(self.apart_still(near, labels).select("a", "b", "apart"), "jaccard-open")
         if near.isEmpty():
-            return found
+            return labels
         # First members meet the other leaders, whose answers then limit which members meet each other.
-        led = self.leader_answers(near, members, reach)
-        close = led.where("linked").select(F.col("node").alias("a"), F.col("aim").alias("b"))
-        found = staged(found.unionByName(close.distinct()), "jaccard-links")
-        near = self.still_open(near, found)
+        led = self.leader_answers(near, members, reach, sets)
+        labels = merged(labels, led.where("linked").select(F.col("node").alias("a"), F.col("aim").alias("b")).distinct())
+        near = staged(self.apart_still(near, labels).select("a", "b"), "jaccard-open")
         if near.isEmpty():
-            return found
-        more = self.verified(self.member_pairs(led, near)).where(self.linked()).select("a", "b")
-        return staged(found.unionByName(more), "jaccard-links")
+            return labels
+        last = self.apart_still(self.member_pairs(led, near), labels).select("a", "b").withColumn("within", F.lit(least))
+        last = staged(self.plausible(staged(last, "jaccard-last")), "jaccard-last-plausible")
+        if last.isEmpty():
+            return labels
+        return merged(labels, self.verified(last, sets).where(self.linked()).select("a", "b"))
 
     def groups(self) -> DataFrame:
         """id, n_shingles, component_id (the least id of the component) for each row."""
-        labels = staged(components(self.links()), "jaccard-labels")
+        labels = self.labels()
         nodes = self.signed.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("some_id"))
         nodes = nodes.join(small(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
         nodes = staged(nodes, "jaccard-labelled")
@@ -376,7 +410,7 @@ class SetJoin:
 
     def spare(self) -> DataFrame:
         """id and text_hash of all rows but one of each component: the least id stays, null last, and of its texts the least hash."""
-        labels = staged(components(self.links()), "jaccard-labels")
+        labels = self.labels()
         first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("first")
         nodes = self.signed.where("node IS NOT NULL").groupBy("node").agg(first, F.count(F.lit(1)).alias("rows"))
         nodes = nodes.join(small(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -388,13 +422,13 @@ class SetJoin:
         return self.signed.join(nodes, "node").where(~own).select("id", "text_hash").distinct()
 
 
-def without_near_copies(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 3, percent: int = 90) -> DataFrame:
+def without_near_copies(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; repeated rows of one id and text stay or go together."""
     gone = small(staged(SetJoin(docs, id_col, text_col, width, percent).spare(), "near-gone"))
     same = docs[id_col].eqNullSafe(gone["id"]) & (F.xxhash64(docs[text_col].cast("binary")) == gone["text_hash"])
     return docs.join(gone, same, "left_anti")
 
 
-def near_duplicate_groups(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 3, percent: int = 90):
+def near_duplicate_groups(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 5, percent: int = 80):
     """id, n_shingles, component_id for each row."""
     return SetJoin(docs, id_col, text_col, width, percent).groups().withColumnRenamed("id", id_col)

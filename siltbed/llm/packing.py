@@ -151,7 +151,8 @@ def word_ids(path: str) -> WordIds:
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str, text_col: str, with_ids: bool = False):
-    """id, piece, start, length, ids_crc32, uid (tells equal rows apart once it is written) and the ids if wanted."""
+    """id, doc_row, piece, start, length, ids_crc32, uid and the ids if wanted; doc_row tells equal rows apart, uid pieces."""
+
     def cut(texts):
         rows, at = [], 0
         for run in runs(texts):
@@ -163,8 +164,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str, text_col
         return [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 6
 
     added = {"piece": "int", "start": "long", "length": "long", "ids_crc32": "long", "ids": "binary"}
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("raw"))
-    cuts = scanned(source, "raw", ["id"], added, cut)
+    source = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("doc_row"), F.col(text_col).cast("binary").alias("raw"))
+    cuts = scanned(source, "raw", ["id", "doc_row"], added, cut)
     return cuts.withColumn("uid", F.monotonically_increasing_id())
 
 
@@ -311,7 +312,9 @@ def pack(
     text_col: str = "text",
     with_ids: bool = False,
 ) -> DataFrame:
-    """id, piece, start, length, ids_crc32, sequence_id, offset (and ids) for each piece.
+    """id, piece, start, length, ids_crc32, sequence_id, offset, doc_row (and ids) for each piece.
+
+    doc_row numbers the rows of ``docs``, so that the pieces of a repeated document can be told apart.
 
     tokenizer: path of a tokenizer file; its pre-tokens must not reach over white space.
     """
@@ -321,7 +324,7 @@ def pack(
     poor = F.col("fill") < capacity * DISSOLVED
     again = staged(first.where(poor).drop("shard", "bin", "offset", "fill"), "pack-poor")
     second = packed_shards(again, capacity, 2)
-    columns = ["id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids"]
+    columns = ["id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "doc_row", "ids"]
 
     def placed(df: DataFrame, kind: int) -> DataFrame:
         number = (F.col("shard") * MOST_BINS + F.col("bin")) * 3 + kind

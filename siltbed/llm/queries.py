@@ -30,7 +30,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_duplicate_groups(table(spark, sf_dir, "documents"))
+    return jaccard_join.near_duplicate_groups(table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
 def op4_grouping_genetic(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ def brute_components(sets, percent=90):
 
 def compare(spark, texts, percent=90):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    rows = jaccard_join.near_duplicate_groups(docs, percent=percent).collect()
+    rows = jaccard_join.near_duplicate_groups(docs, width=3, percent=percent).collect()
     sets = brute_sets(texts)
     assert {r["doc_id"]: r["n_shingles"] for r in rows} == {i: len(s) for i, s in sets.items()}
     assert {r["doc_id"]: r["component_id"] for r in rows} == brute_components(sets, percent)
@@ -90,7 +90,7 @@ def test_odd_rows(spark):
          (8, long + " tail", "b"), (None, long, "b"), (None, "alone here now", "c")],
         "doc_id long, text string, node string",
     )
-    rows = sorted(jaccard_join.near_duplicate_groups(docs).collect(), key=str)
+    rows = sorted(jaccard_join.near_duplicate_groups(docs, width=3, percent=90).collect(), key=str)
     got = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in rows)
     assert got == sorted([("5", 0, "5"), ("4", 0, "4"), ("3", 1, "2"), ("2", 1, "2"), ("2", 1, "2"), ("9", 29_998, "8"),
                           ("8", 29_999, "8"), ("None", 29_998, "8"), ("None", 1, "None")])

@@ -1,4 +1,4 @@
-"""The pipeline's near-duplicate stages on copies that three words and 0.9 do not see, and on odd ids."""
+"""The pipeline's near-duplicate stage on copies that three words and 0.9 do not see, and on odd ids."""
 
 import random
 from itertools import combinations
@@ -7,7 +7,7 @@ import corpus_pipeline
 from siltbed.llm import queries
 from tests.llm.test_jaccard import SF, WORD, brute_components
 
-NEAR = [(name, stage) for name, stage in corpus_pipeline.STAGES if name in ("jaccard_join", "near_dedup")]
+NEAR = [(name, stage) for name, stage in corpus_pipeline.STAGES if name == "jaccard_join"]
 
 
 def five_words(texts):
@@ -46,8 +46,7 @@ def test_nothing_near_stays(spark):
         before = {r["doc_id"]: r["text"] for r in docs.collect()}
         docs = corpus_pipeline.staged(stage(spark, docs, SF), "test")
         left = {r["doc_id"]: r["text"] for r in docs.collect()}
-        if name == "near_dedup":
-            assert set(left) == set(brute_components(five_words(before), 80).values())
+        assert set(left) == set(brute_components(five_words(before), 80).values())
     sets = five_words(left)
     assert not any(5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) > 0 for a, b in combinations(sets, 2))
 

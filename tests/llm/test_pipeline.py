@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from siltbed.llm import exact_dedup, mixing, queries, url_filter
-from tests.llm.test_jaccard import brute_components, brute_sets
+from tests.llm.test_jaccard import brute_components
+from tests.llm.test_near import five_words
 from tests.llm.test_packing import checked
 
 SF = "/root/testdata/sf0.01"
@@ -79,6 +80,22 @@ def test_mixing_odd_rows(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixture_of_odd_rows(spark):
+    """Columns named like the operator's own, rows without id, repeated rows: whole rows, and no copy is lost."""
+    rows = [(i, "w " * (i % 7), "ab"[i % 2], i, 1) for i in range(200)] + [(500, "x y z", "c", 1, 1)] * 6
+    rows += [(None, f"only {i}", "a", 2, 2) for i in range(40)] + [(None, None, "a", 3, 3), (None, "", None, 4, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int, copy int")
+    wanted = defaultdict(int)
+    for r in mixing.mix(docs).collect():
+        wanted[r["source"]] += r["taken"]
+    got, whole = defaultdict(int), Counter(rows)
+    for r in mixing.mixture(docs).collect():
+        assert tuple(r) in whole
+        got[r["source"]] += len((r["text"] or "").split())
+    assert all(abs(got[s] - n) <= 4 for s, n in wanted.items())
+    assert Counter(map(tuple, mixing.mixture(docs).collect())) == Counter(map(tuple, mixing.mixture(docs.repartition(3)).collect()))
+
+
 def test_targets_are_resharing(spark):
     sizes = {"a": 10, "b": 1000, "c": 500, "d": 30, "e": 4000, "f": 1, None: 70, "g": 0}
     rows = mixing.source_targets(spark.createDataFrame(list(sizes.items()), "source string, size long")).collect()
@@ -153,7 +170,7 @@ def test_stages(spark):
                 best[low] = max(i, best.get(low, i))
             assert sorted(ids) == sorted(best.values()) and len(ids) < len(before)
         if name == "jaccard_join":
-            found = brute_components(brute_sets({i: r["text"] for i, r in before.items()}))
+            found = brute_components(five_words({i: r["text"] for i, r in before.items()}), 80)
             assert sorted(ids) == sorted(set(found.values())) and len(ids) < len(before)
         if name == "mixing":
             size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"])) for i, r in before.items()}
