@@ -26,11 +26,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm._common import ARROW, bounded_batches, chained, mixed, runs, scanned, small, staged, trimmed, word_codes
+from siltbed.llm._common import ARROW, bounded_batches, chained, dropped, mixed, runs, scanned, small, staged, trimmed, word_codes
 from siltbed.llm.components import components
 
 #: The sketch has 2**BITS counters whatever the size of the corpus.
@@ -81,7 +81,7 @@ def most_shared(one: bytes, two: bytes, sizes: tuple[int, int]) -> int:
 
 
 def levels_of(docs: DataFrame, text: str, width: int) -> np.ndarray:
-    """For each counter of the sketch, how many doublings its count is above twice the mean; 0 for most."""
+    """For each counter of the sketch, how many doublings its count is above the spread of the others; 0 for most."""
 
     def count(batches):
         total = np.zeros(1 << BITS, np.int64)
@@ -97,7 +97,10 @@ def levels_of(docs: DataFrame, text: str, width: int) -> np.ndarray:
     found = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # at most 2**BITS rows
     counts = np.zeros(1 << BITS)
     counts[found["cell"]] = found["n"]
-    return np.clip(np.log2(np.maximum(counts, 1) / max(2 * counts.mean(), 1)) + 1, 0, 60).astype(np.uint8)
+    # Rare shingles of one counter add up to about the median; what is clear of their spread has a frequent one.
+    middle = np.median(counts)
+    spread = max(1.0, middle**0.5, 1.5 * np.median(np.abs(counts - middle)))
+    return np.clip(np.log2(np.maximum(counts - middle, 1) / (3 * spread)) + 1, 0, 60).astype(np.uint8)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -147,6 +150,11 @@ def agreeing(one, two):
     return sum((F.shiftrightunsigned(apart, 8 * k).bitwiseAND(F.lit(255)) == 0).cast("int") for k in range(BINS))
 
 
+def number(column: str) -> Column:
+    """A number of 64 bits for a node, under the column's name."""
+    return F.xxhash64(column).alias(column)
+
+
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels (node, label: the least node reachable, where it is another) after more links (a, b) between any nodes."""
     known = small(labels)
@@ -242,10 +250,12 @@ class SetJoin:
     def stars(self) -> tuple[DataFrame, DataFrame]:
         """Labels after the links of nodes with the leader of a key; and members: node, leader, distance."""
         keys = self.nodes.select(F.col("node").alias("a"), "id", "n", "sketch", F.explode("keys").alias("key"))
+        shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("count")).where("count > 1").select("key")
+        keys = keys.join(small(staged(shared, "jaccard-keys")), "key", "left_semi")
         # In most bins the least id leads, as a text mostly comes before what was made from it; in the others chance decides.
         early = F.col("key").bitwiseAND(F.lit(3)) != 3
         rank = F.struct(early & F.col("id").isNull(), F.when(early, F.col("id")), F.xxhash64("a", "key"), "a", "n", "sketch")
-        leaders = keys.groupBy("key").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("count")).where("count > 1")
+        leaders = keys.groupBy("key").agg(F.min(rank).alias("first"))
         leaders = leaders.select("key", F.col("first.a").alias("b"), F.col("first.n").alias("n_b"), F.col("first.sketch").alias("sketch_b"))
         leaders = small(staged(leaders, "jaccard-leaders"))
         alike = (F.col("n") * 100 >= F.col("n_b") * self.percent) & (F.col("n_b") * 100 >= F.col("n") * self.percent)
@@ -262,6 +272,7 @@ class SetJoin:
         more = self.links_of(more.select("a", "best.b"), sets)
         if not more.isEmpty():
             labels = merged(labels, more)
+        dropped(sets, pairs)
         # Members of a leader that is a member itself stand alone: then every distance is to a cluster's own leader.
         moved = small(staged(links.select(F.col("a").alias("moved")).distinct(), "jaccard-moved"))
         members = links.join(moved, F.col("b") == F.col("moved"), "left_anti").groupBy(F.col("a").alias("node"))
@@ -277,18 +288,22 @@ class SetJoin:
         return pairs.where("label_a != label_b")
 
     def lists(self, labels: DataFrame, members: DataFrame) -> DataFrame:
-        """Index lists (token, cluster, label, low, high, at): sizes and first position of a cluster's sets with the token.
+        """Index lists (token, cluster, label, low, high, at), clusters and labels by number: sizes and first position of a cluster's sets with the token.
 
         Only tokens that several components have; components are told apart by a hash of 64 bits.
         """
         nodes = self.signed.where(F.col("n") >= self.least_size).select("node", "n", "prefix")
-        nodes = nodes.join(small(labels), "node", "left")
-        nodes = nodes.withColumn("label", F.coalesce("label", "node"))
-        tokens = nodes.select(F.explode("prefix").alias("token"), F.xxhash64("label").alias("of"))
+        known = small(labels)
+        labelled = nodes.join(known, "node", "left").select("prefix", F.xxhash64(F.coalesce("label", "node")).alias("of"))
+        tokens = labelled.select(F.explode("prefix").alias("token"), "of")
         live = tokens.groupBy("token").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low != high")
         live = small(staged(live.select("token"), "jaccard-tokens"))
-        found = nodes.join(small(members), "node", "left").select(F.coalesce("leader", "node").alias("cluster"), "label", "n", F.posexplode("prefix").alias("position", "token"))
-        found = found.join(live, "token", "left_semi").groupBy("token", "cluster", "label").agg(
+        # Rows are many here: numbers of 64 bits stand for nodes, clusters and labels, and are resolved afterwards.
+        found = nodes.select(number("node"), F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("position", "token"))
+        found = staged(found.join(live, "token", "left_semi"), "jaccard-entries")
+        for name, table in (("label", labels), ("leader", members)):
+            found = found.join(small(staged(table.select(number("node"), number(name)), "jaccard-numbers")), "node", "left")
+        found = found.groupBy("token", F.coalesce("leader", "node").alias("cluster"), F.coalesce("label", "node").alias("label")).agg(
             F.min("n").alias("low"), F.max("n").alias("high"), F.min("position").alias("at")
         )
         return staged(found, "jaccard-lists")
@@ -317,9 +332,13 @@ class SetJoin:
             & (F.col("low_a") <= F.col("high_b"))
             & self.room(*[F.col(c) for c in ("low_a", "low_b", "high_a", "high_b", "at_a", "at_b")])
         )
-        return met.select(
-            F.least("cluster_a", "cluster_b").alias("a"), F.greatest("cluster_a", "cluster_b").alias("b")
-        ).distinct()
+        pairs = met.select(
+            F.least("cluster_a", "cluster_b").alias("first"), F.greatest("cluster_a", "cluster_b").alias("second")
+        )
+        pairs = staged(pairs.distinct(), "jaccard-numbered-pairs")
+        for side, own in (("first", "a"), ("second", "b")):
+            pairs = pairs.join(self.nodes.select(number("node").alias(side), F.col("node").alias(own)), side)
+        return pairs.select("a", "b")
 
     def leader_answers(self, near: DataFrame, members: DataFrame, reach: DataFrame, sets: DataFrame) -> DataFrame:
         """leader_a, leader_b, node, aim, own, other, n, linked: distances of a cluster's members to the other cluster's leader.
@@ -360,14 +379,16 @@ class SetJoin:
         # Members of two clusters can link only if the leaders' distance is within their own distances and a link's.
         least = 1 - self.percent / 100
         reach = small(staged(members.groupBy("leader").agg(F.max("distance").alias("reach")), "jaccard-reach"))
+        lists = self.lists(labels, members)
         pairs = (
-            staged(self.cluster_pairs(self.lists(labels, members)), "jaccard-cluster-pairs")
+            self.cluster_pairs(lists)
             .join(reach.select(F.col("leader").alias("a"), F.col("reach").alias("reach_a")), "a", "left")
             .join(reach.select(F.col("leader").alias("b"), F.col("reach").alias("reach_b")), "b", "left")
             .na.fill(0.0, ["reach_a", "reach_b"])
             .select("a", "b", (least + F.col("reach_a") + F.col("reach_b")).alias("within"))
         )
-        pairs = staged(pairs, "jaccard-within")
+        pairs = staged(pairs, "jaccard-cluster-pairs")
+        dropped(lists)
         met = staged(self.plausible(pairs), "jaccard-plausible")
         if met.isEmpty():
             return labels
