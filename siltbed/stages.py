@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side of a join is broadcast by hint only if it was counted and has at most this many narrow rows (under 64 MB).
-BROADCAST_ROWS = 1_000_000
+#: A side of a join is broadcast by hint only if it was counted and has at most this many narrow rows, of some 64 bytes.
+BROADCAST_ROWS = 200_000
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -18,6 +19,8 @@ def stage_root(spark: SparkSession) -> str:
     if not named:
         sc = spark.sparkContext
         if sc.getCheckpointDir() is None:
+            if not re.match(r"local(\[|$)", sc.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="stages-"))
         named = sc.getCheckpointDir()
     return named.rstrip("/")
