@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm._common import ascii_lower, mixed, staged
+from siltbed.llm._common import ascii_lower, mixed, small, staged
 
 MAX_LISTED = 2_000_000
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -58,7 +58,13 @@ class Cascade:
 
     @classmethod
     def closed(cls, first: Bloom | None, listed: np.ndarray, passed: np.ndarray) -> Cascade:
-        """passed: the other keys of the universe that ``first`` lets through."""
+        """passed: the other keys of the universe that ``first`` lets through.
+
+        An unlisted key with all 128 bits of a listed one could never be told from it: it counts as listed, so that the
+        levels end.
+        """
+        pairs = [np.ascontiguousarray(x).view([("", np.uint64)] * 2).ravel() for x in (passed, listed)]
+        passed = passed[~np.isin(*pairs)]
         levels, inside, outside = ([first] if first is not None else []), passed, listed
         while len(inside):
             levels.append(Bloom(inside, 0.5, 1000 + len(levels)))
@@ -76,13 +82,24 @@ class Cascade:
 
 
 def hashes(key: Column) -> Column:
-    return F.array(F.xxhash64(key), F.xxhash64(key, F.lit(1)))
+    """Two numbers of 64 bits that do not depend on each other: seeding one with the other would give 64 bits in all."""
+    return F.array(F.xxhash64(F.concat(F.lit("a:"), key)), F.xxhash64(F.concat(F.lit("b:"), key)))
 
 
 def as_pairs(rows) -> np.ndarray:
     return np.array([list(r) for r in rows], np.int64).reshape(-1, 2).view(np.uint64)
 
 
+def passing(universe: DataFrame, level: Bloom):
+    shared = universe.sparkSession.sparkContext.broadcast(level)
+
+    @F.pandas_udf("boolean")
+    def passes(h: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.has(as_pairs(h)))
+
+    return passes
+
+
 def build(universe: DataFrame, listed: DataFrame) -> Cascade:
     """universe, listed: one string column ``key`` each. At most ``MAX_LISTED`` listed keys."""
     listed = staged(listed.dropDuplicates(["key"]).select("key", hashes(F.col("key")).alias("h")), "cascade-listed")
@@ -92,19 +109,15 @@ def build(universe: DataFrame, listed: DataFrame) -> Cascade:
     if not n:
         return Cascade([])
     keys = as_pairs(r["h"] for r in listed.select("h").toLocalIterator())
-    others = universe.join(F.broadcast(listed.select("key")), "key", "left_anti")
+    others = universe.join(small(listed.select("key")), "key", "left_anti")
     s = others.agg(F.approx_count_distinct("key")).first()[0]
-    first = Bloom(keys, min(0.5, n / (math.sqrt(2) * max(s, 1))), 1)
-    shared = universe.sparkSession.sparkContext.broadcast(first)
-
-    @F.pandas_udf("boolean")
-    def passes(h: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.has(as_pairs(h)))
-
-    wrong = others.select(hashes(F.col("key")).alias("h")).where(passes("h")).distinct()
-    wrong = staged(wrong, "cascade-wrong")
-    if wrong.count() > 8 * n + 1000:
-        raise ValueError("level 1 lets too many keys through")
+    rate = min(0.5, n / (math.sqrt(2) * max(s, 1)))
+    while True:  # once, unless the universe was counted far too low
+        first = Bloom(keys, rate, 1)
+        wrong = staged(others.select(hashes(F.col("key")).alias("h")).where(passing(universe, first)("h")).distinct(), "cascade-wrong")
+        if wrong.count() <= 8 * n + 1000:
+            break
+        rate /= 8
     return Cascade.closed(first, keys, as_pairs(r["h"] for r in wrong.toLocalIterator()))
 
 
@@ -114,31 +127,17 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return ascii_lower(found[0]), found[1]
 
 
-def keys_of(host: Column, path: Column, label_counts: list[int], lengths: list[int]) -> Column:
-    """The keys a rule could have, longest first: array of (size, host_size, key)."""
+def keys_of(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Column:
+    """The keys a rule of one of the shapes (labels, length of the path) could have, longest first: (size, host_size, key)."""
     labels = F.split(host, r"\.")
-    count = F.size(labels)
-    suffixes = F.filter(
-        F.array(*[F.when(count >= n, F.array_join(F.slice(labels, -n, n), ".")) for n in label_counts]),
-        lambda s: s.isNotNull(),
-    )
-    prefixes = F.filter(
-        F.array(*[F.when(F.char_length(path) >= n, F.substring(path, 1, n)) for n in lengths]), lambda p: p.isNotNull()
-    )
-    keys = F.flatten(
-        F.transform(
-            suffixes,
-            lambda s: F.transform(
-                prefixes,
-                lambda p: F.struct(
-                    F.char_length(F.concat(s, p)).alias("size"),
-                    F.char_length(s).alias("host_size"),
-                    F.concat(s, p).alias("key"),
-                ),
-            ),
-        )
-    )
-    return F.sort_array(keys, asc=False)
+    suffix = {n: F.array_join(F.slice(labels, -n, n), ".") for n in {n for n, _ in shapes}}
+
+    def key(n: int, length: int) -> Column:
+        own = F.concat(suffix[n], F.substring(path, 1, length))
+        fits = (F.size(labels) >= n) & (F.char_length(path) >= length)
+        return F.when(fits, F.struct(F.char_length(own).alias("size"), F.char_length(suffix[n]).alias("host_size"), own.alias("key")))
+
+    return F.sort_array(F.filter(F.array(*[key(*s) for s in shapes]), lambda k: k.isNotNull()), asc=False)
 
 
 def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -148,10 +147,10 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
                      F.char_length("path").alias("length"), "action"),
         "url-rules",
     )
-    shapes = rules.agg(F.collect_set("labels").alias("labels"), F.collect_set("length").alias("lengths")).first()
+    shapes = sorted(map(tuple, rules.select("labels", "length").distinct().collect())) or [(1, 0)]  # a row a shape
     host, path = url_parts(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
-    keyed = rows.withColumn("keys", keys_of(F.col("host"), F.col("path"), *[sorted(x) or [0] for x in shapes]))
+    keyed = rows.withColumn("keys", keys_of(F.col("host"), F.col("path"), shapes))
     if rules.count() > MAX_LISTED:
         return judged_by_join(keyed, rules).withColumnRenamed("id", id_col)
     universe = keyed.select(F.explode("keys.key").alias("key")).distinct()
