@@ -2,7 +2,7 @@
 
 Counting is one pass: each task keeps a count vector for each language and emits its non-zero cells, which are summed
 before and after one shuffle. The model is a matrix of (features, languages) log probabilities, of fixed feature count,
-so the broadcast is bounded by ``max_languages``. Scoring takes batches of texts as sparse rows of feature positions.
+so the broadcast is of 256 KiB for each language that was learned. Scoring takes batches of texts as sparse rows of feature positions.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so is every text if nothing was
 learned; rows with null language teach nothing; repeated rows count each time; other columns are ignored.
@@ -24,6 +24,12 @@ SIZES, BITS = (1, 2, 3), 16
 LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; digits in superscript, fractions and numerals pass the pattern but are none."""
+    found = LETTER.search(text)
+    return bool(found) and (found[0].isalpha() or any(map(str.isalpha, text)))
+
+
 class LanguageModel:
     """languages: sorted values; weights: (2**BITS + 1, languages) with a zero row for no n-gram; prior: log shares."""
 
@@ -42,13 +48,13 @@ class LanguageModel:
             best = sums.argmax(axis=1)
             share = 1 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
             for i, t in enumerate(run):
-                if LETTER.search(t):
+                if has_letter(t):
                     names[first + i], scores[first + i] = self.languages[best[i]], float(share[i])
         return names, scores
 
 
-def learn(docs: DataFrame, text_col="text", lang_col="lang", smoothing: float = 0.5, max_languages: int = 256):
-    """A LanguageModel of all rows of ``docs`` that have a language. More than ``max_languages`` is an error."""
+def learn(docs: DataFrame, text_col="text", lang_col="lang", smoothing: float = 0.5):
+    """A LanguageModel of all rows of ``docs`` that have a language."""
     bounded_batches(docs.sparkSession)
     source = docs.where(F.col(lang_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
@@ -70,9 +76,7 @@ def learn(docs: DataFrame, text_col="text", lang_col="lang", smoothing: float =
 
     cells = source.mapInPandas(count, "lang string, feature long, n long")
     cells = staged(cells.groupBy("lang", "feature").agg(F.sum("n").alias("n")), "langid-counts")
-    priors = {r["lang"]: r["n"] for r in cells.where("feature < 0").limit(max_languages + 1).collect()}
-    if len(priors) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
+    priors = {r["lang"]: r["n"] for r in cells.where("feature < 0").collect()}  # a row a language
     languages = sorted(priors)
     if not languages:
         return LanguageModel([], np.zeros(((1 << BITS) + 1, 0), np.float32), np.zeros(0))

@@ -182,8 +182,6 @@ def test_language_odd_rows(spark):
     assert rows == {1: "en", 2: "de", 3: "und", 4: "und", None: "de"}
     nothing = langid.learn(docs.limit(0))
     assert {r["lang_pred"] for r in langid.identify(docs, nothing).collect()} == {"und"}
-    with pytest.raises(ValueError, match="languages"):
-        langid.learn(docs, max_languages=1)
 
 
 def test_naive_bayes_is_the_formula(spark):
