@@ -14,6 +14,8 @@ rows; an empty table gives an empty result; other columns are not carried. All s
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 import unicodedata
 
 import pyarrow as pa
@@ -218,8 +220,11 @@ def added(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, i
         first = first.by(BRACKETED, sign_of)
     out = []
     if first.text is not text:
+        known = {k: ([b for b, j, _ in base if j == k], [d for _, j, d in base if j == k]) for k in range(len(KINDS))}
         for s, k, e in first.spans():
-            if not any(b <= s and e <= d and j == k for b, j, d in base):
+            starts, ends = known[k]  # those of a kind do not overlap
+            at = bisect_right(starts, s)
+            if not at or ends[at - 1] < e:
                 out.append((s, k, e))
     second, low = first, "\n" + first.text.lower()
     if PERHAPS_SPELLED.search(low):
@@ -228,12 +233,14 @@ def added(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, i
             second = second.by(SPELLED_AFTER, digit_after)
     if any(w in low for w in ("dot", "punkt", "punto", "point")):
         second = second.by(BARE_AT, whole("@")).by(BARE_DOT, whole("."))
-    if second is not first and SIGN_WORD.search(second.text):
+    if SIGN_WORD.search(second.text):
         second = second.by(SIGN_WORD, sign_word)
     if second is not first:
-        taken = base + out
+        taken = sorted(base + out)
+        starts, ends = [b for b, _, _ in taken], list(accumulate((d for _, _, d in taken), max))
         for s, k, e in second.spans():
-            if not any(b < e and s < d for b, _, d in taken):
+            at = bisect_left(starts, e)
+            if not at or ends[at - 1] <= s:
                 out.append((s, k, e))
     return out
 
