@@ -60,15 +60,15 @@ def counts_of(texts):
 class NeighbourModel:
     """idf and basis make vectors; refs are the labelled unit vectors, labels their 0/1 labels."""
 
-    def __init__(self, idf, basis, refs, labels, neighbours: int):
-        self.idf, self.basis, self.refs, self.labels, self.neighbours = idf, basis, refs, labels, neighbours
+    def __init__(self, idf, basis, refs, labels, neighbours: int, again: float):
+        self.idf, self.basis, self.refs, self.labels, self.neighbours, self.again = idf, basis, refs, labels, neighbours, again
 
     def weighted(self, counts: np.ndarray) -> np.ndarray:
         rows = np.log1p(counts.astype(np.float32)) * self.idf
         return unit(rows)
 
     def vectors(self, counts: np.ndarray, again: np.ndarray) -> np.ndarray:
-        return unit(np.column_stack([unit(self.weighted(counts) @ self.basis), AGAIN * np.sqrt(again)]))
+        return unit(np.column_stack([unit(self.weighted(counts) @ self.basis), self.again * np.sqrt(again)]))
 
     def scores(self, texts) -> np.ndarray:
         out = np.full(len(texts), self.labels.mean() if len(self.labels) else 0.5)
@@ -126,6 +126,7 @@ def fit(
     sample_rows: int = 4096,
     rank: int = 64,
     neighbours: int = 9,
+    again: float = AGAIN,
 ) -> NeighbourModel:
     """Fit on at most ``sample_rows`` of ``labels`` (id, label); statistics cover all of ``docs``."""
     present, n_docs = document_frequencies(docs, text_col)
@@ -138,8 +139,8 @@ def fit(
         .limit(sample_rows)
     )
     chosen = F.broadcast(staged(chosen, "quality-sample"))  # at most sample_rows rows
-    rows = docs.join(chosen, docs[id_col] == chosen["label_id"]).select(docs[text_col].alias("text"), "label_id", "label")
-    rows = rows.dropDuplicates(["label_id"])
+    texts = docs.select(F.col(id_col).alias("own_id"), F.col(text_col).alias("text"))
+    rows = texts.join(chosen, F.col("own_id") == F.col("label_id")).groupBy("label_id", "label").agg(F.min("text").alias("text"))
 
     def sparse(batches):
         for pdf in batches:
@@ -160,7 +161,7 @@ def fit(
     kind = rows.schema["label_id"].dataType.simpleString()
     sample = rows.mapInPandas(sparse, f"label_id {kind}, label double, at binary, n binary, again float")
     sample = sample.orderBy("label_id").toPandas()  # at most sample_rows sparse rows
-    model = NeighbourModel(idf, np.zeros((WIDTH, 1), np.float32), np.zeros((0, 2), np.float32), np.zeros(0), neighbours)
+    model = NeighbourModel(idf, np.zeros((WIDTH, 1), np.float32), np.zeros((0, 2), np.float32), np.zeros(0), neighbours, again)
     if len(sample):
         dense = np.zeros((len(sample), WIDTH), np.float32)
         for i, (at, n) in enumerate(zip(sample["at"], sample["n"], strict=True)):
@@ -168,8 +169,8 @@ def fit(
         for low in range(0, len(dense), BLOCK):
             dense[low : low + BLOCK] = model.weighted(dense[low : low + BLOCK])
         model.basis = basis_of(dense, rank)
-        again = sample["again"].to_numpy(np.float32)
-        model.refs = unit(np.column_stack([unit(dense @ model.basis), AGAIN * np.sqrt(again)]))
+        repeats = sample["again"].to_numpy(np.float32)
+        model.refs = unit(np.column_stack([unit(dense @ model.basis), again * np.sqrt(repeats)]))
         model.labels = sample["label"].to_numpy(float)
     return model
 
