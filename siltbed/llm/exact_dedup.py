@@ -1,9 +1,10 @@
 """Exact dedup as a log-structured merge index, in DataFrame operations only.
 
 Each scanning task is a memtable: it flushes one *run*, a file of (digest, id) rows sorted by digest, with min/max
-statistics and a Bloom filter on the digest. Nothing here looks digests up by them: decisions are joins.
+statistics and a Bloom filter on the digest.
 Compaction merges runs by digest, keeps one id of each digest (pre-aggregated before the shuffle) and writes the
-next level range-partitioned and sorted, again with filters. A *hit* is a digest that occurs more than once; hits are
+next level range-partitioned and sorted, again with filters. A *hit* is a digest that occurs more than once. The hits
+get a filter of fixed size, which the second pass over the texts probes before anything is joined; what passes is
 verified on the bytes of their texts: rows with one digest and different bytes become different groups.
 
 Defined results: null text counts as empty; null ids never stay while their group has an id; repeated rows (same id and
@@ -20,6 +21,31 @@ from siltbed.llm._common import ascii_lower, small, staged
 FILTER = {"parquet.bloom.filter.enabled#digest": "true", "parquet.bloom.filter.adaptive.enabled#digest": "true"}
 
 
+#: Bits of the filter over hits, whatever their number; 64 of them are a row, so that it has at most 131,072 rows.
+FILTER_BITS = 23
+
+
+def places(digest: Column) -> list[Column]:
+    """The two bits of a digest in the filter."""
+    return [F.xxhash64(digest, F.lit(i)).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) for i in range(2)]
+
+
+def filter_of(digests: DataFrame) -> DataFrame:
+    """A Bloom filter as rows (word, bits)."""
+    at = digests.select(F.explode(F.array(*places(F.col("digest")))).alias("at"))
+    bit = F.expr("shiftleft(1L, CAST(at & 63 AS INT))")
+    return staged(at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(bit).alias("bits")), "dedup-filter")
+
+
+def probed(rows: DataFrame, words: DataFrame) -> DataFrame:
+    """The rows whose ``digest`` the filter lets through: all that it was made of, and few others."""
+    for i, at in enumerate(places(F.col("digest"))):
+        own = F.broadcast(words.select(F.col("word").alias(f"word_{i}"), F.col("bits").alias(f"bits_{i}")))
+        found = rows.withColumn(f"at_{i}", at).join(own, F.shiftright(f"at_{i}", 6) == F.col(f"word_{i}"))
+        rows = found.where(f"bits_{i} & shiftleft(1L, CAST(at_{i} & 63 AS INT)) != 0").drop(f"at_{i}", f"word_{i}", f"bits_{i}")
+    return rows
+
+
 def sha256_of(norm: Column) -> Column:
     return F.unhex(F.sha2(norm, 256))
 
@@ -54,7 +80,8 @@ class DigestIndex:
     def verify(self, docs: DataFrame, level: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Groups of hits by (digest, bytes), and the keyed rows of hits. Equal bytes meet before the shuffle."""
         hits = staged(level.where("n > 1").select("digest"), "dedup-hits")
-        rows = self.keyed(docs).join(small(hits), "digest", "left_semi")
+        # The second pass over the texts probes the hits' filter, so that other texts are never dealt out for the join.
+        rows = probed(self.keyed(docs), filter_of(hits)).join(small(hits), "digest", "left_semi")
         groups = rows.groupBy("digest", "norm").agg(
             self.best("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
         )
@@ -102,5 +129,6 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     left = docs.join(small(gone), same(gone), "left_anti")
     if repeated.isEmpty():
         return left
-    once = docs.join(small(repeated), same(repeated), "left_semi").dropDuplicates([id_col, text_col])
+    once = docs.join(small(repeated), same(repeated), "left_semi").withColumn("dedup digest", digest)
+    once = once.dropDuplicates([id_col, "dedup digest"]).drop("dedup digest")
     return left.join(small(repeated), same(repeated), "left_anti").unionByName(once)
