@@ -5,8 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import itertools
-import tempfile
-import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -16,46 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltbed.stages import dropped, small, staged  # noqa: F401
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-#: A side of a join is broadcast by hint only if it was counted and has at most this many narrow rows, of some 64 bytes.
-BROADCAST_ROWS = 200_000
-
-
-def stage_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; one of our own only where that setting is absent, as in local tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        sc = spark.sparkContext
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="stages-"))
-        named = sc.getCheckpointDir()
-    return named.rstrip("/")
-
-
-def staged(df: DataFrame, label: str, **options: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage ends here and a lost executor costs a reread."""
-    spark = df.sparkSession
-    path = f"{stage_root(spark)}/tables/{label}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def dropped(*frames: DataFrame) -> None:
-    """Delete staged tables that nothing reads any more."""
-    for df in frames:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(conf).delete(where, True)
-
-
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A staged narrow table, marked for broadcast only if its counted rows stay within the bound."""
-    return F.broadcast(df) if df.count() <= rows else df
-
-
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else. For pure ASCII text ``lower`` does just that, on a faster path."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(
