@@ -81,7 +81,7 @@ ARROW = {
 
 
 #: Most bytes of an Arrow batch on its way to Python; the JVM and the worker each hold some of them.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def trimmed() -> None:

@@ -38,7 +38,7 @@ BITS = 18
 #: Bins of a set's hashes, by their low bits; the least hash of each is a key under which nodes meet their leader.
 BINS = 8
 #: Bytes of texts whose shingles are made at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Shingles of a hash range on average, up to twice as many: the ranges' counts bound the overlap of two sets.
 RANGE_SHINGLES = 2
 
