@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("corpus", "timeline", "places")
+MODULES = ("corpus", "timeline", "places", "evidence")
 FLAGSHIP = "dedup_keep_best"
 
 QUERIES, ORACLE_SQL = {}, {}

@@ -108,6 +108,46 @@ def bd09_inverse(lon: Column, lat: Column) -> tuple[Column, Column]:
     return z * F.cos(turn), z * F.sin(turn)
 
 
+def gcj02_inverse(lon: Column, lat: Column, rounds: int = 12) -> tuple[Column, Column]:
+    """WGS84 of a shifted place, by taking the shift of the last guess off again; unchanged outside the box."""
+
+    def closer(at: Column, _: Column) -> Column:
+        x, y = gcj02(at[0], at[1])
+        return F.array(at[0] - (x - lon), at[1] - (y - lat))
+
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.array(lon, lat), closer)
+    inside = in_china(lon, lat)
+    return F.when(inside, found[0]).otherwise(lon), F.when(inside, found[1]).otherwise(lat)
+
+
+def planar_bearing(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Degrees from north on the plane at the mean latitude, from -180 to 180."""
+    east = (lon2 - lon1) * F.cos(F.radians((lat1 + lat2) / 2.0))
+    return F.degrees(F.atan2(east, lat2 - lat1))
+
+
+METRES_A_MILE = 1609.344
+
+
+def in_unit(metres: Column, unit: str) -> Column:
+    return metres / {"m": 1.0, "km": 1000.0, "mile": METRES_A_MILE}[unit]
+
+
+def point_of_wkt(text: Column) -> tuple[Column, Column]:
+    """Longitude and latitude of the first POINT of a text; null where there is none or it is off the globe."""
+    number = r"(-?[0-9]+(?:\.[0-9]+)?)"
+    pattern = rf"(?i)POINT\s*\(\s*{number}\s+{number}\s*\)"
+    lon, lat = (F.nullif(F.regexp_extract(text, pattern, i), F.lit("")).cast("double") for i in (1, 2))
+    on_globe = lon.between(-180, 180) & lat.between(-90, 90)
+    return F.when(on_globe, lon), F.when(on_globe, lat)
+
+
+def wkt_of_box(west: Column, south: Column, east: Column, north: Column) -> Column:
+    corners = [(west, south), (east, south), (east, north), (west, north), (west, south)]
+    pairs = [F.concat_ws(" ", x.cast("string"), y.cast("string")) for x, y in corners]
+    return F.concat(F.lit("POLYGON(("), F.concat_ws(",", *pairs), F.lit("))"))
+
+
 def point_in_ring(lon: Column, lat: Column, ring: Column) -> Column:
     """Parity of crossings of a closed ring (array of struct lon, lat); the boundary is undefined."""
     edges = F.arrays_zip(

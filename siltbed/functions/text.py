@@ -18,7 +18,13 @@ AUTHOR_SUFFIXES = ("的作品", "up")
 VIDEO_ID = r"BV[0-9A-Za-z]{10}"
 AFFIX_LENGTHS = (8, 10, 12, 14, 16, 18, 20, 24, 28, 32, 36, 40)
 SECRET_KEY = r"(?i)(api[_-]?key|access[_-]?key|secret|token|password|passwd|authorization|credential)"
-SECRET_VALUE = r"(sk-[A-Za-z0-9]{16,}|AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{20,}|Bearer [A-Za-z0-9._-]{16,}|[0-9a-f]{40})"
+SECRET_VALUE = r"(sk-[A-Za-z0-9_-]{16,}|AIza[A-Za-z0-9_-]{20,}|Bearer\s+[A-Za-z0-9._-]{16,})"
+REDACTED = "***REDACTED***"
+# IPv4 ranges that are not routed publicly.
+NOT_GLOBAL = (
+    r"^(0\.|10\.|127\.|169\.254\.|192\.168\.|192\.0\.0\.|192\.0\.2\.|198\.51\.100\.|203\.0\.113\.|198\.1[89]\.|"
+    r"172\.(1[6-9]|2[0-9]|3[01])\.|100\.(6[4-9]|[7-9][0-9]|1[01][0-9]|12[0-7])\.|(22[4-9]|2[3-5][0-9])\.)"
+)
 LOGIN_WORDS = ("login required", "please log in", "sign in to continue", "captcha", "access denied", "paywall")
 COMPASS = ("N", "NE", "E", "SE", "S", "SW", "W", "NW")
 
@@ -105,7 +111,12 @@ def has_credentials(text: Column) -> Column:
 
 
 def redacted(text: Column) -> Column:
-    return F.regexp_replace(text, SECRET_VALUE, "[redacted]")
+    return F.regexp_replace(text, SECRET_VALUE, REDACTED)
+
+
+def redacted_fields(fields: Column) -> Column:
+    """A map of strings with the values of credential keys, and credentials inside other values, written over."""
+    return F.transform_values(fields, lambda k, v: F.when(k.rlike(SECRET_KEY), REDACTED).otherwise(redacted(v)))
 
 
 def page_title(html: Column) -> Column:
@@ -153,10 +164,17 @@ def url_host(url: Column) -> Column:
 
 
 def public_http(url: Column) -> Column:
-    """http or https, with a host that is no local name and no private address."""
-    host = url_host(url)
-    private = r"^(localhost|127\..*|10\..*|192\.168\..*|169\.254\..*|172\.(1[6-9]|2[0-9]|3[01])\..*|0\..*|.*\.local|.*\.internal)$"
-    return F.coalesce(url.rlike("^https?://") & (host != "") & ~host.rlike(private), F.lit(False))
+    """http or https without user info, with a named host that is not local or a public IPv4 address in plain form.
+
+    Anything else fails: IPv6, other spellings of addresses, odd ports. Names are not looked up.
+    """
+    parts = r"^(?i:https?)://([^/?#\\]*)"
+    host = F.regexp_replace(F.lower(F.regexp_extract(url, parts, 1)), r"(:[0-9]{1,5})?$", "")
+    host = F.regexp_replace(host, r"\.$", "")
+    named = host.rlike(r"^([a-z0-9_]([a-z0-9_-]*[a-z0-9_])?\.)+[a-z]([a-z0-9-]*[a-z0-9])?$") & ~host.rlike(r"(^|\.)(localhost|local|internal)$")
+    address = host.rlike(r"^((25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$") & ~host.rlike(NOT_GLOBAL)
+    plain = ~url.rlike(r"[\\\s\x00-\x1F]")  # readers differ in where such an address ends
+    return F.coalesce(url.rlike(parts) & plain & (named | address), F.lit(False))
 
 
 def formula_safe(value: Column) -> Column:

@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltbed.operators.tasks import chunk_runs
+from siltbed.stages import staged
+
 
 def merged(df: DataFrame, key: list[str], start: str, end: str, gap: float = 1e-3) -> DataFrame:
     """Islands of intervals that overlap or lie at most ``gap`` apart: key, start, end, members."""
@@ -109,15 +112,20 @@ def adjacent_merged(df: DataFrame, key: str, gap: float = 0.35) -> DataFrame:
     return df.groupBy(key).applyInPandas(fold, schema)
 
 
-def chunked(df: DataFrame, key: str, window: float, most: float = 1.25) -> DataFrame:
-    """Consecutive segments (key, start, end) gathered into chunks: a segment that would stretch the open chunk beyond
-    ``most`` windows, or that follows one at least a window long, opens the next."""
+def chunked(df: DataFrame, key: str, window: float, most: float = 1.25, duration: str = "duration") -> DataFrame:
+    """Windows (key, start, end, segments) over segments (key, start, end, duration) in order of their start.
+
+    Segments are clipped to the recording, empty ones left out. A segment joins the open chunk while its end is at most
+    ``most`` windows from the chunk's start, else opens the next. More than half a second before the first chunk or
+    after the last is a window of its own, without segments. Runs between which no chunk can reach fold apart.
+    """
+    clipped = df.select(key, F.greatest(F.lit(0.0), F.col("start")).alias("start"), F.least(F.col(duration), F.col("end")).alias("end"), F.col(duration).alias("duration"))
+    clipped = chunk_runs(clipped.where("end > start"), key, window, most)
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         out: list[list] = []
         for k, s, e in pdf.sort_values(["start", "end"])[[key, "start", "end"]].itertuples(index=False):
-            open_ = out and out[-1][2] - out[-1][1] < window and e - out[-1][1] <= window * most
-            if open_:
+            if out and e - out[-1][1] <= window * most:
                 out[-1][2], out[-1][3] = max(out[-1][2], e), out[-1][3] + 1
             else:
                 out.append([k, s, e, 1])
@@ -125,4 +133,10 @@ def chunked(df: DataFrame, key: str, window: float, most: float = 1.25) -> DataF
 
     kind = df.schema[key].dataType
     schema = T.StructType([T.StructField(key, kind), *T.StructType.fromDDL("start double, end double, segments long").fields])
-    return df.groupBy(key).applyInPandas(fold, schema)
+    chunks = staged(clipped.groupBy(key, "run").applyInPandas(fold, schema), "chunks")
+    ends = chunks.groupBy(key).agg(F.min("start").alias("first"), F.max_by("end", F.struct("start", "end")).alias("last"))
+    ends = ends.join(clipped.groupBy(key).agg(F.max("duration").alias("duration")), key)
+    none = F.lit(0).cast("long").alias("segments")
+    head = ends.where("first > 0.5").select(key, F.lit(0.0).alias("start"), F.col("first").alias("end"), none)
+    tail = ends.where("last < duration - 0.5").select(key, F.col("last").alias("start"), F.col("duration").alias("end"), none)
+    return chunks.unionByName(head).unionByName(tail)

@@ -66,7 +66,9 @@ def adjacent_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def anchor_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return iv.chunked(fx.segments(spark, sf).select("user_id", "start", "end"), "user_id", 7200.0)
+    rows = fx.segments(spark, sf).select("user_id", "start", "end")
+    ends = rows.groupBy("user_id").agg((F.max("end") + 3600.0).alias("duration"))
+    return iv.chunked(rows.join(ends, "user_id"), "user_id", 7200.0)
 
 
 def daily_mean_sum_mode(spark: SparkSession, sf: str) -> DataFrame:
