@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.stages import dropped, staged
+from siltbed.stages import BROADCAST_ROWS, dropped, staged
 
 
 def least_of(links: DataFrame) -> DataFrame:
@@ -26,11 +26,13 @@ def components(links: DataFrame) -> DataFrame:
     links = staged(links, "links")
     before = state(links)
     while before[0]:
+        # There are at most twice as many minima as links, and those were counted.
+        sent = F.broadcast if 2 * before[0] <= BROADCAST_ROWS else (lambda df: df)
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        pointed = both.join(least_of(both), "u").where("v > u").select("v", F.least("u", "least").alias("m"))
+        pointed = both.join(sent(least_of(both)), "u").where("v > u").select("v", F.least("u", "least").alias("m"))
         large = staged(pointed.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "links")
         below = least_of(large)
-        moved = large.join(below, "u").where("v != least").select(F.col("v").alias("u"), F.col("least").alias("v"))
+        moved = large.join(sent(below), "u").where("v != least").select(F.col("v").alias("u"), F.col("least").alias("v"))
         small_star = staged(moved.unionByName(below.select("u", F.col("least").alias("v"))).distinct(), "links")
         after = state(small_star)
         dropped(links, large)
