@@ -349,4 +349,5 @@ ORACLE_SQL = {
             FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL)
         SELECT text, kind, tool, operation, count(DISTINCT user_id) AS support, CASE WHEN count(DISTINCT user_id) >= 2 THEN 'skill' ELSE 'example' END AS status
         FROM p WHERE kind <> 'tool' OR tool <> 'error' GROUP BY ALL""",
+    "declared_names": "SELECT p_partkey AS id, regexp_replace(regexp_replace(lower(trim(coalesce(p_name || '-X ' || p_brand, ''))), '[- ]', '_', 'g'), '_+', '_', 'g') AS name FROM part",
 }
