@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,23 +94,40 @@ def dense_samples(df: DataFrame, key: list[str], start: str, end: str, step_ms:
 
 def adjacent_merged(df: DataFrame, key: str, gap: float = 0.35) -> DataFrame:
     """Segments (key, start, end, text) folded in order: neighbours at most ``gap`` apart of which one text holds the
-    other become one with the longer text; blank ones are absorbed. The kept text decides later comparisons, so each
-    key is one group."""
+    other become one with the longer text; blank ones are absorbed, those that nothing absorbs go. Null keys are one key.
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        out: list[list] = []
-        for k, s, e, t in pdf.sort_values(["start", "end", "text"])[[key, "start", "end", "text"]].itertuples(index=False):
-            t = (t or "").strip()
-            if out and s - out[-1][2] <= gap and (not t or t in out[-1][3] or out[-1][3] in t):
-                out[-1][2] = max(out[-1][2], e)
-                out[-1][3] = max(out[-1][3], t, key=len)
-            elif t:
-                out.append([k, s, e, t])
-        return pd.DataFrame(out, columns=[key, "start", "end", "text"])
-
-    kind = df.schema[key].dataType
-    schema = T.StructType([T.StructField(key, kind), *T.StructType.fromDDL("start double, end double, text string").fields])
-    return df.groupBy(key).applyInPandas(fold, schema)
+    The kept text decides later comparisons, so a run is folded in order; it is streamed over sorted partitions with
+    only the open segment in memory. A pause longer than ``gap`` ends a run, and runs of one key fold apart.
+    """
+    order = Window.partitionBy(key).orderBy("start", "end", "text")
+    seen = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = df.select(key, F.col("start").cast("double"), F.col("end").cast("double"), F.trim(F.coalesce("text", F.lit(""))).alias("text"))
+    rows = rows.withColumn("opens", F.coalesce(F.col("start") - seen > gap, F.lit(False)).cast("int"))
+    rows = rows.withColumn("run", F.sum("opens").over(order)).drop("opens")
+    schema = T.StructType([df.schema[key], *T.StructType.fromDDL("start double, end double, text string").fields])
+
+    def fold(batches):
+        open_, run = None, None
+        for batch in batches:
+            kind, out = batch.schema.field(0).type, []
+            for k, s, e, t, r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                same = open_ is not None and run == (k, r) and s - open_[2] <= gap
+                if same and (t in open_[3] or open_[3] in t):
+                    open_[2], open_[3] = max(open_[2], e), max(open_[3], t, key=len)
+                elif t:
+                    out += [open_] if open_ else []
+                    open_, run = [k, s, e, t], (k, r)
+            yield _segments(out, kind, schema.names)
+        if open_:
+            yield _segments([open_], kind, schema.names)
+
+    ordered = rows.repartition(key, "run").sortWithinPartitions(key, "run", "start", "end", "text")
+    return ordered.mapInArrow(fold, schema)
+
+
+def _segments(rows: list[list], kind: pa.DataType, names: list[str]) -> pa.RecordBatch:
+    kinds = [kind, pa.float64(), pa.float64(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
 def chunked(df: DataFrame, key: str, window: float, most: float = 1.25, duration: str = "duration") -> DataFrame:

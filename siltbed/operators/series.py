@@ -12,11 +12,9 @@ def daily(df: DataFrame, key: list[str], ts: str, value: str, order: str) -> Dat
     counted = rows.where(F.col(value).isNotNull()).groupBy(*key, "day", value).agg(
         F.count(F.lit(1)).alias("times"), F.min(F.struct(ts, order)).alias("seen")
     )
-    mode = counted.groupBy(*key, "day").agg(
-        F.max(F.col("times")).alias("times"), F.collect_list(F.struct("times", "seen", value)).alias("all")
-    )
-    first = F.array_min(F.transform(F.filter("all", lambda x: x["times"] == F.col("times")), lambda x: F.struct(x["seen"].alias("seen"), x[value].alias("value"))))
-    mode = mode.select(*key, "day", first["value"].alias("mode"))
+    # The most repeats come first, then the earliest seen: no list of a day's values is ever held.
+    first = F.min(F.struct((-F.col("times")).alias("fewer"), "seen", F.col(value).alias("mode"))).alias("first")
+    mode = counted.groupBy(*key, "day").agg(first).select(*key, "day", "first.mode")
     sums = rows.groupBy(*key, "day").agg(F.avg(value).alias("mean"), F.sum(value).alias("sum"))
     return sums.join(mode, [*key, "day"], "left")
 

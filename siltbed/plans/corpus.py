@@ -42,19 +42,20 @@ def author_affix_top12(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def number_conflict_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    rows = fx.table(spark, sf, "pages").select("page_id", "url", F.floor(F.col("page_id") / 10).alias("block"))
-    a, b = rows.alias("a"), rows.alias("b")
-    pairs = a.join(b, (F.col("a.block") == F.col("b.block")) & (F.col("a.page_id") < F.col("b.page_id")))
-    conflict = tx.number_conflict(F.col("a.url"), F.col("b.url"))
-    return pairs.select(F.col("a.page_id").alias("left"), F.col("b.page_id").alias("right"), conflict.alias("conflict"))
+    """Each page against the first page of its author: whether the numbers of their addresses contradict."""
+    rows = fx.items(spark, sf).select("id", "author").join(fx.table(spark, sf, "pages").select(F.col("page_id").alias("id"), "url"), "id")
+    first = rows.groupBy("author").agg(F.min(F.struct("id", "url")).alias("first"))
+    pairs = rows.join(first, "author").where("id != first.id")
+    return pairs.select(F.col("first.id").alias("left"), F.col("id").alias("right"), tx.number_conflict(F.col("first.url"), F.col("url")).alias("conflict"))
 
 
 def duration_ok_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    items = fx.items(spark, sf)
-    a, b = items.alias("a"), items.alias("b")
-    pairs = a.join(b, (F.col("a.author") == F.col("b.author")) & (F.col("a.id") < F.col("b.id")))
-    ok = tx.duration_ok(F.col("a.duration"), F.col("b.duration"))
-    return pairs.groupBy(F.col("a.author").alias("author")).agg(F.count_if(ok).alias("compatible"), F.count(F.lit(1)).alias("pairs"))
+    """Items whose duration is compatible with that of their author's first item."""
+    items = fx.items(spark, sf).select("id", "author", "duration")
+    first = items.groupBy("author").agg(F.min(F.struct("id", "duration")).alias("first"))
+    ok = tx.duration_ok(F.col("first.duration"), F.col("duration"))
+    pairs = items.join(first, "author").where("id != first.id")
+    return pairs.groupBy("author").agg(F.count_if(ok).alias("compatible"), F.count(F.lit(1)).alias("pairs"))
 
 
 def _comparable(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,12 +172,15 @@ ORACLE_SQL = {
         g AS (SELECT f.author, affix, row_number() OVER (PARTITION BY f.author ORDER BY length(affix) DESC, affix) AS rank
               FROM f JOIN t USING (author) WHERE f.n >= greatest(4, floor(total * 0.002)))
         SELECT author, string_agg(affix, '|' ORDER BY rank) AS affixes FROM g WHERE rank <= 12 GROUP BY author""",
-    "number_conflict_pairs": r"""WITH p AS (SELECT page_id, regexp_extract_all(url, '\d+') AS nums, page_id // 10 AS block FROM pages)
-        SELECT a.page_id AS left, b.page_id AS right, len(a.nums) > 0 AND len(b.nums) > 0 AND NOT list_has_any(a.nums, b.nums) AS conflict
-        FROM p a JOIN p b ON a.block = b.block AND a.page_id < b.page_id""",
-    "duration_ok_pairs": f"""WITH {fx.ITEMS_SQL} SELECT a.author, count(*) FILTER (coalesce(greatest(a.duration, b.duration) <= 0
+    "number_conflict_pairs": f"""WITH {fx.ITEMS_SQL}, p AS (SELECT id, author, regexp_extract_all(url, '\\d+') AS nums FROM items JOIN pages ON page_id = id),
+        f AS (SELECT author, min(id) AS id FROM p GROUP BY author), a AS (SELECT p.* FROM p JOIN f USING (author, id))
+        SELECT a.id AS left, b.id AS right, len(a.nums) > 0 AND len(b.nums) > 0 AND NOT list_has_any(a.nums, b.nums) AS conflict
+        FROM a JOIN p b ON a.author = b.author AND a.id <> b.id""",
+    "duration_ok_pairs": f"""WITH {fx.ITEMS_SQL}, f AS (SELECT author, min(id) AS id FROM items GROUP BY author),
+        a AS (SELECT i.* FROM items i JOIN f USING (author, id))
+        SELECT a.author, count(*) FILTER (coalesce(greatest(a.duration, b.duration) <= 0
         OR abs(a.duration - b.duration) <= greatest(a.duration, b.duration) * 0.20, true)) AS compatible, count(*) AS pairs
-        FROM items a JOIN items b ON a.author = b.author AND a.id < b.id GROUP BY a.author""",
+        FROM a JOIN items b ON a.author = b.author AND a.id <> b.id GROUP BY a.author""",
     "cluster_components": f"""WITH RECURSIVE {fx.ITEMS_SQL}, i AS (SELECT id, text_hash, source, {NORM} AS norm FROM items),
         e AS (SELECT a.id AS a, b.id AS b FROM i a JOIN i b ON a.text_hash = b.text_hash
               UNION SELECT a.id, b.id FROM i a JOIN i b ON a.source = b.source AND a.norm = b.norm),

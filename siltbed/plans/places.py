@@ -60,7 +60,7 @@ def _star(lon, lat):
 
 
 def point_in_polygon(spark: SparkSession, sf: str) -> DataFrame:
-    polygons = fx.supplier_points(spark, sf).where("id <= 10").select(F.col("id").alias("polygon_id"), _star(F.col("lon") + 0.0037, F.col("lat") + 0.0041).alias("ring"))
+    polygons = fx.supplier_points(spark, sf).select(F.col("id").alias("polygon_id"), _star(F.col("lon") + 0.0037, F.col("lat") + 0.0041).alias("ring"))
     return sp.in_polygons(fx.customer_points(spark, sf), polygons)
 
 
@@ -209,7 +209,7 @@ ORACLE_SQL = {
         round(least(e, w + (tile_x + 1) * 0.2::DOUBLE + 0.01::DOUBLE), 7) AS tile_east, round(least(n, s + (tile_y + 1) * 0.2::DOUBLE + 0.01::DOUBLE), 7) AS tile_north FROM y""",
     "point_in_polygon": f"""WITH {fx.POINTS_SQL}, k AS (SELECT unnest(range(1, 6)) AS k), o AS (SELECT {_STAR} AS o),
         e AS (SELECT s.id AS polygon_id, s.lon + 0.0037::DOUBLE + o[k][1]::DOUBLE AS ax, s.lat + 0.0041::DOUBLE + o[k][2]::DOUBLE AS ay,
-              s.lon + 0.0037::DOUBLE + o[k + 1][1]::DOUBLE AS bx, s.lat + 0.0041::DOUBLE + o[k + 1][2]::DOUBLE AS "by" FROM s, k, o WHERE s.id <= 10)
+              s.lon + 0.0037::DOUBLE + o[k + 1][1]::DOUBLE AS bx, s.lat + 0.0041::DOUBLE + o[k + 1][2]::DOUBLE AS "by" FROM s, k, o)
         SELECT c.id, polygon_id FROM c, e WHERE (ay > c.lat) <> ("by" > c.lat) AND c.lon < (bx - ax) * (c.lat - ay) / ("by" - ay) + ax
         GROUP BY c.id, polygon_id HAVING count(*) % 2 = 1""",
     "segment_crossings": f"""WITH {fx.POINTS_SQL}, m AS (SELECT c.id AS left_id, s.id AS right_id, c.lon AS ax, c.lat AS ay, c.lon + 0.31::DOUBLE AS bx, c.lat + 0.17::DOUBLE AS b_y,

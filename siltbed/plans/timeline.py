@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +63,7 @@ def dense_sampling(spark: SparkSession, sf: str) -> DataFrame:
 
 def adjacent_segments(spark: SparkSession, sf: str) -> DataFrame:
     """Turns of a conversation as segments, folded where one text holds its neighbour."""
-    rows = fx.table(spark, sf, "conversations").select("conv_id", F.col("turn").cast("double").alias("start"), (F.col("turn") + 0.8).alias("end"), F.substring("text", 1, 12).alias("text"))
+    rows = fx.table(spark, sf, "conversations").select("conv_id", F.col("turn").cast("double").alias("start"), (F.col("turn") + 0.8).alias("end"), "text")
     return iv.adjacent_merged(rows, "conv_id")
 
 
@@ -78,8 +80,9 @@ def daily_mean_sum_mode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def refine_condition(spark: SparkSession, sf: str) -> DataFrame:
-    rows = fx.table(spark, sf, "events")
-    return se.refined(rows, "event_id", 100, 700, "value", "<=", 20.0).select("event_id", "value")
+    """Events of a span of dates whose value meets the condition."""
+    rows = fx.table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    return se.refined(rows, "day", date(2024, 1, 5), date(2024, 1, 20), "value", "<=", 20.0).select("event_id", "value")
 
 
 def align_hourly_daily(spark: SparkSession, sf: str) -> DataFrame:
@@ -203,7 +206,7 @@ ORACLE_SQL = {
         m AS (SELECT event_type, day, value AS mode, row_number() OVER (PARTITION BY event_type, day ORDER BY n DESC, seen) AS rank FROM c),
         s AS (SELECT event_type, day, round(avg(value), 6) AS mean, round(sum(value), 4) AS sum FROM e GROUP BY ALL)
         SELECT s.event_type, s.day, mean, sum, mode FROM s LEFT JOIN m ON m.event_type = s.event_type AND m.day = s.day AND rank = 1""",
-    "refine_condition": "SELECT event_id, value FROM events WHERE event_id BETWEEN 100 AND 700 AND value <= 20.0",
+    "refine_condition": "SELECT event_id, value FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND value <= 20.0",
     "align_hourly_daily": """WITH s AS (SELECT strftime(ts, '%m-%d') AS stamp, arg_max(value, event_id) AS value FROM events GROUP BY 1)
         SELECT o_orderkey, strftime(o_orderdate, '%m-%d') AS stamp, value FROM orders LEFT JOIN s ON s.stamp = strftime(o_orderdate, '%m-%d')""",
     "scene_select": """WITH s AS (SELECT o_custkey, o_orderkey, o_orderdate, CAST(floor(o_totalprice) AS BIGINT) % 5 * 10.0::DOUBLE AS cloud FROM orders),

@@ -22,23 +22,34 @@ LON_SQL = "(100.0::DOUBLE + ({0} * 37 % 2000) / 100.0::DOUBLE)"
 LAT_SQL = "(20.0::DOUBLE + ({0} * 53 % 3000) / 100.0::DOUBLE)"
 
 
+PAGE_TITLE = "<title>([^<]*)</title>"
+PAGE_AUTHOR = r"://(?:m\.|www\.)?([^./?#]+)"
+PAGE_SOURCE = r"://[^/?#]*\.([a-z]+)(?:[/?#:]|$)"
+PAGE_LANG = '<html lang="([a-z]+)"'
+
+
 def items(spark: SparkSession, folder: str) -> DataFrame:
-    """Corpus items: id, author, source, title, text_hash, size, duration, lang; twenty documents an author."""
-    return table(spark, folder, "documents").select(
-        F.col("doc_id").alias("id"),
-        F.concat(F.lit("a"), F.floor(F.col("doc_id") / 20).cast("string")).alias("author"),
-        (F.col("doc_id") % 3).cast("string").alias("source"),
-        F.substring("text", 1, 60).alias("title"),
-        F.md5("text").alias("text_hash"),
-        F.col("n_chars").alias("size"),
-        F.when(F.col("doc_id") % 7 != 0, (F.col("n_chars") % 600).cast("double")).alias("duration"),
-        "lang",
+    """Pages as corpus items: id, author (of the host), source (0 to 2, by the host's ending), title, text_hash, size, duration, lang."""
+    html = F.coalesce("html", F.lit(""))
+    url = F.coalesce("url", F.lit(""))
+    ending = F.regexp_extract(url, PAGE_SOURCE, 1)
+    return table(spark, folder, "pages").select(
+        F.col("page_id").alias("id"),
+        F.regexp_extract(url, PAGE_AUTHOR, 1).alias("author"),
+        F.when(ending == "com", "0").when(ending == "net", "1").otherwise("2").alias("source"),
+        F.regexp_extract(html, PAGE_TITLE, 1).alias("title"),
+        F.md5(html).alias("text_hash"),
+        F.char_length(html).cast("long").alias("size"),
+        F.when(F.col("page_id") % 7 != 0, (F.char_length(html) % 600).cast("double")).alias("duration"),
+        F.regexp_extract(html, PAGE_LANG, 1).alias("lang"),
     )
 
 
-ITEMS_SQL = """items AS (SELECT doc_id AS id, 'a' || CAST(doc_id // 20 AS VARCHAR) AS author, CAST(doc_id % 3 AS VARCHAR) AS source,
-    substring(text, 1, 60) AS title, md5(text) AS text_hash, n_chars AS size,
-    CASE WHEN doc_id % 7 <> 0 THEN CAST(n_chars % 600 AS DOUBLE) END AS duration, lang FROM documents)"""
+ITEMS_SQL = f"""pages_known AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
+    items AS (SELECT page_id AS id, regexp_extract(url, '{PAGE_AUTHOR}', 1) AS author,
+    CASE regexp_extract(url, '{PAGE_SOURCE}', 1) WHEN 'com' THEN '0' WHEN 'net' THEN '1' ELSE '2' END AS source,
+    regexp_extract(html, '{PAGE_TITLE}', 1) AS title, md5(html) AS text_hash, length(html) AS size,
+    CASE WHEN page_id % 7 <> 0 THEN CAST(length(html) % 600 AS DOUBLE) END AS duration, regexp_extract(html, '{PAGE_LANG}', 1) AS lang FROM pages_known)"""
 
 
 def micros(ts: Column) -> Column:

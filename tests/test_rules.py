@@ -115,3 +115,36 @@ def test_greedy_matches_are_greedy(spark):
             want.add((a, b))
     rows = dedup.greedy_matches(df).collect()
     assert {(r["left"], r["right"]) for r in rows} == want
+
+
+def plain_fold(rows, gap):
+    """The fold of one key's segments, in order."""
+    out = []
+    for s, e, t in sorted((s, e, (t or "").strip(" ")) for s, e, t in rows):
+        if out and s - out[-1][1] <= gap and (t in out[-1][2] or out[-1][2] in t):
+            out[-1][1], out[-1][2] = max(out[-1][1], e), max(out[-1][2], t, key=len)
+        elif t:
+            out.append([s, e, t])
+    return [tuple(x) for x in out]
+
+
+def test_adjacent_segments_are_the_fold(spark):
+    """A hot key, a null key, null and blank texts, equal rows and pauses, over small batches."""
+    rng = random.Random(5)
+    words = [None, "", " ", "a", "ab", "abc", "b", "bc", "x"]
+    rows = []
+    for _ in range(900):
+        s = rng.randrange(0, 1500) / 4
+        rows.append((rng.choice((1, 1, 1, 2, None)), s, s + rng.choice((0.1, 0.25, 0.5)), rng.choice(words)))
+    rows += rows[:30]
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.createDataFrame(rows, "conv_id long, start double, end double, text string")
+        got = intervals.adjacent_merged(df, "conv_id").collect()
+        assert intervals.adjacent_merged(df.limit(0), "conv_id").collect() == []
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    for key in (1, 2, None):
+        want = plain_fold([r[1:] for r in rows if r[0] == key], 0.35)
+        assert sorted((r["start"], r["end"], r["text"]) for r in got if r["conv_id"] == key) == sorted(want)
