@@ -86,7 +86,8 @@ def cluster_components(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def delete_plan_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    items = fx.items(spark, sf).withColumn("path", F.concat_ws("/", F.concat(F.lit("s"), "source"), "text_hash"))
+    """Copies of a text that go, by kind and the reason for which they stay after all."""
+    items = fx.files(spark, sf).withColumn("path", F.concat_ws("/", F.concat(F.lit("s"), "source"), "text_hash"))
     best = dedup.keep_best(items, ["text_hash"], [F.col("source").desc(), F.col("size").desc(), F.col("id")])
     keeps = best.where("keep").select("path", F.col("author").alias("item_id"), (F.col("source") == "2").alias("tutorial"))
     drops = best.where("NOT keep").select("id", "path", F.col("author").alias("item_id"), "source", "size")
@@ -186,8 +187,8 @@ ORACLE_SQL = {
               UNION SELECT a.id, b.id FROM i a JOIN i b ON a.source = b.source AND a.norm = b.norm),
         r AS (SELECT id, id AS reach FROM i UNION SELECT r.id, e.b FROM r JOIN e ON r.reach = e.a)
         SELECT id, min(reach) AS cluster FROM r GROUP BY id""",
-    "delete_plan_reasons": f"""WITH {fx.ITEMS_SQL}, r AS (SELECT *, 's' || source || '/' || text_hash AS path,
-        row_number() OVER (PARTITION BY text_hash ORDER BY source DESC, size DESC, id) = 1 AS keep FROM items),
+    "delete_plan_reasons": f"""WITH {fx.FILES_SQL}, r AS (SELECT *, 's' || source || '/' || text_hash AS path,
+        row_number() OVER (PARTITION BY text_hash ORDER BY source DESC, size DESC, id) = 1 AS keep FROM files),
         d AS (SELECT *, CASE source WHEN '2' THEN 'tutorial' WHEN '1' THEN 'main' ELSE CASE WHEN size < 500 THEN 'other' ELSE 'clip' END END AS kind
               FROM r WHERE NOT keep),
         x AS (SELECT kind, size, CASE WHEN kind = 'other' THEN 'path outside allowed prefixes'

@@ -52,6 +52,21 @@ ITEMS_SQL = f"""pages_known AS (SELECT page_id, coalesce(url, '') AS url, coales
     CASE WHEN page_id % 7 <> 0 THEN CAST(length(html) % 600 AS DOUBLE) END AS duration, regexp_extract(html, '{PAGE_LANG}', 1) AS lang FROM pages_known)"""
 
 
+def files(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files of a corpus: id, author (the document's source), source (0 to 2), text_hash, size."""
+    return table(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"),
+        F.col("source").alias("author"),
+        (F.col("doc_id") % 3).cast("string").alias("source"),
+        F.md5("text").alias("text_hash"),
+        F.col("n_chars").alias("size"),
+    )
+
+
+FILES_SQL = """files AS (SELECT doc_id AS id, source AS author, CAST(doc_id % 3 AS VARCHAR) AS source, md5(text) AS text_hash,
+    n_chars AS size FROM documents)"""
+
+
 def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
