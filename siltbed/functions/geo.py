@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ AUTHALIC_RADIUS = 6371008.8
 METRES_A_DEGREE = 111320.0
 GCJ_AXIS, GCJ_ECCENTRICITY = 6378245.0, 0.00669342162296594323
 CHINA = (72.004, 137.8347, 0.8293, 55.8271)
+WGS84_AXIS, WGS84_FLATTENING = 6378137.0, 1 / 298.257223563
 BD_PI = math.pi * 3000.0 / 180.0
 POINTS = ("N", "NE", "E", "SE", "S", "SW", "W", "NW")
 
@@ -184,3 +187,45 @@ def segment_distance(px, py, ax, ay, bx, by) -> Column:
 def cell(lat: Column, lon: Column, degrees: float) -> tuple[Column, Column]:
     """Row and column of a grid of square cells."""
     return F.floor(lat / degrees).cast("long"), F.floor(lon / degrees).cast("long")
+
+
+def geodesic(axis: float = WGS84_AXIS, flattening: float = WGS84_FLATTENING, rounds: int = 200):
+    """A function of (lat1, lon1, lat2, lon2) giving metres, forward and back azimuth (0 to 360) on an ellipsoid.
+
+    Vincenty's inverse solution, iterated over whole Arrow batches. Equal places are 0 metres apart without azimuths;
+    near antipodes where the iteration does not settle, and for nulls, all three are null.
+    """
+
+    @F.pandas_udf("metres double, forward double, back double")
+    def solve(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.DataFrame:
+        sides = [np.arctan((1 - flattening) * np.tan(np.radians(x.to_numpy(float)))) for x in (lat1, lat2)]
+        (sin_u, sin_v), (cos_u, cos_v) = [np.sin(x) for x in sides], [np.cos(x) for x in sides]
+        apart = np.radians((lon2.to_numpy(float) - lon1.to_numpy(float) + 540.0) % 360.0 - 180.0)
+        turn, settled = apart.copy(), np.zeros(len(apart), bool)
+        with np.errstate(all="ignore"):
+            for _ in range(rounds):
+                sin_t, cos_t = np.sin(turn), np.cos(turn)
+                across, along = cos_v * sin_t, cos_u * sin_v - sin_u * cos_v * cos_t
+                sin_s, cos_s = np.hypot(across, along), sin_u * sin_v + cos_u * cos_v * cos_t
+                arc = np.arctan2(sin_s, cos_s)
+                sin_a = np.where(sin_s == 0, 0.0, cos_u * across / sin_s)
+                squared = 1 - sin_a**2
+                middle = np.where(squared == 0, 0.0, cos_s - 2 * sin_u * sin_v / squared)
+                c = flattening / 16 * squared * (4 + flattening * (4 - 3 * squared))
+                new = apart + (1 - c) * flattening * sin_a * (arc + c * sin_s * (middle + c * cos_s * (2 * middle**2 - 1)))
+                settled, turn = np.abs(new - turn) < 1e-12, new
+                if (settled | np.isnan(new)).all():
+                    break
+            k = squared * (axis**2 / (axis * (1 - flattening)) ** 2 - 1)
+            big_a = 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k)))
+            big_b = k / 1024 * (256 + k * (-128 + k * (74 - 47 * k)))
+            cubic = big_b / 6 * middle * (4 * sin_s**2 - 3) * (4 * middle**2 - 3)
+            arc = arc - big_b * sin_s * (middle + big_b / 4 * (cos_s * (2 * middle**2 - 1) - cubic))
+            metres = axis * (1 - flattening) * big_a * arc
+            forward = np.degrees(np.arctan2(across, along)) % 360.0
+            back = np.degrees(np.arctan2(cos_u * np.sin(turn), cos_u * sin_v * np.cos(turn) - sin_u * cos_v)) % 360.0
+        known, moved = settled & (np.abs(turn) <= np.pi), sin_s > 0
+        columns = {"metres": (metres, known), "forward": (forward, known & moved), "back": ((back + 180.0) % 360.0, known & moved)}
+        return pd.DataFrame({name: pd.Series(x).where(keep, None).astype(object) for name, (x, keep) in columns.items()})
+
+    return solve

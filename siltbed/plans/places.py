@@ -130,6 +130,21 @@ def line_obstruction(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("l_orderkey", "blocked_at", F.round("above", 6).alias("above"), "visible")
 
 
+def terrain_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """Terrain between cells at each customer's place on a grid, some of them beyond its edge."""
+    cells = _cells(spark, sf).withColumn("row", (F.col("col") / 10).cast("int") + F.col("row") * 5).withColumn("col", F.col("col") % 10)
+    key = F.col("c_custkey")
+    places = fx.table(spark, sf, "customer").select((key % 20).cast("int").alias("grid"), key.alias("id"), ((key * 37 % 115) / 10.0 - 0.5).alias("x"), ((key * 53 % 120) / 10.0 - 0.5).alias("y"))
+    return sp.sampled(places, cells).select("id", F.round("value", 6).alias("value"))
+
+
+def geodesic_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The line on the ellipsoid from each customer to one supplier."""
+    line = geo.geodesic()(*[F.col(x) for x in ("lat", "lon", "lat2", "lon2")])
+    found = _pairs(spark, sf).select("id", line.alias("line"))
+    return found.select("id", *[F.round(f"line.{c}", 4).alias(c) for c in ("metres", "forward", "back")])
+
+
 def _next_vectors(spark: SparkSession, sf: str) -> DataFrame:
     v = fx.table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("x"))
     return v.join(v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("x").alias("y")), "vec_id")
@@ -188,7 +203,34 @@ _EAST = f"(300.0::DOUBLE + x + y * 2 + x * x * 0.1::DOUBLE + x * y * 0.1::DOUBLE
 _STAR = "[(0.0, 3.0), (1.0, -2.0), (3.5, -1.0), (0.5, 0.5), (-3.0, 0.25), (0.0, 3.0)]"
 _EE, _AXIS, _BD = geo.GCJ_ECCENTRICITY, geo.GCJ_AXIS, geo.BD_PI
 
+_NEXT = """SELECT id, n + 1 AS n, l, u, v, l + (1 - k) * f * sa * (arc + k * ss * (mid + k * cs * (2 * mid * mid - 1))) AS t FROM (
+    SELECT *, 1 / 298.257223563::DOUBLE AS f, sqrt(pow(cos(v) * sin(t), 2) + pow(cos(u) * sin(v) - sin(u) * cos(v) * cos(t), 2)) AS ss,
+    sin(u) * sin(v) + cos(u) * cos(v) * cos(t) AS cs, atan2(ss, cs) AS arc, cos(u) * cos(v) * sin(t) / ss AS sa, 1 - sa * sa AS ca,
+    cs - 2 * sin(u) * sin(v) / ca AS mid, f / 16 * ca * (4 + f * (4 - 3 * ca)) AS k FROM r) WHERE n < 12"""
+
 ORACLE_SQL = {
+    "terrain_samples": """WITH k AS (SELECT p_partkey - 1 AS key, CASE WHEN p_partkey % 97 <> 0 THEN CAST((p_partkey - 1) * 7919 % 1000 AS DOUBLE) / 4.0::DOUBLE END AS value FROM part),
+        g AS (SELECT key % 20 AS grid, key // 20 % 50 // 10 + key // 20 // 50 * 5 AS row, key // 20 % 50 % 10 AS col, value FROM k),
+        h AS (SELECT grid, max(row) + 1 AS rows, max(col) + 1 AS cols FROM g GROUP BY grid),
+        p AS (SELECT c_custkey % 20 AS grid, c_custkey AS id, c_custkey * 37 % 115 / 10.0::DOUBLE - 0.5::DOUBLE AS x, c_custkey * 53 % 120 / 10.0::DOUBLE - 0.5::DOUBLE AS y FROM customer),
+        q AS (SELECT *, CAST(floor(x - 0.5::DOUBLE) AS BIGINT) AS c0, CAST(floor(y - 0.5::DOUBLE) AS BIGINT) AS r0, x - 0.5::DOUBLE - c0 AS dx, y - 0.5::DOUBLE - r0 AS dy,
+              c0 >= 0 AND r0 >= 0 AND c0 + 1 < cols AND r0 + 1 < rows AS four FROM p LEFT JOIN h USING (grid)),
+        e AS (SELECT q.*, g1.value AS v1, g2.value AS v2, g3.value AS v3, g4.value AS v4, g5.value AS v5 FROM q
+              LEFT JOIN g g1 ON g1.grid = q.grid AND g1.row = r0 AND g1.col = c0 LEFT JOIN g g2 ON g2.grid = q.grid AND g2.row = r0 AND g2.col = c0 + 1
+              LEFT JOIN g g3 ON g3.grid = q.grid AND g3.row = r0 + 1 AND g3.col = c0 LEFT JOIN g g4 ON g4.grid = q.grid AND g4.row = r0 + 1 AND g4.col = c0 + 1
+              LEFT JOIN g g5 ON g5.grid = q.grid AND g5.row = least(greatest(floor(y), 0), rows - 1) AND g5.col = least(greatest(floor(x), 0), cols - 1))
+        SELECT id, round(CASE WHEN x < 0 OR y < 0 OR x > cols OR y > rows THEN NULL
+            WHEN four THEN (v1 * (1 - dx) + v2 * dx) * (1 - dy) + (v3 * (1 - dx) + v4 * dx) * dy ELSE v5 END, 6) AS value FROM e""",
+    "geodesic_pairs": f"""WITH RECURSIVE {fx.POINTS_SQL}, p AS (SELECT c.id, radians(s.lon - c.lon) AS l, atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(c.lat))) AS u,
+        atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(s.lat))) AS v FROM c JOIN s ON s.id = c.id % 7 + 1),
+        r AS (SELECT id, 0 AS n, l, u, v, l AS t FROM p UNION ALL {_NEXT}),
+        d AS (SELECT id, cos(v) * sin(t) AS across, cos(u) * sin(v) - sin(u) * cos(v) * cos(t) AS along, sqrt(across * across + along * along) AS ss,
+              sin(u) * sin(v) + cos(u) * cos(v) * cos(t) AS cs, atan2(ss, cs) AS arc, cos(u) * across / ss AS sa, 1 - sa * sa AS ca, cs - 2 * sin(u) * sin(v) / ca AS mid,
+              6378137.0::DOUBLE * (1 - 1 / 298.257223563::DOUBLE) AS b, ca * (pow(6378137.0::DOUBLE / b, 2) - 1) AS k,
+              1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k))) AS a1, k / 1024 * (256 + k * (-128 + k * (74 - 47 * k))) AS b1,
+              b1 * ss * (mid + b1 / 4 * (cs * (2 * mid * mid - 1) - b1 / 6 * mid * (4 * ss * ss - 3) * (4 * mid * mid - 3))) AS less,
+              atan2(cos(u) * sin(t), cos(u) * sin(v) * cos(t) - sin(u) * cos(v)) AS last FROM r WHERE n = 12)
+        SELECT id, round(b * a1 * (arc - less), 4) AS metres, round((degrees(atan2(across, along)) + 360) % 360, 4) AS forward, round((degrees(last) + 540) % 360, 4) AS back FROM d""",
     "haversine_pairs": f"{P} SELECT id, round({HAVERSINE(geo.MEAN_RADIUS)}, 3) AS mean_metres, round({HAVERSINE(geo.AUTHALIC_RADIUS)}, 3) AS authalic_metres FROM p",
     "bearing_compass8": f"""{P}, a AS (SELECT id, lat, lon, round(({BEARING} + 360) % 360, 6) AS angle FROM p)
         SELECT id, angle, ['N','NE','E','SE','S','SW','W','NW'][CAST(floor((angle + 22.5::DOUBLE) / 45) AS BIGINT) % 8 + 1] AS compass,
@@ -264,7 +306,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         haversine_pairs, bearing_compass8, gcj02_forward, bbox_null_pass, tile_cover, point_in_polygon, segment_crossings, near_join,
-        nearest_reference, polyline_length, circular_mean, horn_slope, relief_class, line_obstruction, embedding_ncc,
+        nearest_reference, polyline_length, circular_mean, horn_slope, terrain_samples, geodesic_pairs, relief_class, line_obstruction, embedding_ncc,
         hist_bhattacharyya, pixel_change, first_capture_compare, gps_degrees,
     )
 }

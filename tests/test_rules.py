@@ -148,3 +148,23 @@ def test_adjacent_segments_are_the_fold(spark):
     for key in (1, 2, None):
         want = plain_fold([r[1:] for r in rows if r[0] == key], 0.35)
         assert sorted((r["start"], r["end"], r["text"]) for r in got if r["conv_id"] == key) == sorted(want)
+
+
+def test_geodesic_known_lines(spark):
+    """A published line on its ellipsoid, a degree of the equator, a quarter meridian, one place, nulls, antipodes."""
+
+    def degrees(d, m, s):
+        return (abs(d) + m / 60 + s / 3600) * (-1 if d < 0 else 1)
+
+    line = (degrees(-37, 57, 3.72030), degrees(144, 25, 29.52440), degrees(-37, 39, 10.15610), degrees(143, 55, 35.38390))
+    rows = [(0, *line), (1, 0.0, 179.5, 0.0, -179.5), (2, 0.0, 0.0, 90.0, 0.0), (3, 12.0, 7.0, 12.0, 7.0), (4, None, 0.0, 1.0, 1.0), (5, 0.0, 0.0, 0.3, 179.9)]
+    df = spark.createDataFrame(rows, "id long, lat1 double, lon1 double, lat2 double, lon2 double")
+    grs80, wgs84 = geo.geodesic(flattening=1 / 298.257222101), geo.geodesic()
+    names = ("lat1", "lon1", "lat2", "lon2")
+    got = {r["id"]: (r["grs"], r["wgs"]) for r in df.select("id", grs80(*names).alias("grs"), wgs84(*names).alias("wgs")).collect()}
+    first = got[0][0]
+    assert abs(first["metres"] - 54972.271) < 0.001
+    assert abs(first["forward"] - degrees(306, 52, 5.37)) < 1e-5 and abs(first["back"] - degrees(127, 10, 25.07)) < 1e-5
+    assert abs(got[1][1]["metres"] - 111319.4908) < 0.001 and abs(got[2][1]["metres"] - 10001965.729) < 0.001
+    assert tuple(got[3][1]) == (0.0, None, None)
+    assert tuple(got[4][1]) == tuple(got[5][1]) == (None, None, None)
