@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from siltbed.functions import dates as dt
 from siltbed.functions import geo, sky
 from siltbed.functions import arrays as ar
 from siltbed.functions import text as tx
-from siltbed.operators import contract, dedup, elements, fusion, tasks
+from siltbed.operators import contract, dedup, elements, fusion, search, tasks
 from siltbed.operators import trajectory as tr
 from siltbed.sources import fixtures as fx
 
@@ -246,10 +248,34 @@ def declared_names(spark: SparkSession, sf: str) -> DataFrame:
     return fx.table(spark, sf, "part").select(F.col("p_partkey").alias("id"), contract.norm_name(F.concat("p_name", F.lit("-X "), "p_brand")).alias("name"))
 
 
+def registry_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The first forty English pages of one domain, known or valid in January, that name both words."""
+    start = F.when(F.col("page_id") % 3 != 0, F.make_date(F.lit(2024), (F.col("page_id") % 12 + 1).cast("int"), F.lit(1)))
+    end = F.when(F.col("page_id") % 5 != 0, F.date_add(start, 20))
+    rows = fx.table(spark, sf, "pages").select("page_id", "url", "html", start.alias("valid_from"), end.alias("valid_to"))
+    window = (date(2024, 1, 5), date(2024, 1, 31))
+    return search.registry_search(rows, ["url", "html"], "The /EN/", "page_id", 40, "example.com", window).select("page_id", "url")
+
+
+def best_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    ratio = F.when(F.col("event_id") % 5 != 0, F.col("event_id") % 7 / 10.0)
+    rows = fx.table(spark, sf, "events").select("user_id", "event_id", ratio.alias("inlier_ratio"), F.nullif(F.col("event_id") % 4, F.lit(3)).alias("match_count"), F.round("value").alias("score"))
+    best = search.best_sweep(rows, "user_id", "event_id")
+    return best.select("user_id", "best.event_id", "best.inlier_ratio", "best.match_count", "best.score")
+
+
+def nearby_traffic(spark: SparkSession, sf: str) -> DataFrame:
+    """Users whose last place of two days lies in a box, by kind."""
+    key = F.col("event_id")
+    rows = fx.table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", fx.latitude(key).alias("lat"), fx.longitude(key).alias("lon"))
+    found = search.nearby_traffic(rows, "user_id", "ts", "2024-01-20 00:00:00", 172800, (102.0, 22.0, 116.0, 44.0))
+    return found.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        tag_filter_wildcard, tag_group_count, osm_count_conditional, osm_count_groups, planar_bearing, gcj02_inverse, wkt_points, sun_position, shadow_plane,
+        registry_search, best_sweep, nearby_traffic, tag_filter_wildcard, tag_group_count, osm_count_conditional, osm_count_groups, planar_bearing, gcj02_inverse, wkt_points, sun_position, shadow_plane,
         scene_filter, any_date_in_window, captured_bounds, split_anomalies, missed_action_filter, readiness_counts, flight_first_seen, credentials_redacted,
         public_http_gate, page_titles, token_and_filter, score_fusion, evidence_verdict, step_references, tool_migration, unknown_tools, skill_support, declared_names,
     )
@@ -263,6 +289,18 @@ BETWEEN = "BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"
 HALF = "power(sin(radians(lat2 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(lat2)) * power(sin(radians(lon2 - lon) / 2), 2)"
 
 ORACLE_SQL = {
+    "registry_search": """WITH p AS (SELECT *, CASE WHEN page_id % 3 <> 0 THEN make_date(2024, page_id % 12 + 1, 1) END AS a FROM pages),
+        v AS (SELECT *, CASE WHEN page_id % 5 <> 0 THEN a + 20 END AS b, lower(concat_ws(' ', url, html)) AS blob FROM p)
+        SELECT page_id, url FROM v WHERE contains(blob, 'the') AND contains(blob, '/en/') AND contains(blob, 'example.com')
+        AND NOT coalesce(b < DATE '2024-01-05', false) AND NOT coalesce(a > DATE '2024-01-31', false) ORDER BY page_id LIMIT 40""",
+    "best_sweep": f"""WITH s AS (SELECT user_id, event_id, CASE WHEN event_id % 5 <> 0 THEN event_id % 7 / 10.0{D} END AS inlier_ratio,
+        nullif(event_id % 4, 3) AS match_count, round(value) AS score FROM events),
+        r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY coalesce(inlier_ratio, -1) DESC, coalesce(match_count, 0) DESC, coalesce(score, -1) DESC, event_id) AS rank FROM s)
+        SELECT user_id, event_id, inlier_ratio, match_count, score FROM r WHERE rank = 1""",
+    "nearby_traffic": f"""WITH r AS (SELECT *, {fx.LAT_SQL.format('event_id')} AS lat, {fx.LON_SQL.format('event_id')} AS lon,
+        row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rank FROM events
+        WHERE ts <= TIMESTAMP '2024-01-20' AND ts >= TIMESTAMP '2024-01-18')
+        SELECT event_type, count(*) AS n FROM r WHERE rank = 1 AND lon BETWEEN 102 AND 116 AND lat BETWEEN 22 AND 44 GROUP BY event_type""",
     "tag_filter_wildcard": f"WITH {ELEMENTS_SQL} SELECT id, osm_type FROM e WHERE brand IS NOT NULL AND kind = 'ECONOMY' AND osm_type IN ('node', 'way')",
     "tag_group_count": f"WITH {ELEMENTS_SQL} SELECT coalesce(kind, '') AS kind, coalesce(brand, '') AS brand, count(*) AS \"count\" FROM e GROUP BY ALL",
     "osm_count_conditional": f"""WITH {ELEMENTS_SQL} SELECT count(*) FILTER (osm_type = 'node') AS nodes, count(*) FILTER (osm_type = 'way') AS ways,
