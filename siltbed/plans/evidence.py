@@ -272,10 +272,23 @@ def nearby_traffic(spark: SparkSession, sf: str) -> DataFrame:
     return found.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+def twilight_times(spark: SparkSession, sf: str) -> DataFrame:
+    """Sunset and the twilights' dawns and dusks over each supplier's place on a day of its key, in seconds."""
+    key = F.col("s_suppkey")
+    day = F.make_date(F.lit(2024), (key % 12 + 1).cast("int"), (key % 28 + 1).cast("int"))
+    start = (F.unix_date(day) * 86400 - 28800).cast("double")
+    rows = fx.table(spark, sf, "supplier").select(key.alias("id"), start.alias("start"), (fx.latitude(key) + 20.0).alias("lat"), fx.longitude(key).alias("lon"))
+    rows = rows.withColumn("up", sky.day_elevations(F.col("start"), F.col("lat"), F.col("lon")))
+    falls = [sky.crossing(F.col("start"), F.col("up"), level, False).alias(name) for name, level in sky.HORIZONS.items()]
+    rises = [sky.crossing(F.col("start"), F.col("up"), level, True).alias(f"{name}_dawn") for name, level in sky.HORIZONS.items() if name != "sunset"]
+    times = rows.select("id", *falls, *rises)
+    return times.select("id", *[F.round(c, 1).alias(c) for c in times.columns[1:]])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        registry_search, best_sweep, nearby_traffic, tag_filter_wildcard, tag_group_count, osm_count_conditional, osm_count_groups, planar_bearing, gcj02_inverse, wkt_points, sun_position, shadow_plane,
+        registry_search, best_sweep, nearby_traffic, twilight_times, tag_filter_wildcard, tag_group_count, osm_count_conditional, osm_count_groups, planar_bearing, gcj02_inverse, wkt_points, sun_position, shadow_plane,
         scene_filter, any_date_in_window, captured_bounds, split_anomalies, missed_action_filter, readiness_counts, flight_first_seen, credentials_redacted,
         public_http_gate, page_titles, token_and_filter, score_fusion, evidence_verdict, step_references, tool_migration, unknown_tools, skill_support, declared_names,
     )
@@ -288,7 +301,23 @@ ORDER_DATES = """d AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THE
 BETWEEN = "BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"
 HALF = "power(sin(radians(lat2 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(lat2)) * power(sin(radians(lon2 - lon) / 2), 2)"
 
+def _times_sql() -> str:
+    falls = [(name, level, "max", "up > {0} AND after <= {0}") for name, level in sky.HORIZONS.items()]
+    rises = [(f"{name}_dawn", level, "min", "up < {0} AND after >= {0}") for name, level in sky.HORIZONS.items() if name != "sunset"]
+    hit = "t + ({0}::DOUBLE - up) / (after - up) * 120"
+    return ", ".join(f"round({pick}({hit}) FILTER ({test}), 1) AS {name}".format(level) for name, level, pick, test in falls + rises)
+
+
 ORACLE_SQL = {
+    "twilight_times": f"""WITH p AS (SELECT s_suppkey AS id, epoch(make_date(2024, s_suppkey % 12 + 1, s_suppkey % 28 + 1)) - 28800{D} AS start,
+            {fx.LAT_SQL.format('s_suppkey')} + 20 AS lat, {fx.LON_SQL.format('s_suppkey')} AS lon FROM supplier),
+        o AS (SELECT id, lat, lon, unnest(range(720)) AS i, start + i * 120 AS t, t / 86400.0{D} - 10957.5{D} AS d FROM p),
+        m AS (SELECT *, radians(357.528{D} + 0.9856003{D} * d) AS g, 280.460{D} + 0.9856474{D} * d AS q FROM o),
+        l AS (SELECT *, radians(q + 1.915{D} * sin(g) + 0.020{D} * sin(2 * g)) AS ecl, radians(23.439{D} - 0.0000004{D} * d) AS tilt FROM m),
+        a AS (SELECT *, asin(sin(tilt) * sin(ecl)) AS dec, radians((18.697374558{D} + 24.06570982441908{D} * d) * 15 + lon) - atan2(cos(tilt) * sin(ecl), cos(ecl)) AS ha FROM l),
+        h AS (SELECT id, t, degrees(asin(sin(radians(lat)) * sin(dec) + cos(radians(lat)) * cos(dec) * cos(ha))) AS up FROM a),
+        z AS (SELECT *, lead(up) OVER (PARTITION BY id ORDER BY t) AS after FROM h)
+        SELECT id, {_times_sql()} FROM z GROUP BY id""",
     "registry_search": """WITH p AS (SELECT *, CASE WHEN page_id % 3 <> 0 THEN make_date(2024, page_id % 12 + 1, 1) END AS a FROM pages),
         v AS (SELECT *, CASE WHEN page_id % 5 <> 0 THEN a + 20 END AS b, lower(concat_ws(' ', url, html)) AS blob FROM p)
         SELECT page_id, url FROM v WHERE contains(blob, 'the') AND contains(blob, '/en/') AND contains(blob, 'example.com')

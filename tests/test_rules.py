@@ -168,3 +168,14 @@ def test_geodesic_known_lines(spark):
     assert abs(got[1][1]["metres"] - 111319.4908) < 0.001 and abs(got[2][1]["metres"] - 10001965.729) < 0.001
     assert tuple(got[3][1]) == (0.0, None, None)
     assert tuple(got[4][1]) == tuple(got[5][1]) == (None, None, None)
+
+
+def test_dusk_at_the_equinox(spark):
+    """On the equator at 20 March 2024 the sun sets at about 18:10:45 of the meridian; a polar night has no crossing."""
+    start = 1710892800.0
+    df = spark.createDataFrame([(0, start, 0.0, 0.0), (1, 1703116800.0, 89.0, 0.0)], "id long, start double, lat double, lon double")
+    df = df.withColumn("up", sky.day_elevations(F.col("start"), F.col("lat"), F.col("lon")))
+    at = [sky.crossing(F.col("start"), F.col("up"), sky.HORIZONS[n], r) for n, r in (("sunset", False), ("civil", True))]
+    (_, dusk, dawn), polar = df.select("id", *at).orderBy("id").collect()
+    assert abs(dusk - start - (18 * 3600 + 645)) < 60 and 5 * 3600 < dawn - start < 6 * 3600
+    assert tuple(polar)[1:] == (None, None)
