@@ -59,24 +59,3 @@ def shadow(azimuth: Column, elevation: Column, height: Column, slope: Column, as
     turned = F.pmod(F.degrees(F.atan2(east, north)), F.lit(360.0))
     cast = meets & (F.coalesce(height, F.lit(1.0)) != 0) & ((F.abs(east) > PARALLEL) | (F.abs(north) > PARALLEL))
     return [status, measure(east), measure(north), measure(F.sqrt(east * east + north * north + rise * rise)), F.when(cast, turned).otherwise(opposite)]
-
-
-GRID_SECONDS = 120
-
-
-def day_elevations(start: Column, lat: Column, lon: Column) -> Column:
-    """The sun's elevations over the 24 hours from a time, every two minutes (an array of 720)."""
-    steps = F.sequence(F.lit(0), F.lit(86400 // GRID_SECONDS - 1))
-    return F.transform(steps, lambda i: sun_position(start + i * float(GRID_SECONDS), lat, lon)[0])
-
-
-def crossing(start: Column, elevations: Column, level: float, rising: bool) -> Column:
-    """Seconds at which the sun first rises through, or last falls through, a level; interpolated, null if it never does."""
-    size = F.size(elevations) - 1
-    pairs = F.arrays_zip(F.slice(elevations, F.lit(1), size).alias("a"), F.slice(elevations, F.lit(2), size).alias("b"), F.sequence(F.lit(0), size - 1).alias("i"))
-
-    def crossed(p: Column) -> Column:
-        return (p["a"] < level) & (p["b"] >= level) if rising else (p["a"] > level) & (p["b"] <= level)
-
-    hit = F.get(F.filter(pairs, crossed), F.lit(0)) if rising else F.try_element_at(F.filter(pairs, crossed), F.lit(-1))
-    return start + (hit["i"] + (level - hit["a"]) / (hit["b"] - hit["a"])) * float(GRID_SECONDS)

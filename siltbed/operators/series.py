@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltbed.functions import sky
+
 
 def daily(df: DataFrame, key: list[str], ts: str, value: str, order: str) -> DataFrame:
     """key, day, mean, sum and mode of each day's numbers; of modes as frequent, the one seen first (by ts, order)."""
@@ -99,3 +101,24 @@ def crossings(df: DataFrame, key: list[str], ts: str, value: str, level: float,
     hit = (F.col("v") < level) & (F.col("v2") >= level) if rising else (F.col("v") > level) & (F.col("v2") <= level)
     at = F.col("t") + (F.col("t2") - F.col("t")) * ((F.lit(level) - F.col("v")) / (F.col("v2") - F.col("v")))
     return rows.where(hit).groupBy(*key).agg((F.min if rising else F.max)(at).alias("crossed_at"))
+
+
+SUN_GRID_SECONDS = 120.0
+
+
+def sun_crossings(places: DataFrame, key: str, levels: dict[str, tuple[float, bool]]) -> DataFrame:
+    """key and a column for each of ``levels`` (name: degrees, rising): when the sun crosses it within 24 hours of ``start``.
+
+    places: key, start, lat, lon. A time is interpolated between samples two minutes apart; the first rise and the last
+    fall count, and a level that is never crossed is null. Samples are rows that partial sums fold before the shuffle.
+    """
+    steps = F.explode(F.sequence(F.lit(0), F.lit(int(86400 / SUN_GRID_SECONDS) - 2))).alias("i")
+    rows = places.select(key, "start", "lat", "lon", steps).withColumn("t", F.col("start") + F.col("i") * SUN_GRID_SECONDS)
+    up, after = (sky.sun_position(F.col("t") + late, F.col("lat"), F.col("lon"))[0] for late in (0.0, SUN_GRID_SECONDS))
+    rows = rows.withColumn("up", up).withColumn("after", after)
+    found = []
+    for name, (level, rising) in levels.items():
+        crossed = (F.col("up") < level) & (F.col("after") >= level) if rising else (F.col("up") > level) & (F.col("after") <= level)
+        at = F.when(crossed, F.col("t") + (level - F.col("up")) / (F.col("after") - F.col("up")) * SUN_GRID_SECONDS)
+        found.append((F.min(at) if rising else F.max(at)).alias(name))
+    return rows.groupBy(key).agg(*found)

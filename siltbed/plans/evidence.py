@@ -11,7 +11,7 @@ from siltbed.functions import dates as dt
 from siltbed.functions import geo, sky
 from siltbed.functions import arrays as ar
 from siltbed.functions import text as tx
-from siltbed.operators import contract, dedup, elements, fusion, search, tasks
+from siltbed.operators import contract, dedup, elements, fusion, search, series, tasks
 from siltbed.operators import trajectory as tr
 from siltbed.sources import fixtures as fx
 
@@ -278,10 +278,9 @@ def twilight_times(spark: SparkSession, sf: str) -> DataFrame:
     day = F.make_date(F.lit(2024), (key % 12 + 1).cast("int"), (key % 28 + 1).cast("int"))
     start = (F.unix_date(day) * 86400 - 28800).cast("double")
     rows = fx.table(spark, sf, "supplier").select(key.alias("id"), start.alias("start"), (fx.latitude(key) + 20.0).alias("lat"), fx.longitude(key).alias("lon"))
-    rows = rows.withColumn("up", sky.day_elevations(F.col("start"), F.col("lat"), F.col("lon")))
-    falls = [sky.crossing(F.col("start"), F.col("up"), level, False).alias(name) for name, level in sky.HORIZONS.items()]
-    rises = [sky.crossing(F.col("start"), F.col("up"), level, True).alias(f"{name}_dawn") for name, level in sky.HORIZONS.items() if name != "sunset"]
-    times = rows.select("id", *falls, *rises)
+    levels = {name: (level, False) for name, level in sky.HORIZONS.items()}
+    levels |= {f"{name}_dawn": (level, True) for name, level in sky.HORIZONS.items() if name != "sunset"}
+    times = series.sun_crossings(rows, "id", levels)
     return times.select("id", *[F.round(c, 1).alias(c) for c in times.columns[1:]])
 
 

@@ -61,7 +61,7 @@ def _star(lon, lat):
 
 def point_in_polygon(spark: SparkSession, sf: str) -> DataFrame:
     polygons = fx.supplier_points(spark, sf).select(F.col("id").alias("polygon_id"), _star(F.col("lon") + 0.0037, F.col("lat") + 0.0041).alias("ring"))
-    return sp.in_polygons(fx.customer_points(spark, sf), polygons)
+    return sp.in_polygons(fx.customer_points(spark, sf), polygons, 1.0)
 
 
 def _segments(points: DataFrame, dx: float, dy: float) -> DataFrame:

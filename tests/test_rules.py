@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from siltbed.functions import geo, sky
 from siltbed.functions import text as tx
-from siltbed.operators import dedup, elements, intervals, spatial, tasks
+from siltbed.operators import dedup, elements, intervals, series, spatial, tasks
 
 
 def metres(a, b):
@@ -174,8 +174,7 @@ def test_dusk_at_the_equinox(spark):
     """On the equator at 20 March 2024 the sun sets at about 18:10:45 of the meridian; a polar night has no crossing."""
     start = 1710892800.0
     df = spark.createDataFrame([(0, start, 0.0, 0.0), (1, 1703116800.0, 89.0, 0.0)], "id long, start double, lat double, lon double")
-    df = df.withColumn("up", sky.day_elevations(F.col("start"), F.col("lat"), F.col("lon")))
-    at = [sky.crossing(F.col("start"), F.col("up"), sky.HORIZONS[n], r) for n, r in (("sunset", False), ("civil", True))]
-    (_, dusk, dawn), polar = df.select("id", *at).orderBy("id").collect()
+    found = series.sun_crossings(df, "id", {"dusk": (sky.HORIZONS["sunset"], False), "dawn": (sky.HORIZONS["civil"], True)})
+    (_, dusk, dawn), polar = found.orderBy("id").collect()
     assert abs(dusk - start - (18 * 3600 + 645)) < 60 and 5 * 3600 < dawn - start < 6 * 3600
     assert tuple(polar)[1:] == (None, None)
