@@ -60,11 +60,14 @@ def windows(words: str, width: int) -> Column:
 def with_repeated_words(docs: DataFrame, words: str, width: int = 3) -> DataFrame:
     """Adds ``n_repeat_words``: words that lie in a window found twice or more.
 
-    Places of repeated windows come in the order of their windows' bytes; sorted, each covers the words up to the next
-    place, at most ``width``.
+    A text whose windows all have hashes of their own repeats none. Of the others the windows are sorted: places of
+    repeated ones come in the order of their windows' bytes; sorted again, each covers the words up to the next place, at
+    most ``width``.
     """
-    enough = F.size(words) > width
-    out = docs.withColumn("sorted", F.sort_array(F.when(enough, windows(words, width)).otherwise(F.array().cast("array<string>"))))
+    parts = ", ".join(f"{words}[cast(i + {k} as int)]" for k in range(width))
+    out = docs.withColumn("hashes", F.when(F.size(words) > width, F.expr(f"transform(sequence(0L, size({words}) - {width}L), i -> xxhash64({parts}))")))
+    twice = F.size(F.array_distinct("hashes")) < F.size("hashes")
+    out = out.withColumn("sorted", F.when(twice, F.sort_array(windows(words, width))).otherwise(F.array().cast("array<string>"))).drop("hashes")
     out = out.withColumn("names", F.expr("transform(sorted, s -> substring_index(s, '\n', 1))"))
     twin = "(x, i) -> (i > 0 AND names[i] = names[greatest(i - 1, 0)]) OR (i + 1 < size(names) AND names[i] = names[least(i + 1, size(names) - 1)])"
     out = out.withColumn("places", F.expr(f"sort_array(transform(filter(sorted, {twin}), s -> cast(substring_index(s, '\n', -1) as long)))"))
