@@ -176,7 +176,7 @@ class SetJoin:
         self.width, self.percent = width, percent
         self.signed = signatures(docs, id_col, text_col, width, percent)
         # Smaller sets link with nothing but their equals.
-        self.least_size = next(n for n in range(1, 1000) if 100 * n >= percent * (n + 1))
+        self.least_size = -(-percent // (100 - percent)) if percent < 100 else 1 << 40
         first = F.min(F.struct("text_hash", "id", "n", "keys", "sketch", "counts")).alias("first")
         nodes = self.signed.where(F.col("n") >= self.least_size).groupBy("node").agg(first)
         self.nodes = staged(nodes.select("node", "first.*"), "jaccard-nodes")

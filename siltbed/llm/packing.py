@@ -75,7 +75,8 @@ class WordIds:
     """Ids of texts by a tokenizer whose pre-tokens never reach over ASCII white space.
 
     Words are looked up. Those not met before are taken apart into letters and signs where that is safe; parts of
-    letters only are tokenised many at a time and told apart by the end-of-word mark of their last id.
+    letters only are tokenised many at a time and told apart by the end-of-word mark of their last id. Bytes that are no
+    UTF-8 count as the replacement character.
     """
 
     def __init__(self, path: str):
@@ -111,7 +112,7 @@ class WordIds:
         """Ids of the words numbered since the last call."""
         at, counts, letters, others = [], [], self.letters, self.others
         for raw in self.words.new:
-            word = raw.decode()
+            word = raw.decode(errors="replace")
             if word.isalpha() and (word.isascii() or word.lower().isalpha()):
                 at.append(2 * letters[word])
                 counts.append(1)

@@ -132,7 +132,9 @@ GENERIC = (
     "berlin london nyc paris tokyo wien"
 )
 ENDINGS = "|".join(sorted(f"{COUNTRIES} {GENERIC}".split(), key=len, reverse=True))
-BRACKETED = re.compile(rf"\s*[\[({{<]\s*(?:(at|@)|(?:{DOT_WORD}|\.))\s*[\])}}>]\s*", re.I)
+# Those of them that are common words too; after a bare "dot" they end a name only where no word follows.
+COMMON = "am as at be by do in is it me my no so to us"
+BRACKETED = re.compile(rf"(?<!\s)\s*+[\[({{<]\s*(?:(at|@)|(?:{DOT_WORD}|\.))\s*[\])}}>]\s*", re.I)
 BRACKET = re.compile(rf"[\[({{<]\s*(?:at|@|{DOT_WORD}|\.)\s*[\])}}>]", re.I)
 WORDS = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
 BESIDE = rf"[\s,-]{{1,3}}|\s{{0,3}}\.\s{{0,3}}|\s{{1,3}}(?:{DOT_WORD})\s{{1,3}}"
@@ -144,7 +146,7 @@ PERHAPS_SPELLED = re.compile(rf"[^\w](?:{WORDS})\b(?=(?:{BESIDE})(?:[0-9]|(?:{WO
 ONE_WORD = re.compile(rf"\b(?:{WORDS})\b", re.I)
 BARE_AT = re.compile(
     rf"(?<=[A-Za-z0-9])\s{{1,3}}at\s{{1,3}}(?=[A-Za-z0-9-]{{1,63}}(?:(?:\.|\s{{1,3}}(?:{DOT_WORD})\s{{1,3}})[A-Za-z0-9-]{{1,63}}){{0,8}}?"
-    rf"\s{{1,3}}(?:{DOT_WORD})\s{{1,3}}(?:{ENDINGS})\b)",
+    rf"\s{{1,3}}(?:{DOT_WORD})\s{{1,3}}(?!(?:{COMMON.replace(' ', '|')})\s{{1,3}}[a-z])(?:{ENDINGS})\b)",
     re.I,
 )
 BARE_DOT = re.compile(rf"(?<=[A-Za-z0-9])\s{{1,3}}(?:{DOT_WORD})\s{{1,3}}(?=[A-Za-z0-9])", re.I)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltbed import stages
-from siltbed.llm import exact_dedup, langid, media, pii, quality, url_filter
+from siltbed.llm import exact_dedup, jaccard_join, langid, media, packing, pii, quality, queries, url_filter
 
 
 def test_equal_texts_of_one_id_are_one(spark):
@@ -143,3 +143,28 @@ def test_no_local_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="checkpoint"):
         stages.stage_root(Cluster)
+
+
+def test_blanks_before_brackets_are_linear():
+    for text in (" " * 300_000 + "jane [at] b.com", "[at]" + " " * 300_000, ("[" + " " * 50) * 5_000 + "at]", " [ " * 100_000 + "[at]"):
+        start = time.perf_counter()
+        pii.spans_of(text)
+        assert time.perf_counter() - start < 5
+
+
+def test_common_words_after_a_bare_dot():
+    assert pii.spans_of("ten people at home dot it works") == []
+    assert [s["kind"] for s in pii.spans_of("write jane at example dot it, please")] == ["email"]
+    assert [s["kind"] for s in pii.spans_of("write jane at example dot com please")] == ["email"]
+
+
+def test_malformed_texts_are_tokenised():
+    ids = packing.WordIds(queries.WORD_BPE)
+    found = ids.of([b"good \xff\xfe bad\x80 words", b"", None])
+    assert len(found[0]) > 3 and [x.tolist() for x in found[1:]] == [[0], [0]]
+
+
+def test_similarity_of_all(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "A b c d e f"), (3, "a b c d e g"), (4, None)], "doc_id long, text string")
+    rows = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicate_groups(docs, width=3, percent=100).collect()}
+    assert rows == {1: 1, 2: 1, 3: 3, 4: 4}
