@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 POINT = "struct<x: double, y: double>"
@@ -20,7 +20,7 @@ def _points(positions: Column) -> Column:
 
 
 def _closed(ring: Column) -> Column:
-    return F.when(F.element_at(ring, 1) == F.element_at(ring, -1), ring).otherwise(F.concat(ring, F.slice(ring, F.lit(1), F.lit(1))))
+    return F.when(F.get(ring, F.lit(0)) == F.get(ring, F.size(ring) - 1), ring).otherwise(F.concat(ring, F.slice(ring, F.lit(1), F.lit(1))))
 
 
 def _shape(points: Column | None = None, lines: Column | None = None, rings: Column | None = None) -> Column:
@@ -39,31 +39,25 @@ def point_shape(lon: Column, lat: Column) -> Column:
 
 
 def _simple(text: Column) -> Column:
-    """A geometry object of one of the six kinds with coordinates."""
+    """kind and positions of a geometry object with coordinates, as polygons of rings of positions."""
     kind = F.lower(F.get_json_object(text, "$.type"))
-    coordinates = F.get_json_object(text, "$.coordinates")
+    depth = F.element_at(F.create_map(*[F.lit(x) for pair in DEPTH.items() for x in pair]), kind)
+    nested = F.concat(F.repeat(F.lit("["), depth), F.get_json_object(text, "$.coordinates"), F.repeat(F.lit("]"), depth))
+    return F.struct(kind.alias("kind"), F.from_json(nested, "array<array<array<array<double>>>>").alias("at"))
 
-    def wrapped(depth: int) -> Column:
-        nested = F.concat(F.lit("[" * depth), coordinates, F.lit("]" * depth))
-        return F.from_json(nested, "array<array<array<array<double>>>>")
 
-    positions = F.flatten(F.flatten(wrapped(3)))
-    many = F.flatten(F.flatten(wrapped(2)))
+def _assembled(found: Column) -> Column:
+    """The shape of kind and positions."""
+    kind, at = found["kind"], found["at"]
 
     def ring(r: Column, i: Column) -> Column:
-        return F.struct((i > 0).alias("hole"), _closed(_points(r)).alias("points"))
+        return F.struct((i > 0).alias("hole"), _points(r).alias("points"))
 
-    def rings(depth: int) -> Column:
-        return F.flatten(F.transform(wrapped(depth), lambda polygon: F.transform(polygon, ring)))
-
-    return (
-        F.when(kind == "point", _shape(points=_points(positions)))
-        .when(kind == "multipoint", _shape(points=_points(many)))
-        .when(kind == "linestring", _shape(lines=F.transform(F.flatten(wrapped(2)), _points)))
-        .when(kind == "multilinestring", _shape(lines=F.transform(F.flatten(wrapped(1)), _points)))
-        .when(kind == "polygon", _shape(rings=rings(1)))
-        .when(kind == "multipolygon", _shape(rings=rings(0)))
-    )
+    points = F.when(kind.isin("point", "multipoint"), _points(F.flatten(F.flatten(at))))
+    lines = F.when(kind.isin("linestring", "multilinestring"), F.transform(F.flatten(at), _points))
+    rings = F.when(kind.isin("polygon", "multipolygon"), F.flatten(F.transform(at, lambda polygon: F.transform(polygon, ring))))
+    given = {"points": points, "lines": lines, "rings": rings}
+    return F.struct(*[F.coalesce(c, F.array()).alias(name) for name, c in given.items()]).cast(SHAPE)
 
 
 def _loose(text: Column) -> Column:
@@ -83,23 +77,32 @@ def _loose(text: Column) -> Column:
     )
 
 
-def _sound(shape: Column) -> Column:
-    """The shape, or null where it is empty, where a position has no finite place, or a line or ring is too short."""
-    lines, rings = shape["lines"], shape["rings"]
-    every = F.concat(shape["points"], F.flatten(lines), F.flatten(F.transform(rings, lambda r: r["points"])))
+def _sound(lines: Column, rings: Column, every: Column) -> Column:
+    """Whether there is a position, every one has a finite place, and no line or ring is too short."""
     finite = F.forall(every, lambda p: F.coalesce((F.abs(p["x"]) < 1e300) & (F.abs(p["y"]) < 1e300), F.lit(False)))
-    long = F.forall(lines, lambda line: F.size(line) >= 2) & F.forall(rings, lambda r: F.size(r["points"]) >= 4)
-    return F.when((F.size(every) > 0) & finite & long, shape)
+    return (F.size(every) > 0) & finite & F.forall(lines, lambda line: F.size(line) >= 2) & F.forall(rings, lambda r: F.size(r["points"]) >= 4)
+
 
+def with_shape(df: DataFrame, text: str, name: str = "shape") -> DataFrame:
+    """Adds the shape of a JSON text: a geometry, a collection of geometries, a feature, bounds or a place; null if it has none.
 
-def shape_of(text: Column) -> Column:
-    """The shape of a JSON text: a geometry, a collection of geometries, a feature, bounds or a place; null if it has none."""
+    Each step is a column of its own, so that nothing is parsed twice. The last one has a term that is always true and that
+    the optimiser may not move, so that conditions on shapes stay above it; pushed down, they would repeat every step.
+    """
     inner = F.get_json_object(text, "$.geometry")
-    own = F.when(inner.startswith("{"), inner).otherwise(text)
-    members = F.from_json(F.get_json_object(own, "$.geometries"), "array<string>")
-    parts = F.filter(F.transform(members, _simple), lambda p: p.isNotNull())
-    merged = _shape(*[F.flatten(_fields(parts, name)) for name in ("points", "lines", "rings")])
-    return _sound(F.when(members.isNotNull(), merged).otherwise(F.coalesce(_simple(own), _loose(own))))
+    out = df.withColumn("own json", F.when(inner.startswith("{"), inner).otherwise(F.col(text)))
+    out = out.withColumn("members", F.from_json(F.get_json_object("own json", "$.geometries"), "array<string>"))
+    out = out.withColumn("members", F.coalesce("members", F.array("own json")))
+    out = out.withColumn("parts", F.filter(F.transform("members", _simple), lambda p: p["at"].isNotNull()))
+    out = out.withColumn("parts", F.transform("parts", _assembled)).withColumn("loose", F.when(F.size("parts") == 0, _loose(F.col("own json"))))
+    out = out.withColumn("parts", F.when(F.col("loose").isNotNull(), F.array("loose")).otherwise(F.col("parts")))
+    out = out.withColumn("found", F.struct(*[F.flatten(_fields(F.col("parts"), n)).alias(n) for n in ("points", "lines", "rings")]))
+    closed = F.transform("found.rings", lambda r: F.struct(r["hole"].alias("hole"), _closed(r["points"]).alias("points")))
+    out = out.withColumn("found", F.struct("found.points", "found.lines", closed.alias("rings")))
+    every = F.concat("found.points", F.flatten("found.lines"), F.flatten(_fields(F.col("found.rings"), "points")))
+    out = out.withColumn("every", every)
+    sound = _sound(F.col("found.lines"), F.col("found.rings"), F.col("every"))
+    return out.withColumn(name, F.when(sound & (F.monotonically_increasing_id() >= 0), F.col("found"))).drop("own json", "members", "parts", "loose", "found", "every")
 
 
 def features_of(text: Column) -> Column:

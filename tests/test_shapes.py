@@ -57,7 +57,7 @@ EXPECTED = {
 
 def table(spark, found):
     rows = spark.createDataFrame([(k, json.dumps(v)) for k, v in found.items()], "id string, text string")
-    return rows.select("id", gm.shape_of(F.col("text")).alias("shape"))
+    return gm.with_shape(rows, "text").select("id", "shape")
 
 
 @pytest.fixture(scope="module")
@@ -85,7 +85,7 @@ def test_cells_do_not_matter(spark, relations):
 def test_odd_shapes(spark):
     rows = spark.createDataFrame([(1, None), (None, '{"type":"Point","coordinates":[1,1]}'), (2, "{"), (3, '{"type":"Point","coordinates":[1]}'),
                                   (4, '{"type":"Polygon","coordinates":[]}'), (5, '[1, 1]'), (5, '[1, 1]'), (6, "")], "id long, text string")
-    shapes = rows.select("id", gm.shape_of(F.col("text")).alias("shape"), F.lit(0).alias("x"), F.lit("q").alias("a"))
+    shapes = gm.with_shape(rows, "text").select("id", "shape", F.lit(0).alias("x"), F.lit("q").alias("a"))
     assert [r["id"] for r in shapes.where("shape IS NOT NULL").collect() if r["id"]] == [5, 5]
     assert [(r["left_id"], r["right_id"], r["within"]) for r in sh.relate(shapes, shapes).collect()] == [(5, 5, True)]
     assert sh.relate(shapes.limit(0), shapes).count() == 0 and sh.near(shapes, shapes.limit(0), 10.0).count() == 0
@@ -106,7 +106,7 @@ def test_odd_shapes(spark):
     ],
 )
 def test_parsed(spark, text, points, lines, rings):
-    row = spark.createDataFrame([(text,)], "t string").select(gm.shape_of(F.col("t")).alias("s")).first()["s"]
+    row = gm.with_shape(spark.createDataFrame([(text,)], "t string"), "t").first()["shape"]
     assert ([tuple(p) for p in row["points"]], len(row["lines"]), len(row["rings"])) == (points, lines, rings)
     assert all(r["points"][0] == r["points"][-1] for r in row["rings"])
 
