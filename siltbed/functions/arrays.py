@@ -82,3 +82,38 @@ def worst(levels: Column, order: tuple[str, ...]) -> Column:
     ranks = F.create_map(*[F.lit(x) for i, name in enumerate(order) for x in (name, i)])
     top = F.array_max(F.transform(levels, lambda x: F.try_element_at(ranks, x)))
     return F.element_at(F.array(*[F.lit(x) for x in order]), top + 1)
+
+
+# Parts of a picture (top, bottom, left, right shares): the four halves, the middle and the whole.
+PANELS = ((0.0, 1.0, 0.0, 0.5), (0.0, 1.0, 0.5, 1.0), (0.0, 0.5, 0.0, 1.0), (0.5, 1.0, 0.0, 1.0), (0.12, 0.88, 0.12, 0.88), (0.0, 1.0, 0.0, 1.0))
+
+
+def panel_places(rows: int, cols: int, panel: tuple[float, float, float, float], probe: int) -> list[int]:
+    """Places in a row-wise grid that a part of it shows at probe by probe cells, each the nearest cell's."""
+    top, bottom, left, right = panel
+    r0, c0 = min(rows - 1, int(rows * top)), min(cols - 1, int(cols * left))
+    high, wide = max(r0 + 1, min(rows, int(rows * bottom))) - r0, max(c0 + 1, min(cols, int(cols * right))) - c0
+    return [(r0 + y * high // probe) * cols + c0 + x * wide // probe for y in range(probe) for x in range(probe)]
+
+
+def shown(grid: Column, places: list[int]) -> Column:
+    return F.transform(F.array(*[F.lit(p) for p in places]), lambda p: F.get(grid, p))
+
+
+def containment(a: Column, b: Column, rows: int, cols: int, probe: int, least: float = 0.82) -> Column:
+    """Struct (kind, score): whether a part of ``a`` looks like the whole of ``b`` (a_contains_b) or the other way round.
+
+    Grids are arrays of numbers, row by row. The score is the best correlation of a part with the other grid; equal
+    scores speak for ``a``. Below ``least``, or where either hardly varies, the kind is none.
+    """
+    whole = panel_places(rows, cols, PANELS[-1], probe)
+
+    def best(holder: Column, held: Column) -> Column:
+        return F.greatest(F.lit(0.0), *[correlation(shown(holder, panel_places(rows, cols, p, probe)), shown(held, whole)) for p in PANELS])
+
+    def decided(s: Column) -> Column:
+        kind = F.when((s["ab"] >= s["ba"]) & (s["ab"] >= least), "a_contains_b").when((s["ba"] > s["ab"]) & (s["ba"] >= least), "b_contains_a").otherwise("none")
+        return F.struct(kind.alias("kind"), F.greatest(s["ab"], s["ba"]).alias("score"))
+
+    # One element, so that the scores are computed once.
+    return F.transform(F.array(F.struct(best(a, b).alias("ab"), best(b, a).alias("ba"))), decided)[0]
