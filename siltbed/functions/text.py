@@ -5,6 +5,9 @@ Patterns avoid look-around and back-references, so that the same text works in J
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -210,3 +213,32 @@ def numbers_with_km(text: Column) -> Column:
 def dms_degrees(degrees: Column, minutes: Column, seconds: Column, ref: Column) -> Column:
     value = degrees + minutes / 60.0 + seconds / 3600.0
     return F.when(F.upper(ref).isin("S", "W"), -value).otherwise(value)
+
+
+def without_keys(*keys: str):
+    """A function of a column of JSON texts: the texts without these keys at any depth; null where a text is no JSON."""
+    forbidden = frozenset(keys)
+
+    def stripped(value):
+        open_ = [value]
+        while open_:  # no recursion, however deep the text is nested
+            x = open_.pop()
+            if isinstance(x, dict):
+                for k in forbidden.intersection(x):
+                    del x[k]
+                open_ += x.values()
+            elif isinstance(x, list):
+                open_ += x
+        return value
+
+    def one(text: str | None) -> str | None:
+        try:
+            return None if text is None else json.dumps(stripped(json.loads(text)), ensure_ascii=False)
+        except (ValueError, RecursionError):
+            return None
+
+    @F.pandas_udf("string")
+    def clean(texts: pd.Series) -> pd.Series:
+        return texts.map(one)
+
+    return clean

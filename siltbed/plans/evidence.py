@@ -50,16 +50,7 @@ def osm_count_groups(spark: SparkSession, sf: str) -> DataFrame:
     return elements.labelled_counts(_elements(spark, sf), ["kind", "brand"])
 
 
-def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Each customer with one of all suppliers."""
-    s = fx.supplier_points(spark, sf).select(F.col("id").alias("other"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
-    most = s.agg((F.max("other") - F.min("other") + 1).alias("most"), F.min("other").alias("least"))
-    c = fx.customer_points(spark, sf).join(F.broadcast(most), F.lit(True))
-    return c.withColumn("other", F.col("id") % F.col("most") + F.col("least")).drop("most", "least").join(s, "other")
-
-
-PAIRS_SQL = f"""{fx.POINTS_SQL}, r AS (SELECT max(id) - min(id) + 1 AS most, min(id) AS least FROM s),
-p AS (SELECT c.id, c.lat, c.lon, s.lat AS lat2, s.lon AS lon2 FROM c, r, s WHERE s.id = c.id % r.most + r.least)"""
+_pairs, PAIRS_SQL = fx.customer_supplier_pairs, fx.PAIRS_SQL
 
 
 def planar_bearing(spark: SparkSession, sf: str) -> DataFrame:

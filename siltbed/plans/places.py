@@ -12,11 +12,7 @@ from siltbed.operators import spatial as sp
 from siltbed.sources import fixtures as fx
 
 
-def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Each customer with one supplier."""
-    c = fx.customer_points(spark, sf).withColumn("other", F.col("id") % 7 + 1)
-    s = fx.supplier_points(spark, sf).select(F.col("id").alias("other"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
-    return c.join(s, "other")
+_pairs = fx.customer_supplier_pairs
 
 
 def haversine_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -139,7 +135,7 @@ def terrain_samples(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def geodesic_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """The line on the ellipsoid from each customer to one supplier."""
+    """The line on the ellipsoid from each customer to a supplier; all suppliers by turns."""
     line = geo.geodesic()(*[F.col(x) for x in ("lat", "lon", "lat2", "lon2")])
     found = _pairs(spark, sf).select("id", line.alias("line"))
     return found.select("id", *[F.round(f"line.{c}", 4).alias(c) for c in ("metres", "forward", "back")])
@@ -186,7 +182,7 @@ def HAVERSINE(r: float, a: str = "lat", b: str = "lon", c: str = "lat2", d: str
         + cos(radians({a})) * cos(radians({c})) * sin(radians({d} - {b}) / 2) * sin(radians({d} - {b}) / 2))))"""
 
 
-P = f"WITH {fx.POINTS_SQL}, p AS (SELECT c.id, c.lat, c.lon, s.lat AS lat2, s.lon AS lon2 FROM c JOIN s ON s.id = c.id % 7 + 1)"
+P = f"WITH {fx.PAIRS_SQL}"
 BEARING = "degrees(atan2(sin(radians(lon2 - lon)) * cos(radians(lat2)), cos(radians(lat)) * sin(radians(lat2)) - sin(radians(lat)) * cos(radians(lat2)) * cos(radians(lon2 - lon))))"
 V = "WITH v AS (SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS x FROM embeddings), n AS (SELECT a.vec_id, a.x, b.x AS y FROM v a JOIN v b ON b.vec_id = a.vec_id + 1)"
 CELLS = """c AS (SELECT CAST((p_partkey - 1) % 20 AS INT) AS grid, CAST((p_partkey - 1) // 20 // 50 AS INT) AS row, CAST((p_partkey - 1) // 20 % 50 AS INT) AS col,
@@ -206,7 +202,7 @@ _EE, _AXIS, _BD = geo.GCJ_ECCENTRICITY, geo.GCJ_AXIS, geo.BD_PI
 _NEXT = """SELECT id, n + 1 AS n, l, u, v, l + (1 - k) * f * sa * (arc + k * ss * (mid + k * cs * (2 * mid * mid - 1))) AS t FROM (
     SELECT *, 1 / 298.257223563::DOUBLE AS f, sqrt(pow(cos(v) * sin(t), 2) + pow(cos(u) * sin(v) - sin(u) * cos(v) * cos(t), 2)) AS ss,
     sin(u) * sin(v) + cos(u) * cos(v) * cos(t) AS cs, atan2(ss, cs) AS arc, cos(u) * cos(v) * sin(t) / ss AS sa, 1 - sa * sa AS ca,
-    cs - 2 * sin(u) * sin(v) / ca AS mid, f / 16 * ca * (4 + f * (4 - 3 * ca)) AS k FROM r) WHERE n < 12"""
+    cs - 2 * sin(u) * sin(v) / ca AS mid, f / 16 * ca * (4 + f * (4 - 3 * ca)) AS k FROM turns) WHERE n < 12"""
 
 ORACLE_SQL = {
     "terrain_samples": """WITH k AS (SELECT p_partkey - 1 AS key, CASE WHEN p_partkey % 97 <> 0 THEN CAST((p_partkey - 1) * 7919 % 1000 AS DOUBLE) / 4.0::DOUBLE END AS value FROM part),
@@ -221,15 +217,15 @@ ORACLE_SQL = {
               LEFT JOIN g g5 ON g5.grid = q.grid AND g5.row = least(greatest(floor(y), 0), rows - 1) AND g5.col = least(greatest(floor(x), 0), cols - 1))
         SELECT id, round(CASE WHEN x < 0 OR y < 0 OR x > cols OR y > rows THEN NULL
             WHEN four THEN (v1 * (1 - dx) + v2 * dx) * (1 - dy) + (v3 * (1 - dx) + v4 * dx) * dy ELSE v5 END, 6) AS value FROM e""",
-    "geodesic_pairs": f"""WITH RECURSIVE {fx.POINTS_SQL}, p AS (SELECT c.id, radians(s.lon - c.lon) AS l, atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(c.lat))) AS u,
-        atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(s.lat))) AS v FROM c JOIN s ON s.id = c.id % 7 + 1),
-        r AS (SELECT id, 0 AS n, l, u, v, l AS t FROM p UNION ALL {_NEXT}),
+    "geodesic_pairs": f"""WITH RECURSIVE {fx.PAIRS_SQL}, m AS (SELECT id, radians(lon2 - lon) AS l, atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(lat))) AS u,
+        atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(lat2))) AS v FROM p),
+        turns AS (SELECT id, 0 AS n, l, u, v, l AS t FROM m UNION ALL {_NEXT}),
         d AS (SELECT id, cos(v) * sin(t) AS across, cos(u) * sin(v) - sin(u) * cos(v) * cos(t) AS along, sqrt(across * across + along * along) AS ss,
               sin(u) * sin(v) + cos(u) * cos(v) * cos(t) AS cs, atan2(ss, cs) AS arc, cos(u) * across / ss AS sa, 1 - sa * sa AS ca, cs - 2 * sin(u) * sin(v) / ca AS mid,
               6378137.0::DOUBLE * (1 - 1 / 298.257223563::DOUBLE) AS b, ca * (pow(6378137.0::DOUBLE / b, 2) - 1) AS k,
               1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k))) AS a1, k / 1024 * (256 + k * (-128 + k * (74 - 47 * k))) AS b1,
               b1 * ss * (mid + b1 / 4 * (cs * (2 * mid * mid - 1) - b1 / 6 * mid * (4 * ss * ss - 3) * (4 * mid * mid - 3))) AS less,
-              atan2(cos(u) * sin(t), cos(u) * sin(v) * cos(t) - sin(u) * cos(v)) AS last FROM r WHERE n = 12)
+              atan2(cos(u) * sin(t), cos(u) * sin(v) * cos(t) - sin(u) * cos(v)) AS last FROM turns WHERE n = 12)
         SELECT id, round(b * a1 * (arc - less), 4) AS metres, round((degrees(atan2(across, along)) + 360) % 360, 4) AS forward, round((degrees(last) + 540) % 360, 4) AS back FROM d""",
     "haversine_pairs": f"{P} SELECT id, round({HAVERSINE(geo.MEAN_RADIUS)}, 3) AS mean_metres, round({HAVERSINE(geo.AUTHALIC_RADIUS)}, 3) AS authalic_metres FROM p",
     "bearing_compass8": f"""{P}, a AS (SELECT id, lat, lon, round(({BEARING} + 360) % 360, 6) AS angle FROM p)

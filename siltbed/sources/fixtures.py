@@ -97,3 +97,16 @@ POINTS_SQL = (
     f"c AS (SELECT c_custkey AS id, {LAT_SQL.format('c_custkey')} AS lat, {LON_SQL.format('c_custkey')} AS lon FROM customer), "
     f"s AS (SELECT s_suppkey AS id, {LAT_SQL.format('s_suppkey')} AS lat, {LON_SQL.format('s_suppkey')} AS lon FROM supplier)"
 )
+
+
+def customer_supplier_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Each customer's place (id, lat, lon) with that of one of all suppliers (lat2, lon2), by turns."""
+    s = supplier_points(spark, folder).select(F.col("id").alias("other"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    least, most = s.agg(F.min("other"), F.max("other")).first()
+    if least is None:
+        least, most = 0, 0
+    return customer_points(spark, folder).withColumn("other", F.col("id") % (most - least + 1) + least).join(s, "other")
+
+
+PAIRS_SQL = f"""{POINTS_SQL}, r AS (SELECT max(id) - min(id) + 1 AS most, min(id) AS least FROM s),
+p AS (SELECT c.id, c.lat, c.lon, s.lat AS lat2, s.lon AS lon2 FROM c, r, s WHERE s.id = c.id % r.most + r.least)"""
