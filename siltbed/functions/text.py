@@ -10,6 +10,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Boilerplate and punctuation that titles lose, endings that name an episode, and author names.
 BOILERPLATE = ("图寻geoguessr", "geoguessr")
@@ -237,7 +238,7 @@ def without_keys(*keys: str):
         except (ValueError, RecursionError):
             return None
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def clean(texts: pd.Series) -> pd.Series:
         return texts.map(one)
 

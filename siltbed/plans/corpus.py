@@ -42,20 +42,14 @@ def author_affix_top12(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def number_conflict_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Each page against the first page of its author: whether the numbers of their addresses contradict."""
+    """Of all pairs of an author's pages whose addresses name numbers: how many share none."""
     rows = fx.items(spark, sf).select("id", "author").join(fx.table(spark, sf, "pages").select(F.col("page_id").alias("id"), "url"), "id")
-    first = rows.groupBy("author").agg(F.min(F.struct("id", "url")).alias("first"))
-    pairs = rows.join(first, "author").where("id != first.id")
-    return pairs.select(F.col("first.id").alias("left"), F.col("id").alias("right"), tx.number_conflict(F.col("first.url"), F.col("url")).alias("conflict"))
+    return dedup.number_conflict_counts(rows, "author", "url")
 
 
 def duration_ok_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Items whose duration is compatible with that of their author's first item."""
-    items = fx.items(spark, sf).select("id", "author", "duration")
-    first = items.groupBy("author").agg(F.min(F.struct("id", "duration")).alias("first"))
-    ok = tx.duration_ok(F.col("first.duration"), F.col("duration"))
-    pairs = items.join(first, "author").where("id != first.id")
-    return pairs.groupBy("author").agg(F.count_if(ok).alias("compatible"), F.count(F.lit(1)).alias("pairs"))
+    """Of all pairs of an author's items: how many may be one by their durations."""
+    return dedup.duration_counts(fx.items(spark, sf), "author", "duration")
 
 
 def _comparable(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,12 +59,12 @@ def _comparable(spark: SparkSession, sf: str) -> DataFrame:
 
 def title_pairs_blocked(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of an author's items across sources whose titles match."""
-    return dedup.title_pairs(_comparable(spark, sf), 0.55)
+    return dedup.title_pairs(_comparable(spark, sf))
 
 
 def greedy_title_matches(spark: SparkSession, sf: str) -> DataFrame:
     items = fx.items(spark, sf).select(F.col("id").alias("left"), F.col("author").alias("block"))
-    pairs = dedup.title_pairs(_comparable(spark, sf), 0.55).join(items, "left")
+    pairs = dedup.title_pairs(_comparable(spark, sf)).join(items, "left")
     return dedup.greedy_matches(pairs.select("block", "left", "right", "similarity"))
 
 
@@ -173,15 +167,12 @@ ORACLE_SQL = {
         g AS (SELECT f.author, affix, row_number() OVER (PARTITION BY f.author ORDER BY length(affix) DESC, affix) AS rank
               FROM f JOIN t USING (author) WHERE f.n >= greatest(4, floor(total * 0.002)))
         SELECT author, string_agg(affix, '|' ORDER BY rank) AS affixes FROM g WHERE rank <= 12 GROUP BY author""",
-    "number_conflict_pairs": f"""WITH {fx.ITEMS_SQL}, p AS (SELECT id, author, regexp_extract_all(url, '\\d+') AS nums FROM items JOIN pages ON page_id = id),
-        f AS (SELECT author, min(id) AS id FROM p GROUP BY author), a AS (SELECT p.* FROM p JOIN f USING (author, id))
-        SELECT a.id AS left, b.id AS right, len(a.nums) > 0 AND len(b.nums) > 0 AND NOT list_has_any(a.nums, b.nums) AS conflict
-        FROM a JOIN p b ON a.author = b.author AND a.id <> b.id""",
-    "duration_ok_pairs": f"""WITH {fx.ITEMS_SQL}, f AS (SELECT author, min(id) AS id FROM items GROUP BY author),
-        a AS (SELECT i.* FROM items i JOIN f USING (author, id))
-        SELECT a.author, count(*) FILTER (coalesce(greatest(a.duration, b.duration) <= 0
-        OR abs(a.duration - b.duration) <= greatest(a.duration, b.duration) * 0.20, true)) AS compatible, count(*) AS pairs
-        FROM a JOIN items b ON a.author = b.author AND a.id <> b.id GROUP BY a.author""",
+    "number_conflict_pairs": f"""WITH {fx.ITEMS_SQL}, p AS (SELECT id, author, regexp_extract_all(url, '\\d+') AS nums FROM items JOIN pages ON page_id = id)
+        SELECT a.author, count(*) AS pairs, count(*) FILTER (NOT list_has_any(a.nums, b.nums)) AS conflicts FROM p a JOIN p b ON a.author = b.author AND a.id < b.id AND len(a.nums) > 0 AND len(b.nums) > 0 GROUP BY 1
+        UNION ALL SELECT author, 0, 0 FROM p WHERE len(nums) > 0 GROUP BY author HAVING count(*) = 1""",
+    "duration_ok_pairs": f"""WITH {fx.ITEMS_SQL} SELECT author, count(b) AS pairs, count(b) FILTER (coalesce(greatest(x, y) <= 0 OR abs(x - y) <= greatest(x, y) * 0.2::DOUBLE, true)) AS compatible
+        FROM (SELECT a.author, a.duration AS x, b.duration AS y, b.id AS b, a.duration IS NULL OR b.duration IS NULL AS unknown FROM items a LEFT JOIN items b ON a.author = b.author AND a.id < b.id)
+        GROUP BY author""",
     "cluster_components": f"""WITH RECURSIVE {fx.ITEMS_SQL}, i AS (SELECT id, text_hash, source, {NORM} AS norm FROM items),
         e AS (SELECT a.id AS a, b.id AS b FROM i a JOIN i b ON a.text_hash = b.text_hash
               UNION SELECT a.id, b.id FROM i a JOIN i b ON a.source = b.source AND a.norm = b.norm),

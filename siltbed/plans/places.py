@@ -220,13 +220,14 @@ ORACLE_SQL = {
     "geodesic_pairs": f"""WITH RECURSIVE {fx.PAIRS_SQL}, m AS (SELECT id, radians(lon2 - lon) AS l, atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(lat))) AS u,
         atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(lat2))) AS v FROM p),
         turns AS (SELECT id, 0 AS n, l, u, v, l AS t FROM m UNION ALL {_NEXT}),
-        d AS (SELECT id, cos(v) * sin(t) AS across, cos(u) * sin(v) - sin(u) * cos(v) * cos(t) AS along, sqrt(across * across + along * along) AS ss,
+        d AS (SELECT id, t, cos(v) * sin(t) AS across, cos(u) * sin(v) - sin(u) * cos(v) * cos(t) AS along, sqrt(across * across + along * along) AS ss,
               sin(u) * sin(v) + cos(u) * cos(v) * cos(t) AS cs, atan2(ss, cs) AS arc, cos(u) * across / ss AS sa, 1 - sa * sa AS ca, cs - 2 * sin(u) * sin(v) / ca AS mid,
               6378137.0::DOUBLE * (1 - 1 / 298.257223563::DOUBLE) AS b, ca * (pow(6378137.0::DOUBLE / b, 2) - 1) AS k,
               1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k))) AS a1, k / 1024 * (256 + k * (-128 + k * (74 - 47 * k))) AS b1,
               b1 * ss * (mid + b1 / 4 * (cs * (2 * mid * mid - 1) - b1 / 6 * mid * (4 * ss * ss - 3) * (4 * mid * mid - 3))) AS less,
               atan2(cos(u) * sin(t), cos(u) * sin(v) * cos(t) - sin(u) * cos(v)) AS last FROM turns WHERE n = 12)
-        SELECT id, round(b * a1 * (arc - less), 4) AS metres, round((degrees(atan2(across, along)) + 360) % 360, 4) AS forward, round((degrees(last) + 540) % 360, 4) AS back FROM d""",
+        SELECT id, CASE WHEN isnan(t) THEN 0 ELSE round(b * a1 * (arc - less), 4) END AS metres, CASE WHEN NOT isnan(t) THEN round((degrees(atan2(across, along)) + 360) % 360, 4) END AS forward,
+            CASE WHEN NOT isnan(t) THEN round((degrees(last) + 540) % 360, 4) END AS back FROM d  -- equal places are 0 metres apart without a direction""",
     "haversine_pairs": f"{P} SELECT id, round({HAVERSINE(geo.MEAN_RADIUS)}, 3) AS mean_metres, round({HAVERSINE(geo.AUTHALIC_RADIUS)}, 3) AS authalic_metres FROM p",
     "bearing_compass8": f"""{P}, a AS (SELECT id, lat, lon, round(({BEARING} + 360) % 360, 6) AS angle FROM p)
         SELECT id, angle, ['N','NE','E','SE','S','SW','W','NW'][CAST(floor((angle + 22.5::DOUBLE) / 45) AS BIGINT) % 8 + 1] AS compass,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.functions import text as tx
-from siltbed.operators import gates
+from siltbed.operators import contract, gates, search
 from siltbed.operators import trajectory as tr
 from siltbed.sources import fixtures as fx
 
@@ -85,6 +85,36 @@ def patched_bank(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("id", "kind", "text", "applicability", "tool", "operation", F.array_join("trajectories", ",").alias("trajectories"), "support", "status")
 
 
+def evidence_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Pieces of the assistant's turns as evidence, two of them quoted, in the turns of their conversation."""
+    rows = _turns(spark, sf)
+    piece = F.concat(F.substring("text", 5, 14), F.lit(' says "'), F.substring("text", 40, 24), F.lit('" and "'), F.reverse(F.substring("text", 90, 30)), F.lit('"'))
+    evidence = rows.where("role = 'assistant'").select("conv_id", F.col("turn").alias("evidence_id"), piece.alias("evidence"))
+    segments = rows.select("conv_id", F.col("turn").cast("double").alias("start"), (F.col("turn") + 1.0).alias("end"), F.substring("text", 30, 60).alias("text"))
+    return search.evidence_windows(evidence, segments, "conv_id")
+
+
+def contract_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as calls of a tool for their priority, with their lines as inputs, against a catalog of three fields."""
+    orders, lines = fx.table(spark, sf, "orders"), fx.table(spark, sf, "lineitem")
+    hints = F.when(F.col("o_custkey") % 2 == 0, F.array(F.lit("mode_hint"))).otherwise(F.array().cast("array<string>"))
+    calls = orders.select(F.col("o_orderkey").alias("call_id"), F.col("o_orderpriority").alias("tool"), F.when(F.col("o_custkey") % 9 == 0, "send").otherwise("ship").alias("operation"), hints.alias("context"))
+    n = F.col("l_linenumber")
+    name = F.when(n == 1, "quantity").when(n == 2, "Number-of parts").when(n == 3, "mode").when(n == 4, "extra").when(n == 5, "note").otherwise("Mode")
+    text = n.isin(3, 5, 6)
+    kind = F.when(text | (F.col("l_partkey") % 5 == 0), "string").otherwise("number")
+    inputs = lines.select(F.col("l_orderkey").alias("call_id"), name.alias("name"), F.when(text, F.col("l_returnflag")).otherwise(F.col("l_quantity").cast("int").cast("string")).alias("value"), kind.alias("kind"))
+    none, array = F.lit(None).cast("double"), F.array().cast("array<string>")
+    field = F.explode(F.array(
+        F.struct(F.lit("quantity").alias("field"), F.lit("number").alias("type"), F.lit(True).alias("required"), F.array(F.lit("number_of_parts")).alias("aliases"), F.lit(5.0).alias("minimum"), F.lit(45.0).alias("maximum"), array.alias("context_sources")),
+        F.struct(F.lit("mode").alias("field"), F.lit("string").alias("type"), F.lit(True).alias("required"), array.alias("aliases"), none.alias("minimum"), none.alias("maximum"), F.array(F.lit("mode_hint")).alias("context_sources")),
+        F.struct(F.lit("note").alias("field"), F.lit("integer").alias("type"), F.lit(False).alias("required"), array.alias("aliases"), none.alias("minimum"), none.alias("maximum"), array.alias("context_sources")),
+    ))
+    fields = orders.where("o_orderpriority < '5'").select(F.col("o_orderpriority").alias("tool")).distinct().select("tool", F.lit("ship").alias("operation"), field.alias("f")).select("tool", "operation", "f.*")
+    found = contract.audited(inputs, calls, fields)
+    return found.select("call_id", F.array_join("issues", ",").alias("issues"), "readiness", "valid")
+
+
 _TURNS = """l AS (SELECT conv_id, max(turn) AS last FROM conversations GROUP BY 1),
     t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, length(coalesce(text, '')) AS size, last FROM conversations JOIN l USING (conv_id))"""
 
@@ -111,7 +141,25 @@ ORACLE_SQL = {
         s AS (SELECT conv_id, step, target, path, CASE WHEN target >= step THEN 'forward_reference' WHEN size IS NULL THEN 'unresolved_reference' WHEN path = '.api_key' THEN 'credential_reference_forbidden'
             WHEN listed AND place >= len(words) THEN 'reference_index_out_of_range' WHEN path = '.meta.none' THEN 'reference_path_missing' ELSE 'ok' END AS status, CASE WHEN listed THEN words[place + 1] ELSE CAST(size AS VARCHAR) END AS v FROM j)
         SELECT conv_id, step, target, path, status, CASE WHEN status = 'ok' THEN v END AS value FROM s""",
+    "contract_audit": """WITH c AS (SELECT o_orderkey AS id, o_orderpriority AS tool, o_custkey % 9 <> 0 AS good, o_custkey % 2 = 0 AS hint, o_orderpriority < '5' AS known FROM orders),
+        i AS (SELECT l_orderkey AS id, l_linenumber AS n, CASE WHEN l_linenumber IN (3, 5, 6) THEN l_returnflag ELSE CAST(CAST(l_quantity AS INT) AS VARCHAR) END AS value,
+            CASE WHEN l_linenumber IN (3, 5, 6) OR l_partkey % 5 = 0 THEN 'string' ELSE 'number' END AS kind, CASE WHEN l_linenumber IN (1, 2) THEN 'quantity' WHEN l_linenumber IN (3, 6) OR l_linenumber > 6 THEN 'mode'
+            WHEN l_linenumber = 5 THEN 'note' END AS field FROM lineitem),
+        v AS (SELECT id, field, min((value, kind)) AS least, min((value, kind)) <> max((value, kind)) AS differ, bool_or(n = 2 OR n >= 6) AS renamed FROM i WHERE field IS NOT NULL GROUP BY id, field),
+        f AS (SELECT * FROM (VALUES ('quantity', true), ('mode', true), ('note', false)) t(field, required)),
+        e AS (SELECT c.id, hint, f.field, required, least[1] AS value, least[2] AS kind, differ, renamed FROM c, f LEFT JOIN v ON v.id = c.id AND v.field = f.field WHERE known AND good),
+        x AS (SELECT id, unnest([CASE WHEN differ THEN 'input_alias_conflict:' || field END, CASE WHEN renamed THEN 'input_alias_normalized:' || field END,
+            CASE WHEN value IS NULL AND required AND field = 'mode' AND hint THEN 'input_from_context:mode' WHEN value IS NULL AND required THEN 'required_input_missing:' || field END,
+            CASE WHEN value IS NOT NULL AND ((field = 'quantity' AND kind <> 'number') OR (field = 'mode' AND (kind <> 'string' OR trim(value) = '')) OR field = 'note') THEN 'input_type_mismatch:' || field END,
+            CASE WHEN field = 'quantity' AND kind = 'number' AND CAST(value AS DOUBLE) < 5 THEN 'input_below_minimum:quantity' WHEN field = 'quantity' AND kind = 'number' AND CAST(value AS DOUBLE) > 45 THEN 'input_above_maximum:quantity' END]) AS issue FROM e
+            UNION ALL SELECT id, 'undeclared_input:extra' FROM i JOIN c USING (id) WHERE n = 4 AND known AND good
+            UNION ALL SELECT id, CASE WHEN NOT known THEN 'unknown_canonical_tool:' ELSE 'unknown_operation:operation' END FROM c WHERE NOT known OR NOT good),
+        g AS (SELECT id, list_sort(list_distinct(list(issue) FILTER (issue IS NOT NULL))) AS issues FROM x GROUP BY id),
+        r AS (SELECT c.id, coalesce(issues, []) AS issues FROM c LEFT JOIN g USING (id)),
+        d AS (SELECT id, array_to_string(issues, ',') AS issues, CASE WHEN len([z FOR z IN issues IF split_part(z, ':', 1) IN ('unknown_canonical_tool', 'unknown_operation', 'input_alias_conflict', 'input_type_mismatch')]) > 0 THEN 'invalid'
+            WHEN len([z FOR z IN issues IF z LIKE 'required_input_missing:%']) > 0 THEN 'repairable' WHEN len([z FOR z IN issues IF z LIKE 'input_from_context:%']) > 0 THEN 'context_resolvable' ELSE 'ready' END AS readiness FROM r)
+        SELECT id AS call_id, issues, readiness, readiness IN ('ready', 'context_resolvable') AS valid FROM d""",
     "forbidden_keys": """SELECT o_orderkey, '{"id": ' || o_orderkey || ', "parts": [{"id": ' || o_orderkey || '}, [{}]], "note": "answer"}' AS record FROM orders""",
 }
 
-QUERIES = {f.__name__: f for f in (form_gates, audit_routing, reference_values, forbidden_keys, patched_bank)}
+QUERIES = {f.__name__: f for f in (form_gates, audit_routing, reference_values, forbidden_keys, patched_bank, evidence_windows, contract_audit)}

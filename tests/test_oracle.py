@@ -1,5 +1,6 @@
 """Every query of the library that SQL can express, against DuckDB on the smallest tables."""
 
+import importlib
 import os
 
 import pytest
@@ -45,10 +46,19 @@ def test_same_rows(spark, duck, name):
     assert got == want
 
 
+#: Queries that SQL cannot express, and the tests that hold them, or their operators on built rows, against plain loops.
+HELD = {
+    "title_pairs_blocked": "test_pairs.test_title_queries_run_the_rule", "greedy_title_matches": "test_pairs.test_title_queries_run_the_rule",
+    "evidence_windows": "test_pairs.test_evidence_windows_are_the_loop", "patched_bank": "test_reviews.test_patches_are_the_loop",
+    "near_shapes": "test_shapes.test_near", "shape_widths": "test_shapes.test_widths",
+    "adjacent_segments": "test_rules.test_adjacent_segments_are_the_fold", "anchor_chunks": "test_rules.test_chunks_are_the_rule",
+}
+
+
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE_SQL)))
-def test_runs(spark, name):
-    df = catalog.QUERIES[name](spark, FOLDER)
-    assert df.count() >= 0 and len(df.columns) == len(set(df.columns))
+def test_held_elsewhere(name):
+    module, test = HELD[name].split(".")
+    assert callable(getattr(importlib.import_module(f"tests.{module}"), test))
 
 
 def test_every_sql_has_a_query():
