@@ -64,8 +64,9 @@ def with_repeated_words(docs: DataFrame, words: str, width: int = 3) -> DataFram
     repeated ones come in the order of their windows' bytes; sorted again, each covers the words up to the next place, at
     most ``width``.
     """
-    beside = F.arrays_zip(*[F.slice(words, F.lit(k + 1), F.size(words) - (width - 1)) for k in range(width)])
-    out = docs.withColumn("hashes", F.when(F.size(words) > width, F.transform(beside, lambda w: F.xxhash64(w))))
+    parts = ", ".join(f"{words}[i + {k}]" for k in range(width))
+    hashes = F.expr(f"transform(sequence(0, size({words}) - {width}), i -> xxhash64({parts}))")
+    out = docs.withColumn("hashes", F.when(F.size(words) > width, hashes))
     twice = F.size(F.array_distinct("hashes")) < F.size("hashes")
     out = out.withColumn("sorted", F.when(twice, F.sort_array(windows(words, width))).otherwise(F.array().cast("array<string>"))).drop("hashes")
     out = out.withColumn("names", F.expr("transform(sorted, s -> substring_index(s, '\n', 1))"))
@@ -118,13 +119,13 @@ def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", co
     return staged(classes.join(found, "profile_lang"), "rules-profiles")
 
 
-def with_word_counts(docs: DataFrame, words: str, common: int, when: Column) -> DataFrame:
-    """Adds ``own_words``: how often each of ``common_words`` is in the list of words, and all else; null unless ``when``."""
+def word_counts(words: str, common: int) -> Column:
+    """How often each of ``common_words`` is in the list of words, and all else."""
     found = [F.size(words) - F.size(F.array_remove(words, F.get("common_words", F.lit(i)))) for i in range(common)]
-    out = docs.withColumn("found", F.when(when, F.array(*[F.coalesce(c, F.lit(0)).cast("double") for c in found])))
-    out = out.withColumn("found", F.slice("found", F.lit(1), F.size("common_words")))
-    rest = F.size(words).cast("double") - F.aggregate("found", F.lit(0.0), lambda a, b: a + b)
-    return out.withColumn("own_words", F.concat("found", F.array(rest))).drop("found")
+    found = F.array(*[F.coalesce(c, F.lit(0)).cast("double") for c in found])
+    held = F.slice(found, F.lit(1), F.size("common_words"))
+    rest = F.size(words).cast("double") - F.aggregate(held, F.lit(0.0), lambda a, b: a + b)
+    return F.concat(held, F.array(rest))
 
 
 def judge(
@@ -152,7 +153,7 @@ def judge(
     rows = rows.join(small(known, 4096), F.col("own_lang") == F.col("profile_lang"), "left")
     known_lang = F.col("profile_lang").isNotNull()
     rows = rows.withColumn("own_classes", class_counts())
-    rows = with_word_counts(rows, "words", common, known_lang & (F.col("n_words") >= word_guard)).drop("words")
+    rows = rows.withColumn("own_words", F.when(known_lang & (F.col("n_words") >= word_guard), word_counts("words", common))).drop("words")
     far = F.when(known_lang & (F.col("word_chars") >= class_guard), jensen_shannon("own_classes", "class_profile"))
     rows = rows.withColumn("class_distance", far).withColumn("word_distance", F.when(F.col("own_words").isNotNull(), jensen_shannon("own_words", "word_profile")))
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
