@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("corpus", "timeline", "places", "evidence", "relations", "scenes", "reviews")
+MODULES = ("corpus", "timeline", "places", "evidence", "relations", "scenes", "reviews", "selections")
 FLAGSHIP = "dedup_keep_best"
 
 QUERIES, ORACLE_SQL = {}, {}

@@ -44,3 +44,9 @@ def captured_bounds(text: Column) -> tuple[Column, Column]:
     years = F.filter(years, lambda y: y.between(YEAR_LOW, YEAR_HIGH))
     low, high = F.array_min(years), F.array_max(years)
     return F.coalesce(day, F.make_date(low, F.lit(1), F.lit(1))), F.coalesce(day, F.make_date(high, F.lit(12), F.lit(31)))
+
+
+def captured_in(text: Column, start: Column, end: Column) -> Column:
+    """Whether the days that a capture note allows touch a window; a note without a date does not."""
+    low, high = captured_bounds(text)
+    return F.coalesce((low <= end) & (high >= start), F.lit(False))
