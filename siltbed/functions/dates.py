@@ -50,3 +50,54 @@ def captured_in(text: Column, start: Column, end: Column) -> Column:
     """Whether the days that a capture note allows touch a window; a note without a date does not."""
     low, high = captured_bounds(text)
     return F.coalesce((low <= end) & (high >= start), F.lit(False))
+
+
+# Names of seasons, each with its first and last month; one that ends in an earlier month ends a year later.
+SEASONS = (
+    (("wet", "wet season", "monsoon", "wetseason", "湿季", "汛期", "雨季"), 6, 9), (("dry", "dry season", "dryseason", "旱季", "枯水期"), 12, 3), (("summer", "夏季"), 6, 8),
+    (("winter", "冬季"), 12, 2), (("spring", "春季"), 3, 5), (("autumn", "fall", "秋季"), 9, 11),
+)
+BETWEEN = r"\s*(?:[-–—至到])\s*"
+DAYS_BETWEEN = r"\s*(?:(?i:to)|/|[-–—至到])\s*"
+
+
+def window_of(text: Column) -> Column:
+    """Struct (start, end) of the days that a text asks for; null where it names no time.
+
+    A season with the first year that it names; a year; a decade (1990s, 1990's, 1990年代); two years; a day; two days. Of a
+    season without a year, of a day that does not exist and of a window that ends before it begins, nothing is known.
+    """
+    own = F.trim(text)
+    low = F.lower(own)
+
+    def part(pattern: str, i: int = 1) -> Column:
+        return F.nullif(F.regexp_extract(own, f"^{pattern}$", i), F.lit(""))
+
+    def span(start: Column, end: Column) -> Column:
+        return F.when(start <= end, F.struct(start.alias("start"), end.alias("end")))
+
+    def years(first: Column, last: Column) -> Column:
+        return span(F.make_date(first.cast("int"), F.lit(1), F.lit(1)), F.make_date(last.cast("int"), F.lit(12), F.lit(31)))
+
+    named = F.nullif(F.regexp_extract(own, r"\b(1[0-9]{3}|20[0-9]{2})\b", 1), F.lit("")).cast("int")
+    season = None
+    for i, (names, _, _) in enumerate(SEASONS):
+        said = F.lit(False)
+        for name in names:
+            said = said | F.contains(low, F.lit(name))
+        season = F.when(said, F.lit(i)) if season is None else season.when(said, F.lit(i))
+    held = F.lit(None)
+    for i, (_, first, last) in enumerate(SEASONS):
+        end = F.last_day(F.make_date(named + int(last < first), F.lit(last), F.lit(1)))
+        held = F.when(season == i, span(F.make_date(named, F.lit(first), F.lit(1)), end)).otherwise(held)
+    year, decade = part("([0-9]{4})"), part(r"([0-9]{3})0(?:\s*年代|(?i:'s|s))")
+    two = rf"([0-9]{{4}}){BETWEEN}([0-9]{{4}})"
+    day, days = rf"({ISO_DAY})", rf"({ISO_DAY}){DAYS_BETWEEN}({ISO_DAY})"
+
+    def date(value: Column) -> Column:
+        return F.try_to_date(value, "yyyy-MM-dd")
+
+    plain = F.coalesce(
+        years(year, year), years(F.concat(decade, F.lit("0")), F.concat(decade, F.lit("9"))), years(part(two), part(two, 2)), span(date(part(day)), date(part(day))), span(date(part(days)), date(part(days, 2)))
+    )
+    return F.when(season.isNotNull(), held).otherwise(plain)

@@ -5,7 +5,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from siltbed.functions import dates
+from siltbed.functions import dates, weather
 from siltbed.operators import choices, elements
 from tests.test_scenes import loop_clusters
 
@@ -77,9 +77,28 @@ def test_crossings_are_the_loop(spark):
     rows = [(i, {"way": kind}, [{"lat": a, "lon": b} for a, b in points]) for i, kind, points in ways] + [(None, {"way": "road"}, [{"lat": 1.0, "lon": 1.0}]), (99, None, None), (98, {"way": "road"}, [])]
     table = spark.createDataFrame(rows, "id int, tags map<string, string>, points array<struct<lat: double, lon: double>>")
     for metres in (1.0, 20_000.0):
-        got = sorted((round(r["lat"], 6), round(r["lon"], 6), r["count"]) for r in elements.crossings(table, '["way"="road"]', '["way"="river"]', metres).collect())
-        assert got == loop_crossings(ways, metres) and len(got) > 5
+        got = sorted((r["lat"], r["lon"], r["count"]) for r in elements.crossings(table, '["way"="road"]', '["way"="river"]', metres).collect())
+        want = loop_crossings(ways, metres)
+        assert [r[2] for r in got] == [r[2] for r in want] and len(got) > 5
+        assert all(math.hypot(a[0] - b[0], a[1] - b[1]) < 2e-6 for a, b in zip(got, want, strict=True))
     # Without a way that fits the reference, all others are it.
     again = elements.crossings(table, '["way"="road"]', '["bridge"]', 1.0).count()
     assert again == len(loop_crossings(ways, 1.0))
     assert elements.crossings(table.limit(0), '["way"]', '["way"]', 1.0).count() == 0
+
+
+def test_windows_of_texts(spark):
+    want = {
+        "2020": ("2020-01-01", "2020-12-31"), "1990s": ("1990-01-01", "1999-12-31"), "1990's": ("1990-01-01", "1999-12-31"), "1980 年代": ("1980-01-01", "1989-12-31"), "2001至2003": ("2001-01-01", "2003-12-31"),
+        "2003-2001": None, "2020-02-29": ("2020-02-29", "2020-02-29"), "2021-02-29": None, "2020-01-05 / 2020-02-01": ("2020-01-05", "2020-02-01"), "Winter 2019": ("2019-12-01", "2020-02-29"),
+        "2018 汛期": ("2018-06-01", "2018-09-30"), "summer": None, "": None, "soon": None, None: None, "1995s": None,
+    }
+    rows = spark.createDataFrame([(t,) for t in want], "t string").select("t", dates.window_of(F.col("t")).alias("w")).collect()
+    assert {r["t"]: r["w"] and (str(r["w"]["start"]), str(r["w"]["end"])) for r in rows} == want
+
+
+def test_conditions(spark):
+    values = {"cloud_cover": 10.0, "snow_depth": 3.0, "rain": 2.5, "own": -1.0, "visibility": None}
+    want = {"晴": True, "Clear": True, "雪": True, "cloud<10": False, "云量 <= 10": True, "rainfall == 2.5": True, "own < 0": True, "wind > 3": None, "能见度 > 1": None, "rain": None, "rain < x": None, "": None, None: None, "own = -1.0": True}
+    rows = spark.createDataFrame([(t, values) for t in want], "t string, v map<string, double>")
+    assert {r["t"]: r["f"] for r in rows.select("t", weather.satisfied(F.col("v"), F.col("t")).alias("f")).collect()} == want
