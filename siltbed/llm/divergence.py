@@ -123,9 +123,10 @@ def word_counts(words: str, common: int) -> Column:
     """How often each of ``common_words`` is in the list of words, and all else."""
     found = [F.size(words) - F.size(F.array_remove(words, F.get("common_words", F.lit(i)))) for i in range(common)]
     found = F.array(*[F.coalesce(c, F.lit(0)).cast("double") for c in found])
-    held = F.slice(found, F.lit(1), F.size("common_words"))
-    rest = F.size(words).cast("double") - F.aggregate(held, F.lit(0.0), lambda a, b: a + b)
-    return F.concat(held, F.array(rest))
+    # One element, so that the counts are made once.
+    held = F.array(F.slice(found, F.lit(1), F.size("common_words")))
+    total = F.size(words).cast("double")
+    return F.get(F.transform(held, lambda h: F.concat(h, F.array(total - F.aggregate(h, F.lit(0.0), lambda a, b: a + b)))), F.lit(0))
 
 
 def judge(
