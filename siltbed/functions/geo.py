@@ -78,6 +78,7 @@ def _waves(*terms: tuple[float, Column]) -> Column:
 
 def gcj02(lon: Column, lat: Column) -> tuple[Column, Column]:
     """WGS84 to GCJ-02 (lon, lat); points outside the datum's box stay."""
+    # The datum's published polynomial and wave coefficients.
     x, y, pi = lon - 105.0, lat - 35.0, F.lit(math.pi)
     ripple = _waves((20.0, x * 6.0 * pi), (20.0, x * 2.0 * pi))
     north = (

@@ -12,14 +12,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Boilerplate and punctuation that titles lose, endings that name an episode, and author names.
+# Boilerplate and punctuation that titles lose, endings that name an episode, lengths of affixes, keys and
+# values that are secret, and the mark that stands for them.
 BOILERPLATE = ("图寻geoguessr", "geoguessr")
 TITLE_PUNCTUATION = r"""[\s_\-—–｜丨;；,，.。!！?？:：·~～'"“”‘’()（）\[\]【】{}<>《》#@]+"""
 EPISODE = (
     r"(第[0-9一二三四五六七八九十]+[集期弹]|[（(][0-9一二三四五六七八九十]+[)）]|[上下续]$|vol\.?\s*[0-9]+|[0-9]+)$"
 )
-AUTHOR_SUFFIXES = ("的作品", "up")
-VIDEO_ID = r"BV[0-9A-Za-z]{10}"
 AFFIX_LENGTHS = (8, 10, 12, 14, 16, 18, 20, 24, 28, 32, 36, 40)
 SECRET_KEY = r"(?i)(api[_-]?key|access[_-]?key|secret|token|password|passwd|authorization|credential)"
 SECRET_VALUE = r"(sk-[A-Za-z0-9_-]{16,}|AIza[A-Za-z0-9_-]{20,}|Bearer\s+[A-Za-z0-9._-]{16,})"
@@ -30,7 +29,6 @@ NOT_GLOBAL = (
     r"172\.(1[6-9]|2[0-9]|3[01])\.|100\.(6[4-9]|[7-9][0-9]|1[01][0-9]|12[0-7])\.|(22[4-9]|2[3-5][0-9])\.)"
 )
 LOGIN_WORDS = ("login required", "please log in", "sign in to continue", "captcha", "access denied", "paywall")
-COMPASS = ("N", "NE", "E", "SE", "S", "SW", "W", "NW")
 
 
 def title_norm(title: Column) -> Column:
