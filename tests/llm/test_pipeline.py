@@ -14,7 +14,7 @@ from tests.llm.test_near import five_words
 from tests.llm.test_packing import checked
 
 SF = "/root/testdata/sf0.01"
-TABLES = "documents", "pages", "labels"
+TABLES = ("documents", "pages", "labels", "embeddings")
 
 
 def plain(rows):
