@@ -197,7 +197,11 @@ class SetJoin:
 
         sets = staged(scanned(found, "raw", ["node"], {"members": "binary"}, resolve), "jaccard-sets")
         # A row may be repeated as a whole; then its set was made for each.
-        return sets if sets.count() == wanted.count() else staged(sets.dropDuplicates(["node"]), "jaccard-sets")
+        if sets.count() != wanted.count():
+            sets, repeated = staged(sets.dropDuplicates(["node"]), "jaccard-sets"), sets
+            dropped(repeated)
+        dropped(wanted)
+        return sets
 
     def apart(self):
         return 1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
@@ -222,7 +226,8 @@ class SetJoin:
 
     def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """a, b, n_a, n_b, shared for each pair of nodes (a, b). The first one's set travels to the second one's, once."""
-        pairs = small(staged(pairs.select("a", "b").distinct(), "jaccard-pairs"))
+        written = staged(pairs.select("a", "b").distinct(), "jaccard-pairs")
+        pairs = small(written)
         one = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a")).join(pairs, "a")
         two = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
         two = two.join(pairs.select("b"), "b", "left_semi")
@@ -241,29 +246,36 @@ class SetJoin:
 
         # Sorted and merged, so that a task never has the Python of both steps at once.
         joined = one.hint("merge").join(two, "b").select("a", "b", "set_a", "set_b")
-        return staged(joined.mapInArrow(compare, schema), "jaccard-verified")
+        found = staged(joined.mapInArrow(compare, schema), "jaccard-verified")
+        dropped(written)
+        return found
 
     def links_of(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        links = self.verified(pairs, sets).where(self.linked())
-        return staged(links.select("a", "b", self.apart().alias("distance")), "jaccard-links")
+        found = self.verified(pairs, sets)
+        links = staged(found.where(self.linked()).select("a", "b", self.apart().alias("distance")), "jaccard-links")
+        dropped(found)
+        return links
 
     def stars(self) -> tuple[DataFrame, DataFrame]:
         """Labels after the links of nodes with the leader of a key; and members: node, leader, distance."""
         keys = self.nodes.select(F.col("node").alias("a"), "id", "n", "sketch", F.explode("keys").alias("key"))
         shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("count")).where("count > 1").select("key")
-        keys = keys.join(small(staged(shared, "jaccard-keys")), "key", "left_semi")
+        shared = staged(shared, "jaccard-keys")
+        keys = keys.join(small(shared), "key", "left_semi")
         # In most bins the least id leads, as a text mostly comes before what was made from it; in the others chance decides.
         early = F.col("key").bitwiseAND(F.lit(3)) != 3
         rank = F.struct(early & F.col("id").isNull(), F.when(early, F.col("id")), F.xxhash64("a", "key"), "a", "n", "sketch")
         leaders = keys.groupBy("key").agg(F.min(rank).alias("first"))
         leaders = leaders.select("key", F.col("first.a").alias("b"), F.col("first.n").alias("n_b"), F.col("first.sketch").alias("sketch_b"))
-        leaders = small(staged(leaders, "jaccard-leaders"))
+        led = staged(leaders, "jaccard-leaders")
+        leaders = small(led)
         alike = (F.col("n") * 100 >= F.col("n_b") * self.percent) & (F.col("n_b") * 100 >= F.col("n") * self.percent)
         agree = agreeing(F.col("sketch"), F.col("sketch_b"))
         # Agreement of bins only says which pairs are worth a try here; links that it misses are found later.
         likely = (agree + 2) * 100 > BINS * self.percent
         pairs = keys.join(leaders, "key").where((F.col("a") != F.col("b")) & alike & likely)
         pairs = staged(pairs.select("a", "b", agree.alias("agree"), early.alias("early")).distinct(), "jaccard-star-pairs")
+        dropped(shared, led)
         sets = self.sets_of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))))
         best = pairs.groupBy("a", "early").agg(F.max(F.struct("agree", "b")).alias("best")).select("a", "best.b")
         links = self.links_of(best, sets)
@@ -272,12 +284,14 @@ class SetJoin:
         more = self.links_of(more.select("a", "best.b"), sets)
         if not more.isEmpty():
             labels = merged(labels, more)
-        dropped(sets, pairs)
+        dropped(sets, pairs, more)
         # Members of a leader that is a member itself stand alone: then every distance is to a cluster's own leader.
-        moved = small(staged(links.select(F.col("a").alias("moved")).distinct(), "jaccard-moved"))
-        members = links.join(moved, F.col("b") == F.col("moved"), "left_anti").groupBy(F.col("a").alias("node"))
+        moved = staged(links.select(F.col("a").alias("moved")).distinct(), "jaccard-moved")
+        members = links.join(small(moved), F.col("b") == F.col("moved"), "left_anti").groupBy(F.col("a").alias("node"))
         members = members.agg(F.min(F.struct("distance", "b")).alias("own")).select("node", F.col("own.b").alias("leader"), "own.distance")
-        return labels, staged(members, "jaccard-members")
+        members = staged(members, "jaccard-members")
+        dropped(links, moved)
+        return labels, members
 
     def apart_still(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """The pairs (a, b) that are in different components, with their labels."""
@@ -297,16 +311,20 @@ class SetJoin:
         labelled = nodes.join(known, "node", "left").select("prefix", F.xxhash64(F.coalesce("label", "node")).alias("of"))
         tokens = labelled.select(F.explode("prefix").alias("token"), "of")
         live = tokens.groupBy("token").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low != high")
-        live = small(staged(live.select("token"), "jaccard-tokens"))
+        live = staged(live.select("token"), "jaccard-tokens")
         # Rows are many here: numbers of 64 bits stand for nodes, clusters and labels, and are resolved afterwards.
         found = nodes.select(number("node"), F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("position", "token"))
-        found = staged(found.join(live, "token", "left_semi"), "jaccard-entries")
+        entries = found = staged(found.join(small(live), "token", "left_semi"), "jaccard-entries")
+        spent = [live, entries]
         for name, table in (("label", labels), ("leader", members)):
-            found = found.join(small(staged(table.select(number("node"), number(name)), "jaccard-numbers")), "node", "left")
+            spent.append(staged(table.select(number("node"), number(name)), "jaccard-numbers"))
+            found = found.join(small(spent[-1]), "node", "left")
         found = found.groupBy("token", F.coalesce("leader", "node").alias("cluster"), F.coalesce("label", "node").alias("label")).agg(
             F.min("n").alias("low"), F.max("n").alias("high"), F.min("position").alias("at")
         )
-        return staged(found, "jaccard-lists")
+        found = staged(found, "jaccard-lists")
+        dropped(*spent)
+        return found
 
     def room(self, n_a, n_b, most_a, most_b, at_a, at_b):
         """Whether a first common token at these positions leaves room for the overlap required."""
@@ -315,7 +333,7 @@ class SetJoin:
         )
 
     def cluster_pairs(self, lists: DataFrame) -> DataFrame:
-        """Pairs of clusters (a < b) of different components that may hold a link, from blocks of index lists."""
+        """Written pairs of clusters (first < second, by number) of different components that may hold a link, from blocks of index lists."""
         step = F.lit(float(np.log(100 / self.percent)))
 
         def band(n):
@@ -335,7 +353,10 @@ class SetJoin:
         pairs = met.select(
             F.least("cluster_a", "cluster_b").alias("first"), F.greatest("cluster_a", "cluster_b").alias("second")
         )
-        pairs = staged(pairs.distinct(), "jaccard-numbered-pairs")
+        return staged(pairs.distinct(), "jaccard-numbered-pairs")
+
+    def named(self, pairs: DataFrame) -> DataFrame:
+        """The nodes (a, b) of pairs of numbers (first, second)."""
         for side, own in (("first", "a"), ("second", "b")):
             pairs = pairs.join(self.nodes.select(number("node").alias(side), F.col("node").alias(own)), side)
         return pairs.select("a", "b")
@@ -354,9 +375,12 @@ class SetJoin:
             sides.append(side.select(F.col("a").alias("leader_a"), F.col("b").alias("leader_b"), "node", F.col(other).alias("aim"), F.col("distance").alias("own"), "within"))
         asked = staged(sides[0].unionByName(sides[1]), "jaccard-asked")
         pairs = asked.groupBy(F.col("node").alias("a"), F.col("aim").alias("b")).agg(F.max("within").alias("within"))
-        found = self.verified(self.plausible(pairs), sets).select(F.col("a").alias("node"), F.col("b").alias("aim"), F.col("n_a").alias("n"), self.apart().alias("other"), self.linked().alias("linked"))
+        answers = self.verified(self.plausible(pairs), sets)
+        found = answers.select(F.col("a").alias("node"), F.col("b").alias("aim"), F.col("n_a").alias("n"), self.apart().alias("other"), self.linked().alias("linked"))
         met = asked.join(found, ["node", "aim"]).where(F.col("other") <= F.col("within") + 1e-9)
-        return staged(met.select("leader_a", "leader_b", "node", "aim", "own", "other", "n", "linked"), "jaccard-leader-answers")
+        met = staged(met.select("leader_a", "leader_b", "node", "aim", "own", "other", "n", "linked"), "jaccard-leader-answers")
+        dropped(asked, answers)
+        return met
 
     def member_pairs(self, answers: DataFrame, near: DataFrame) -> DataFrame:
         """Pairs of members of cluster pairs ``near`` (a, b) that their distances to both leaders do not rule out."""
@@ -380,15 +404,17 @@ class SetJoin:
         least = 1 - self.percent / 100
         reach = small(staged(members.groupBy("leader").agg(F.max("distance").alias("reach")), "jaccard-reach"))
         lists = self.lists(labels, members)
+        numbered = self.cluster_pairs(lists)
+        dropped(lists)
         pairs = (
-            self.cluster_pairs(lists)
+            self.named(numbered)
             .join(reach.select(F.col("leader").alias("a"), F.col("reach").alias("reach_a")), "a", "left")
             .join(reach.select(F.col("leader").alias("b"), F.col("reach").alias("reach_b")), "b", "left")
             .na.fill(0.0, ["reach_a", "reach_b"])
             .select("a", "b", (least + F.col("reach_a") + F.col("reach_b")).alias("within"))
         )
         pairs = staged(pairs, "jaccard-cluster-pairs")
-        dropped(lists)
+        dropped(numbered)
         met = staged(self.plausible(pairs), "jaccard-plausible")
         if met.isEmpty():
             return labels
@@ -396,12 +422,15 @@ class SetJoin:
         leaders = staged(leaders, "jaccard-met")
         led = members.join(small(leaders.withColumnRenamed("node", "leader")), "leader", "left_semi").select("node")
         sets = self.sets_of(leaders.unionByName(led))
+        dropped(leaders)
         answers = self.verified(met, sets)
         labels = merged(labels, answers.where(self.linked()).select("a", "b"))
         near = answers.where(~self.linked()).select("a", "b", self.apart().alias("apart")).join(pairs, ["a", "b"])
-        near = staged(near.where(F.col("apart") <= F.col("within") + 1e-9).select("a", "b", "apart"), "jaccard-near")
-        near = staged(self.apart_still(near, labels).select("a", "b", "apart"), "jaccard-open")
+        wide = near.where(F.col("apart") <= F.col("within") + 1e-9).select("a", "b", "apart")
+        near = staged(self.apart_still(wide, labels).select("a", "b", "apart"), "jaccard-open")
+        dropped(answers, pairs, met)
         if near.isEmpty():
+            dropped(sets)
             return labels
         # First members meet the other leaders, whose answers then limit which members meet each other.
         led = self.leader_answers(near, members, reach, sets)
@@ -410,10 +439,13 @@ class SetJoin:
         if near.isEmpty():
             return labels
         last = self.apart_still(self.member_pairs(led, near), labels).select("a", "b").withColumn("within", F.lit(least))
-        last = staged(self.plausible(staged(last, "jaccard-last")), "jaccard-last-plausible")
-        if last.isEmpty():
-            return labels
-        return merged(labels, self.verified(last, sets).where(self.linked()).select("a", "b"))
+        last = staged(last, "jaccard-last")
+        plausible = staged(self.plausible(last), "jaccard-last-plausible")
+        dropped(last, led)
+        if not plausible.isEmpty():
+            labels = merged(labels, self.verified(plausible, sets).where(self.linked()).select("a", "b"))
+        dropped(sets, plausible)
+        return labels
 
     def groups(self) -> DataFrame:
         """id, n_shingles, component_id (the least id of the component) for each row."""
