@@ -46,3 +46,14 @@ def dropped(*frames: DataFrame) -> None:
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A staged narrow table, marked for broadcast only if its counted rows stay within the bound."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+#: Most bytes of an Arrow batch on its way to Python.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches for Python by bytes, as rows differ in length: a setting of the session, lowered if it is higher."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(name).rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))

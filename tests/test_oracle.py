@@ -51,6 +51,7 @@ HELD = {
     "title_pairs_blocked": "test_pairs.test_title_queries_run_the_rule", "greedy_title_matches": "test_pairs.test_title_queries_run_the_rule",
     "evidence_windows": "test_pairs.test_evidence_windows_are_the_loop", "patched_bank": "test_reviews.test_patches_are_the_loop",
     "near_shapes": "test_shapes.test_near", "way_crossings": "test_choices.test_crossings_are_the_loop", "shape_widths": "test_shapes.test_widths",
+    "fingerprint_matches": "test_prints.test_matches_are_the_loop", "fingerprint_summary": "test_prints.test_matches_are_the_loop",
     "adjacent_segments": "test_rules.test_adjacent_segments_are_the_fold", "anchor_chunks": "test_rules.test_chunks_are_the_rule",
 }
 
