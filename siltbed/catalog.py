@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("corpus", "timeline", "places", "evidence", "relations", "scenes", "reviews", "selections", "prints")
+MODULES = ("corpus", "timeline", "places", "evidence", "relations", "scenes", "reviews", "selections", "prints", "exports")
 FLAGSHIP = "dedup_keep_best"
 
 QUERIES, ORACLE_SQL = {}, {}

@@ -61,9 +61,9 @@ def all_inventories(*frames: DataFrame) -> DataFrame:
 
 
 def registry(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A registry dump, CSV with a header or JSON lines."""
+    """A registry dump, CSV with a header (quotes doubled inside quotes, where lines may end too) or JSON lines."""
     if path.endswith(".csv"):
-        return spark.read.schema(schema).option("header", True).csv(path)
+        return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
     return spark.read.schema(schema).json(path)
 
 
