@@ -190,11 +190,45 @@ def cell(lat: Column, lon: Column, degrees: float) -> tuple[Column, Column]:
     return F.floor(lat / degrees).cast("long"), F.floor(lon / degrees).cast("long")
 
 
+def far_geodesic(sin_u, cos_u, sin_v, cos_v, apart, flattening: float):
+    """Direction at either end and the arc's terms (arc, middle, squared sine of its slope) between places almost opposite.
+
+    The first direction is halved in on until the line's end is ``apart`` (radians of longitude): seen from the place
+    farther from the equator, moved to the south, that longitude grows with the direction. Exact opposites meet over a pole.
+    """
+    swapped = np.abs(sin_u) < np.abs(sin_v)
+    (s1, s2), (c1, c2) = (np.where(swapped, y, x) for x, y in ((sin_u, sin_v), (sin_v, sin_u))), (np.where(swapped, y, x) for x, y in ((cos_u, cos_v), (cos_v, cos_u)))
+    south = np.where(s1 > 0, -1.0, 1.0)
+    s1, s2, east = np.minimum(s1 * south, -1e-300), s2 * south, np.where(apart < 0, -1.0, 1.0)
+
+    def line(a):
+        slope, cos_a = c1 * np.sin(a), np.cos(a)
+        cos_b = np.sqrt(np.maximum(cos_a**2 * c1**2 + (c2 - c1) * (c2 + c1), 0.0)) / c2
+        first, last = np.arctan2(s1, cos_a * c1), np.arctan2(s2, cos_b * c2)
+        turned = np.arctan2(slope * np.sin(last), np.cos(last)) - np.arctan2(slope * np.sin(first), np.cos(first))
+        arc, middle, squared = last - first, np.cos(first + last), 1 - slope**2
+        c = flattening / 16 * squared * (4 + flattening * (4 - 3 * squared))
+        less = (1 - c) * flattening * slope * (arc + c * np.sin(arc) * (middle + c * np.cos(arc) * (2 * middle**2 - 1)))
+        return turned - less, arc, middle, squared, np.arctan2(slope / c2, cos_b)
+
+    low, high = np.zeros(len(s1)), np.full(len(s1), np.pi)
+    for _ in range(60):
+        half = (low + high) / 2
+        short = line(half)[0] < np.abs(apart)
+        low, high = np.where(short, half, low), np.where(short, high, half)
+    _, arc, middle, squared, end = line(high)
+    ways = [np.where(swapped, end, high), np.where(swapped, high, end)]
+    north = np.where(swapped, -south, south)
+    forward, last = (np.degrees(np.arctan2(east * np.sin(x), north * np.cos(x))) % 360.0 for x in ways)
+    return forward, last, arc, middle, squared
+
+
 def geodesic(axis: float = WGS84_AXIS, flattening: float = WGS84_FLATTENING, rounds: int = 200):
     """A function of (lat1, lon1, lat2, lon2) giving metres, forward and back azimuth (0 to 360) on an ellipsoid.
 
     Vincenty's inverse solution, iterated over whole Arrow batches. Equal places are 0 metres apart without azimuths;
-    near antipodes where the iteration does not settle, and for nulls, all three are null.
+    near antipodes, where the iteration does not settle, the direction is halved in on (``far_geodesic``). All three are
+    null for nulls.
     """
 
     @F.pandas_udf("metres double, forward double, back double")
@@ -217,15 +251,19 @@ def geodesic(axis: float = WGS84_AXIS, flattening: float = WGS84_FLATTENING, rou
                 settled, turn = np.abs(new - turn) < 1e-12, new
                 if (settled | np.isnan(new)).all():
                     break
+            forward = np.degrees(np.arctan2(across, along)) % 360.0
+            back = np.degrees(np.arctan2(cos_u * np.sin(turn), cos_u * sin_v * np.cos(turn) - sin_u * cos_v)) % 360.0
+            far = ~(settled & (np.abs(turn) <= np.pi)) & ~np.isnan(sin_u + sin_v + apart)
+            if far.any():
+                forward[far], back[far], arc[far], middle[far], squared[far] = far_geodesic(*[x[far] for x in (sin_u, cos_u, sin_v, cos_v, apart)], flattening)
+                sin_s, cos_s = np.where(far, np.sin(arc), sin_s), np.where(far, np.cos(arc), cos_s)
             k = squared * (axis**2 / (axis * (1 - flattening)) ** 2 - 1)
             big_a = 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k)))
             big_b = k / 1024 * (256 + k * (-128 + k * (74 - 47 * k)))
             cubic = big_b / 6 * middle * (4 * sin_s**2 - 3) * (4 * middle**2 - 3)
             arc = arc - big_b * sin_s * (middle + big_b / 4 * (cos_s * (2 * middle**2 - 1) - cubic))
             metres = axis * (1 - flattening) * big_a * arc
-            forward = np.degrees(np.arctan2(across, along)) % 360.0
-            back = np.degrees(np.arctan2(cos_u * np.sin(turn), cos_u * sin_v * np.cos(turn) - sin_u * cos_v)) % 360.0
-        known, moved = settled & (np.abs(turn) <= np.pi), sin_s > 0
+        known, moved = far | settled, far | (sin_s > 0)
         columns = {"metres": (metres, known), "forward": (forward, known & moved), "back": ((back + 180.0) % 360.0, known & moved)}
         return pd.DataFrame({name: pd.Series(x).where(keep, None).astype(object) for name, (x, keep) in columns.items()})
 

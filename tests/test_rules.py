@@ -157,7 +157,8 @@ def test_geodesic_known_lines(spark):
         return (abs(d) + m / 60 + s / 3600) * (-1 if d < 0 else 1)
 
     line = (degrees(-37, 57, 3.72030), degrees(144, 25, 29.52440), degrees(-37, 39, 10.15610), degrees(143, 55, 35.38390))
-    rows = [(0, *line), (1, 0.0, 179.5, 0.0, -179.5), (2, 0.0, 0.0, 90.0, 0.0), (3, 12.0, 7.0, 12.0, 7.0), (4, None, 0.0, 1.0, 1.0), (5, 0.0, 0.0, 0.3, 179.9)]
+    rows = [(0, *line), (1, 0.0, 179.5, 0.0, -179.5), (2, 0.0, 0.0, 90.0, 0.0), (3, 12.0, 7.0, 12.0, 7.0), (4, None, 0.0, 1.0, 1.0), (5, -30.0, 0.0, 29.9, 179.8)]
+    rows += [(6, 0.0, 0.0, 0.5, 179.7), (7, 0.5, 179.7, 0.0, 0.0), (8, 0.0, 10.0, 0.0, -170.0), (9, 29.9, 179.8, -30.0, 0.0), (10, 30.0, 0.0, -29.9, -179.8), (11, 90.0, 0.0, -90.0, 5.0)]
     df = spark.createDataFrame(rows, "id long, lat1 double, lon1 double, lat2 double, lon2 double")
     grs80, wgs84 = geo.geodesic(flattening=1 / 298.257222101), geo.geodesic()
     names = ("lat1", "lon1", "lat2", "lon2")
@@ -167,7 +168,15 @@ def test_geodesic_known_lines(spark):
     assert abs(first["forward"] - degrees(306, 52, 5.37)) < 1e-5 and abs(first["back"] - degrees(127, 10, 25.07)) < 1e-5
     assert abs(got[1][1]["metres"] - 111319.4908) < 0.001 and abs(got[2][1]["metres"] - 10001965.729) < 0.001
     assert tuple(got[3][1]) == (0.0, None, None)
-    assert tuple(got[4][1]) == tuple(got[5][1]) == (None, None, None)
+    assert tuple(got[4][1]) == (None, None, None)
+    # Almost opposite places: published lines, and the same ones from their other ends and mirrored.
+    far = {i: got[i][1] for i in range(5, 12)}
+    for i, metres in ((5, 19989832.8276), (6, 19944127.421), (7, 19944127.421), (8, 20003931.4586), (9, 19989832.8276), (10, 19989832.8276), (11, 20003931.4586)):
+        assert abs(far[i]["metres"] - metres) < 0.01
+    assert abs(far[5]["forward"] - 161.890525) < 1e-4 and abs((far[5]["back"] + 180) % 360 - 18.090737) < 1e-4
+    assert abs(far[9]["forward"] - far[5]["back"]) < 1e-6 and abs(far[9]["back"] - far[5]["forward"]) < 1e-6
+    assert abs(far[7]["forward"] - far[6]["back"]) < 1e-6 and abs(far[7]["back"] - far[6]["forward"]) < 1e-6
+    assert abs(far[10]["forward"] - (161.890525 + 180) % 360) < 1e-4
 
 
 def test_dusk_at_the_equinox(spark):
