@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from siltbed.llm import exact_dedup, jaccard_join, mixing, packing, quality, queries
-from siltbed.llm._common import staged, table
+from siltbed.llm._common import dropped, staged, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. Each stage's table goes once the next one is written; that of the last but one is still read."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if last is not None:
+            dropped(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
