@@ -231,7 +231,8 @@ def audit(
     groups = staged(groups, "audit-groups")
     blocks = entries.count() // block_entries + 1
     dealt = entries.withColumn("block", F.pmod(F.xxhash64("term"), F.lit(blocks))).drop("once")
-    profile = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # Cogroups deal both sides out by hash, and an int and a long of equal value have different hashes.
+    profile = groups.withColumn("block", F.explode(F.sequence(*[F.lit(i).cast("long") for i in (0, blocks - 1)])))
 
     def solve(key, entries: pa.Table, groups: pa.Table) -> pa.Table:
         found = list(block_rows(entries, groups, top))

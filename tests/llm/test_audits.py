@@ -70,6 +70,22 @@ def test_audit_is_brute_force(spark, block):
     assert audit.audit(docs.limit(0)).count() == 0
 
 
+def test_audit_is_brute_force_where_partitions_stay_apart(spark):
+    rows = [(f"w{chr(97 + i % 7)} {chr(97 + i % 11)} the", ["en", "de", "fr"][i % 3], ["a", "b", "c", None][i % 4]) for i in range(120)]
+    docs = spark.createDataFrame(rows, "text string, lang string, source string")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "13"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for block in (4, 1 << 18):
+            got = [tuple(r) for r in audit.audit(docs, top=4, block_entries=block).collect()]
+            assert len(got) == len(set(got)) and set(got) == brute_audit(rows, top=4)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def brute_rules(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
