@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm._common import ascii_lower, small, staged
+from siltbed.llm._common import ascii_lower, dropped, small, staged
 
 FILTER = {"parquet.bloom.filter.enabled#digest": "true", "parquet.bloom.filter.adaptive.enabled#digest": "true"}
 
@@ -57,6 +57,8 @@ class DigestIndex:
         """keep: "min" or "max", which id of equal texts stays. digest: normalised text -> binary column."""
         self.id_col, self.text_col, self.digest = id_col, text_col, digest
         self.best = {"min": F.min, "max": F.max}[keep]
+        #: Written tables that a decision reads.
+        self.written: list[DataFrame] = []
 
     def keyed(self, docs: DataFrame) -> DataFrame:
         norm = ascii_lower(F.coalesce(F.col(self.text_col), F.lit("")))
@@ -90,7 +92,9 @@ class DigestIndex:
     def decide(self, docs: DataFrame) -> DataFrame:
         """A row for each row of ``docs``: id, digest, keep_id, group_size, kept."""
         runs = self.flush(docs)
-        groups, rows = self.verify(docs, self.compact(runs))
+        level = self.compact(runs)
+        groups, rows = self.verify(docs, level)
+        self.written += [runs, level, groups]
         collided = staged(groups.groupBy("digest").count().where("count > 1").select("digest"), "dedup-collided")
         plain = groups.select("digest", "keep_id", "group_size")
         if collided.isEmpty():
@@ -118,9 +122,11 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The rows of ``docs`` that stay, with all their columns; of repeated rows of one id and text, one."""
     index = DigestIndex(id_col, text_col, keep)
     decided = staged(index.decide(docs).select(F.col(id_col).alias("own_id"), "digest", "kept"), "dedup-decided")
+    dropped(*index.written)
     rows = decided.groupBy("own_id", "digest").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     gone = staged(rows.where(~F.col("kept")).select("own_id", "digest"), "dedup-gone")
     repeated = staged(rows.where("kept AND n > 1").select("own_id", "digest"), "dedup-repeated")
+    dropped(decided)
     digest = index.digest(ascii_lower(F.coalesce(docs[text_col], F.lit(""))))
 
     def same(other: DataFrame):

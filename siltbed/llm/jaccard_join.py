@@ -477,7 +477,9 @@ class SetJoin:
 
 def without_near_copies(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; repeated rows of one id and text stay or go together."""
-    gone = small(staged(SetJoin(docs, id_col, text_col, width, percent).spare(), "near-gone"))
+    join = SetJoin(docs, id_col, text_col, width, percent)
+    gone = small(staged(join.spare(), "near-gone"))
+    dropped(join.signed, join.nodes)
     same = docs[id_col].eqNullSafe(gone["id"]) & (F.xxhash64(docs[text_col].cast("binary")) == gone["text_hash"])
     return docs.join(gone, same, "left_anti")
 

@@ -151,16 +151,29 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+def shrunk(ids: np.ndarray) -> bytes:
+    """Ids for a written table: two bytes each where they fit, compressed behind the width and the size."""
+    width = 2 if ids.max(initial=0) < 1 << 16 else 4
+    raw = ids.astype(f"<u{width}").tobytes()
+    return bytes([width]) + len(raw).to_bytes(4, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unshrunk(held: bytes) -> bytes:
+    """Little-endian unsigned 32-bit ids of what ``shrunk`` made."""
+    raw = pa.decompress(held[5:], int.from_bytes(held[1:5], "little"), "zstd", asbytes=True)
+    return np.frombuffer(raw, f"<u{held[0]}").astype("<u4").tobytes()
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str, text_col: str, with_ids: bool = False):
-    """id, doc_row, piece, start, length, ids_crc32, uid and the ids if wanted; doc_row tells equal rows apart, uid pieces."""
+    """id, doc_row, piece, start, length, ids_crc32, uid and the shrunk ids if wanted; doc_row tells equal rows apart, uid pieces."""
 
     def cut(texts):
         rows, at = [], 0
         for run in runs(texts):
             for ids in word_ids(tokenizer).of(run):
                 for k, start in enumerate(range(0, len(ids), capacity)):
-                    raw = ids[start : start + capacity].astype("<u4").tobytes()
-                    rows.append((at, k, start, len(raw) // 4, zlib.crc32(raw), raw if with_ids else None))
+                    part = ids[start : start + capacity]
+                    rows.append((at, k, start, len(part), zlib.crc32(part.astype("<u4").tobytes()), shrunk(part) if with_ids else None))
                 at += 1
         return [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 6
 
@@ -321,22 +334,26 @@ def pack(
     """
     rows = staged(pieces(docs, tokenizer, capacity, id_col, text_col, with_ids), "pack-pieces")
     whole = rows.where(F.col("length") >= capacity)
-    first = staged(packed_shards(rows.where(F.col("length") < capacity), capacity, 1), "pack-first")
+    first = staged(packed_shards(rows.where(F.col("length") < capacity).drop("ids"), capacity, 1), "pack-first")
     poor = F.col("fill") < capacity * DISSOLVED
     again = staged(first.where(poor).drop("shard", "bin", "offset", "fill"), "pack-poor")
     second = packed_shards(again, capacity, 2)
-    columns = ["id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "doc_row", "ids"]
+    columns = ["id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "doc_row"]
 
     def placed(df: DataFrame, kind: int) -> DataFrame:
         number = (F.col("shard") * MOST_BINS + F.col("bin")) * 3 + kind
-        return df.withColumn("sequence_id", number.cast("long")).select(*columns)
+        return df.withColumn("sequence_id", number.cast("long")).select(*columns, "uid")
 
     alone = whole.withColumn("offset", F.lit(0).cast("long")).withColumn(
         "sequence_id", F.monotonically_increasing_id() * 3 + 2
     )
-    out = placed(first.where(~poor), 0).unionByName(placed(second, 1)).unionByName(alone.select(*columns))
-    out = out.withColumnRenamed("id", id_col)
-    return out if with_ids else out.drop("ids")
+    out = placed(first.where(~poor), 0).unionByName(placed(second, 1))
+    if not with_ids:
+        return out.select(*columns).unionByName(alone.select(*columns)).withColumnRenamed("id", id_col)
+    # Ids stay in the first table while places are found, and travel once, shrunk.
+    out = out.join(rows.where(F.col("length") < capacity).select("uid", "ids"), "uid")
+    out = out.select(*columns, "ids").unionByName(alone.select(*columns, "ids"))
+    return scanned(out, "ids", columns, {"ids": "binary"}, lambda held: [list(map(unshrunk, held))]).withColumnRenamed("id", id_col)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm._common import bounded_batches, scanned, staged
+from siltbed.llm._common import bounded_batches, scanned, staged, trimmed
 from siltbed.llm.ngrams import chunked, hashed
 
 SIZES, BITS = (2, 3), 13
@@ -105,14 +105,17 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
     return out[1:], int(out[0])
 
 
-def basis_of(rows: np.ndarray, rank: int, rounds: int = 4) -> np.ndarray:
-    """The leading right singular vectors, by subspace iteration from a fixed start."""
-    rank = min(rank, *rows.shape)
-    start = np.random.default_rng(7).standard_normal((rows.shape[1], min(rank + 16, *rows.shape)))
+def basis_of(blocks, shape: tuple[int, int], rank: int, rounds: int = 4) -> np.ndarray:
+    """The leading right singular vectors, by subspace iteration from a fixed start.
+
+    blocks() gives the dense rows, some at a time, so that the whole matrix of ``shape`` is never held.
+    """
+    rank = min(rank, *shape)
+    start = np.random.default_rng(7).standard_normal((shape[1], min(rank + 16, *shape)))
     basis = np.linalg.qr(start.astype(np.float32))[0]
     for _ in range(rounds):
-        basis = np.linalg.qr(rows.T @ (rows @ basis))[0]
-    small = rows @ basis
+        basis = np.linalg.qr(sum(rows.T @ (rows @ basis) for rows in blocks()))[0]
+    small = np.concatenate([rows @ basis for rows in blocks()])
     _, turn = np.linalg.eigh(small.T @ small)
     return (basis @ turn[:, ::-1])[:, :rank].astype(np.float32)
 
@@ -163,15 +166,21 @@ def fit(
     sample = sample.orderBy("label_id").toPandas()  # at most sample_rows sparse rows
     model = NeighbourModel(idf, np.zeros((WIDTH, 1), np.float32), np.zeros((0, 2), np.float32), np.zeros(0), neighbours, again)
     if len(sample):
-        dense = np.zeros((len(sample), WIDTH), np.float32)
-        for i, (at, n) in enumerate(zip(sample["at"], sample["n"], strict=True)):
-            dense[i, np.frombuffer(at, np.uint16)] = np.frombuffer(n, np.int32)
-        for low in range(0, len(dense), BLOCK):
-            dense[low : low + BLOCK] = model.weighted(dense[low : low + BLOCK])
-        model.basis = basis_of(dense, rank)
+        cells = list(zip(sample["at"], sample["n"], strict=True))
+
+        def blocks():
+            for low in range(0, len(cells), BLOCK):
+                dense = np.zeros((min(BLOCK, len(cells) - low), WIDTH), np.float32)
+                for i, (at, n) in enumerate(cells[low : low + BLOCK]):
+                    dense[i, np.frombuffer(at, np.uint16)] = np.frombuffer(n, np.int32)
+                yield model.weighted(dense)
+
+        model.basis = basis_of(blocks, (len(cells), WIDTH), rank)
         repeats = sample["again"].to_numpy(np.float32)
-        model.refs = unit(np.column_stack([unit(dense @ model.basis), again * np.sqrt(repeats)]))
+        model.refs = unit(np.column_stack([unit(np.concatenate([rows @ model.basis for rows in blocks()])), again * np.sqrt(repeats)]))
         model.labels = sample["label"].to_numpy(float)
+        del sample, cells
+        trimmed()  # the driver too keeps what it held, beside all that the plans of later steps take
     return model
 
 

@@ -1,11 +1,14 @@
 """The pipeline's near-duplicate stage on copies that three words and 0.9 do not see, and on odd ids."""
 
+import os
 import random
 from itertools import combinations
 
 import corpus_pipeline
 from siltbed.llm import queries
 from tests.llm.test_jaccard import SF, WORD, brute_components
+from siltbed.llm import exact_dedup, jaccard_join
+from siltbed.stages import stage_root, staged
 
 NEAR = [(name, stage) for name, stage in corpus_pipeline.STAGES if name == "jaccard_join"]
 
@@ -63,3 +66,15 @@ def test_null_and_repeated_ids(spark):
         assert left.columns == docs.columns
         got = "".join(sorted(r["digest"] for r in left.collect()))
         assert got in ("bdfghjkl", "bdfgijkl")
+
+
+def test_stages_leave_no_wide_tables(spark):
+    root = stage_root(spark).removeprefix("file:")
+    held = lambda: {n for n in os.listdir(f"{root}/tables") if n.startswith(("jaccard-signatures", "jaccard-nodes", "dedup-runs", "dedup-level1", "dedup-verified", "dedup-decided"))}
+    docs = spark.createDataFrame([(i, f"a b c d e f g {i % 9} h i j k l m") for i in range(30)], "doc_id long, text string")
+    staged(docs, "near-test")
+    before = held()
+    left = exact_dedup.without_copies(docs, keep="max")
+    assert sorted(r["doc_id"] for r in left.collect()) == list(range(21, 30))
+    assert jaccard_join.without_near_copies(docs).count() == 9
+    assert held() == before

@@ -50,6 +50,27 @@ def test_query(spark):
     assert used <= -(-sum(r["length"] for r in rows) // 2048) + 2
 
 
+def test_ids_are_written_once(spark, monkeypatch):
+    written, staged = [], packing.staged
+    monkeypatch.setattr(packing, "staged", lambda df, label, **options: written.append((label, df.columns)) or staged(df, label, **options))
+    plain, words = Tokenizer.from_file(PATH), ["ab", "é", "word", "x!", "1999"]
+    texts = {i: " ".join(words[(i * k) % 5] for k in range(i % 40)) for i in range(200)} | {900: "long " * 5000}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    rows = packing.pack(docs, PATH, with_ids=True).collect()
+    assert [label for label, columns in written if "ids" in columns] == ["pack-pieces"]
+    checked(rows, 2048)
+    found = {}
+    for r in sorted(rows, key=lambda r: r["start"]):
+        assert zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"]
+        found.setdefault(r["doc_id"], []).extend(np.frombuffer(r["ids"], "<u4").tolist())
+    assert found == {k: plain.encode(t, add_special_tokens=False).ids + [0] for k, t in texts.items()}
+
+
+def test_shrunk_ids_come_back():
+    for ids in ([], [0], [65535, 1], [65536, 3], list(range(49408))):
+        assert packing.unshrunk(packing.shrunk(np.array(ids, np.uint32))) == np.array(ids, "<u4").tobytes()
+
+
 def test_crossover_keeps_every_item():
     rng = random.Random(3)
     sizes = [rng.randint(1, 100) for _ in range(300)]
