@@ -8,7 +8,8 @@ texts out, whose histograms say little.
 
 A class is counted as what a pattern's removal takes off the text, each from what the last one left, so that only the
 first works on the whole text; a common word as what its removal takes off the list of words. Repeated windows are those
-that stand beside an equal one in the sorted list of "window, line feed, place" (no word holds a line feed). Nothing of a
+that stand beside an equal one in the sorted list of "window, line feed, place" (no word holds a line feed), which is made of
+windows that share a hash only. Nothing of a
 document is shuffled; profiles are sums over all documents of a language.
 
 Defined results: a null text has no words; a language without ``least_words`` words in all, or a null one, has no profile
@@ -50,25 +51,32 @@ def repeated_lines(text: Column) -> Column:
     return (F.size(full) - F.size(F.array_distinct(full))).cast("long")
 
 
-def windows(words: str, width: int) -> Column:
-    """"window, line feed, place" of each window of so many words."""
+def windows(words: str, places: str, width: int) -> Column:
+    """"window, line feed, place" of the windows of so many words at ``places``."""
     parts = [f"{words}[cast(i + {k} as int)]" for k in range(width)]
     text = ", ' ', ".join(parts)
-    return F.expr(f"transform(sequence(0L, greatest(size({words}) - {width}, 0)), i -> concat({text}, '\n', i))")
+    return F.expr(f"transform({places}, i -> concat({text}, '\n', i))")
 
 
 def with_repeated_words(docs: DataFrame, words: str, width: int = 3) -> DataFrame:
     """Adds ``n_repeat_words``: words that lie in a window found twice or more.
 
-    A text whose windows all have hashes of their own repeats none. Of the others the windows are sorted: places of
-    repeated ones come in the order of their windows' bytes; sorted again, each covers the words up to the next place, at
-    most ``width``.
+    A text whose windows all have hashes of their own repeats none. In the others 33 bits of each hash are sorted with the
+    window's place behind them; windows beside an equal hash, and no others, may be repeated. Those are sorted as texts:
+    places of repeated ones come in the order of their windows' bytes; sorted again, each covers the words up to the next
+    place, at most ``width``.
     """
     parts = ", ".join(f"{words}[i + {k}]" for k in range(width))
     hashes = F.expr(f"transform(sequence(0, size({words}) - {width}), i -> xxhash64({parts}))")
     out = docs.withColumn("hashes", F.when(F.size(words) > width, hashes))
     twice = F.size(F.array_distinct("hashes")) < F.size("hashes")
-    out = out.withColumn("sorted", F.when(twice, F.sort_array(windows(words, width))).otherwise(F.array().cast("array<string>"))).drop("hashes")
+    packed = F.expr("sort_array(transform(hashes, (h, i) -> (h & -2147483648L) | i))")
+    out = out.withColumn("packed", F.when(twice, packed)).drop("hashes")
+    beside = "zip_with(slice(packed, 1, size(packed) - 1), slice(packed, 2, size(packed) - 1), (a, b) -> if(shiftright(a, 31) = shiftright(b, 31), array(a, b), NULL))"
+    beside = F.expr(f"transform(array_distinct(flatten(filter({beside}, x -> x IS NOT NULL))), x -> x & 2147483647L)")
+    out = out.withColumn("beside", F.when(F.col("packed").isNotNull(), beside)).drop("packed")
+    named = F.when(F.col("beside").isNotNull(), F.sort_array(windows(words, "beside", width)))
+    out = out.withColumn("sorted", F.coalesce(named, F.array().cast("array<string>"))).drop("beside")
     out = out.withColumn("names", F.expr("transform(sorted, s -> substring_index(s, '\n', 1))"))
     twin = "(x, i) -> (i > 0 AND names[i] = names[greatest(i - 1, 0)]) OR (i + 1 < size(names) AND names[i] = names[least(i + 1, size(names) - 1)])"
     out = out.withColumn("places", F.expr(f"sort_array(transform(filter(sorted, {twin}), s -> cast(substring_index(s, '\n', -1) as long)))"))
