@@ -2,7 +2,8 @@
 
 Equal sets are one node. Relations between sets spare work twice. *Answers are derived.* A set's hashes fall into
 ``BINS`` bins and the least of each bin is a key; of all nodes with one key, each meets only the
-key's leader, so that a group of any size gives pairs in proportion to it. Every node's most alike of these is verified, then the others that
+key's leaders, so that a group of any size gives pairs in proportion to it: one by id or chance, and the one of fewest
+rare shingles, which most of a large group is near. Every node's most alike of these is verified, then the others that
 are in another component still; those that link become members of that leader at a known distance. What follows looks
 only for links *between* components: members of one component have their answer. Leaders are looked up first, and a
 leader's answer bounds its members' answers by the triangle inequality of Jaccard distance: only where that leaves room
@@ -118,16 +119,19 @@ def bin_minima(s: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """id, text_hash, n, node (hash of the set), keys, sketch (of the keys), prefix and range counts, for each row."""
+    """id, text_hash, n, node (hash of the set), keys, sketch (of the keys), rare, prefix and range counts, for each row.
+
+    Where most shingles are frequent ones, rare is what the others are fewer, as a negative number; else 0.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(levels_of(docs, text_col, width))
 
     def sign(texts):
         levels = shared.value
-        n, node, keys, sketch, prefix, counts = [], [], [], [], [], []
+        n, node, keys, sketch, rare, prefix, counts = [], [], [], [], [], [], []
         for s in shingle_sets(texts, width):
             n.append(len(s))
             if not len(s):
-                for column in (node, keys, sketch, prefix, counts):
+                for column in (node, keys, sketch, rare, prefix, counts):
                     column.append(None)
                 continue
             node.append(xxhash.xxh3_128_digest(s.tobytes()))
@@ -135,12 +139,13 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
             keys.append(least)
             sketch.append(packed)
             level = levels[(s >> np.uint64(64 - BITS)).astype(np.int64)]
+            rare.append(min(0, 2 * int((level == 0).sum()) - len(s)))
             order = np.argsort(level, kind="stable")  # the set is sorted: ties by hash
             prefix.append(s[order[: len(s) - -(-percent * len(s) // 100) + 1]].astype(np.int64))
             counts.append(range_counts(s))
-        return n, node, keys, sketch, prefix, counts
+        return n, node, keys, sketch, rare, prefix, counts
 
-    added = {"n": "long", "node": "binary", "keys": "array<long>", "sketch": "long", "prefix": "array<long>", "counts": "binary"}
+    added = {"n": "long", "node": "binary", "keys": "array<long>", "sketch": "long", "rare": "long", "prefix": "array<long>", "counts": "binary"}
     return staged(scanned(keyed(docs, id_col, text_col), "raw", ["id", "text_hash"], added, sign), "jaccard-signatures")
 
 
@@ -177,7 +182,7 @@ class SetJoin:
         self.signed = signatures(docs, id_col, text_col, width, percent)
         # Smaller sets link with nothing but their equals.
         self.least_size = -(-percent // (100 - percent)) if percent < 100 else 1 << 40
-        first = F.min(F.struct("text_hash", "id", "n", "keys", "sketch", "counts")).alias("first")
+        first = F.min(F.struct("text_hash", "id", "n", "keys", "sketch", "rare", "counts")).alias("first")
         nodes = self.signed.where(F.col("n") >= self.least_size).groupBy("node").agg(first)
         self.nodes = staged(nodes.select("node", "first.*"), "jaccard-nodes")
 
@@ -258,33 +263,40 @@ class SetJoin:
 
     def stars(self) -> tuple[DataFrame, DataFrame]:
         """Labels after the links of nodes with the leader of a key; and members: node, leader, distance."""
-        keys = self.nodes.select(F.col("node").alias("a"), "id", "n", "sketch", F.explode("keys").alias("key"))
+        keys = self.nodes.select(F.col("node").alias("a"), "id", "n", "sketch", "rare", F.explode("keys").alias("key"))
         shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("count")).where("count > 1").select("key")
         shared = staged(shared, "jaccard-keys")
         keys = keys.join(small(shared), "key", "left_semi")
         # In most bins the least id leads, as a text mostly comes before what was made from it; in the others chance decides.
         early = F.col("key").bitwiseAND(F.lit(3)) != 3
         rank = F.struct(early & F.col("id").isNull(), F.when(early, F.col("id")), F.xxhash64("a", "key"), "a", "n", "sketch")
-        leaders = keys.groupBy("key").agg(F.min(rank).alias("first"))
-        leaders = leaders.select("key", F.col("first.a").alias("b"), F.col("first.n").alias("n_b"), F.col("first.sketch").alias("sketch_b"))
+        # And the set of fewest rare shingles leads: what a large group was made from, whatever its id.
+        central = F.struct("rare", F.xxhash64("a", "key"), "a", "n", "sketch")
+        leaders = keys.groupBy("key").agg(F.min(rank).alias("first"), F.min(central).alias("central"))
+        chosen = [(F.when(early, 0).otherwise(1), F.lit(0).cast("long"), "first"), (F.lit(2), -F.col("central.rare"), "central")]
+        chosen = [F.struct(kind.alias("kind"), worth.alias("worth"), F.col(f"{of}.a").alias("b"), F.col(f"{of}.n").alias("n_b"), F.col(f"{of}.sketch").alias("sketch_b")) for kind, worth, of in chosen]
+        leaders = leaders.select("key", F.inline(F.array(*chosen)))
         led = staged(leaders, "jaccard-leaders")
         leaders = small(led)
         alike = (F.col("n") * 100 >= F.col("n_b") * self.percent) & (F.col("n_b") * 100 >= F.col("n") * self.percent)
         agree = agreeing(F.col("sketch"), F.col("sketch_b"))
-        # Agreement of bins only says which pairs are worth a try here; links that it misses are found later.
-        likely = (agree + 2) * 100 > BINS * self.percent
+        # Agreement of bins only says which pairs are worth a try here; links that it misses are found later. A central
+        # leader links with most of a large group, and what misses it meets all that group's members in the lists.
+        likely = (agree + F.when(F.col("kind") == 2, 4).otherwise(2)) * 100 > BINS * self.percent
         pairs = keys.join(leaders, "key").where((F.col("a") != F.col("b")) & alike & likely)
-        pairs = staged(pairs.select("a", "b", agree.alias("agree"), early.alias("early")).distinct(), "jaccard-star-pairs")
+        pairs = staged(pairs.select("a", "b", agree.alias("agree"), "kind", "worth").distinct(), "jaccard-star-pairs")
         dropped(shared, led)
         sets = self.sets_of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))))
-        best = pairs.groupBy("a", "early").agg(F.max(F.struct("agree", "b")).alias("best")).select("a", "best.b")
+        best = pairs.groupBy("a", "kind").agg(F.max(F.struct("worth", "agree", "b")).alias("best")).select("a", "best.b")
+        best = staged(best.distinct(), "jaccard-star-best")
         links = self.links_of(best, sets)
         labels = staged(components(links), "jaccard-labels")
-        more = self.apart_still(pairs, labels).groupBy("a", "label_b").agg(F.max(F.struct("agree", "b")).alias("best"))
+        untried = pairs.join(small(best), ["a", "b"], "left_anti")
+        more = self.apart_still(untried, labels).groupBy("a", "label_b").agg(F.max(F.struct("agree", "b")).alias("best"))
         more = self.links_of(more.select("a", "best.b"), sets)
         if not more.isEmpty():
             labels = merged(labels, more)
-        dropped(sets, pairs, more)
+        dropped(sets, pairs, best, more)
         # Members of a leader that is a member itself stand alone: then every distance is to a cluster's own leader.
         moved = staged(links.select(F.col("a").alias("moved")).distinct(), "jaccard-moved")
         members = links.join(small(moved), F.col("b") == F.col("moved"), "left_anti").groupBy(F.col("a").alias("node"))
@@ -339,15 +351,17 @@ class SetJoin:
         def band(n):
             return F.floor(F.log(F.col(n)) / step)
 
-        def side(name: str, beyond: int) -> DataFrame:
+        def side(name: str, beyond: int, entries: DataFrame) -> DataFrame:
             bands = F.explode(F.sequence(band("low"), band("high") + beyond)).alias("band")
-            return lists.select("token", bands, *[F.col(c).alias(f"{c}_{name}") for c in ("cluster", "label", "low", "high", "at")])
+            return entries.select("token", bands, *[F.col(c).alias(f"{c}_{name}") for c in ("cluster", "label", "low", "high", "at")])
 
-        # The larger set of a link is in the smaller one's band or in the next.
-        met = side("a", 1).join(side("b", 0), ["token", "band"]).where(
+        # Entry a has the smaller set of a link, so what follows its position holds the overlap of two of its size at least.
+        smaller = lists.where((F.col("high") - F.col("at")) * (100 + self.percent) >= 2 * F.col("low") * self.percent)
+        # The larger set of a link is in the smaller one's band or in the next; sets of equal size meet in one order only.
+        met = side("a", 1, smaller).join(side("b", 0, lists), ["token", "band"]).where(
             (F.col("label_a") != F.col("label_b"))
             & (F.col("low_b") * self.percent <= F.col("high_a") * 100)
-            & (F.col("low_a") <= F.col("high_b"))
+            & ((F.col("low_a") < F.col("high_b")) | (F.col("low_a") == F.col("high_b")) & (F.col("cluster_a") < F.col("cluster_b")))
             & self.room(*[F.col(c) for c in ("low_a", "low_b", "high_a", "high_b", "at_a", "at_b")])
         )
         pairs = met.select(

@@ -83,6 +83,26 @@ def test_chains_near_the_threshold(spark):
     compare(spark, dict(enumerate(texts)), percent=80)
 
 
+def test_a_large_group_without_its_first_text_first(spark):
+    """What the copies were made from has the largest id, so no least id is near them all; their pairs stay in proportion."""
+    rng = random.Random(12)
+    base = drifting(60, 150, 1, 0)[0].split()
+    texts = []
+    for _ in range(400):
+        words = list(base)
+        for _ in range(rng.choice((1, 2, 3, 3, 5, 7))):
+            words[rng.randrange(len(words))] = f"v{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    texts = dict(enumerate([*texts, " ".join(base)]))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    join = jaccard_join.SetJoin(docs, width=5, percent=80)
+    labels, members = join.stars()
+    assert join.cluster_pairs(join.lists(labels, members)).count() < 3 * len(texts)
+    grams = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in texts.items())}
+    rows = jaccard_join.near_duplicate_groups(docs, width=5, percent=80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == brute_components(grams, 80)
+
+
 def test_odd_rows(spark):
     long = " ".join(f"x{i}" for i in range(30_000))
     docs = spark.createDataFrame(
