@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,16 +116,16 @@ def adjacent_merged(df: DataFrame, key: str, gap: float = 0.35) -> DataFrame:
                 elif t:
                     out += [open_] if open_ else []
                     open_, run = [k, s, e, t], (k, r)
-            yield _segments(out, kind, schema.names)
+            yield _rows(out, kind, schema.names, pa.string())
         if open_:
-            yield _segments([open_], kind, schema.names)
+            yield _rows([open_], kind, schema.names, pa.string())
 
     ordered = rows.repartition(key, "run").sortWithinPartitions(key, "run", "start", "end", "text")
     return ordered.mapInArrow(fold, schema)
 
 
-def _segments(rows: list[list], kind: pa.DataType, names: list[str]) -> pa.RecordBatch:
-    kinds = [kind, pa.float64(), pa.float64(), pa.string()]
+def _rows(rows: list[list], kind: pa.DataType, names: list[str], last: pa.DataType) -> pa.RecordBatch:
+    kinds = [kind, pa.float64(), pa.float64(), last]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
@@ -135,23 +134,30 @@ def chunked(df: DataFrame, key: str, window: float, most: float = 1.25, duration
 
     Segments are clipped to the recording, empty ones left out. A segment joins the open chunk while its end is at most
     ``most`` windows from the chunk's start, else opens the next. More than half a second before the first chunk or
-    after the last is a window of its own, without segments. Runs between which no chunk can reach fold apart.
+    after the last is a window of its own, without segments. Runs between which no chunk can reach fold apart; they are
+    streamed over sorted partitions with only the open chunk in memory. Null keys are one key.
     """
     clipped = df.select(key, F.greatest(F.lit(0.0), F.col("start")).alias("start"), F.least(F.col(duration), F.col("end")).alias("end"), F.col(duration).alias("duration"))
-    clipped = chunk_runs(clipped.where("end > start"), key, window, most)
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        out: list[list] = []
-        for k, s, e in pdf.sort_values(["start", "end"])[[key, "start", "end"]].itertuples(index=False):
-            if out and e - out[-1][1] <= window * most:
-                out[-1][2], out[-1][3] = max(out[-1][2], e), out[-1][3] + 1
-            else:
-                out.append([k, s, e, 1])
-        return pd.DataFrame(out, columns=[key, "start", "end", "segments"])
-
-    kind = df.schema[key].dataType
-    schema = T.StructType([T.StructField(key, kind), *T.StructType.fromDDL("start double, end double, segments long").fields])
-    chunks = staged(clipped.groupBy(key, "run").applyInPandas(fold, schema), "chunks")
+    clipped = clipped.where("end > start")
+    schema = T.StructType([df.schema[key], *T.StructType.fromDDL("start double, end double, segments long").fields])
+
+    def fold(batches):
+        open_, run = None, None
+        for batch in batches:
+            kind, out = batch.schema.field(0).type, []
+            for k, r, s, e in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if run == (k, r) and e - open_[1] <= window * most:
+                    open_[2], open_[3] = max(open_[2], e), open_[3] + 1
+                else:
+                    out += [open_] if open_ else []
+                    open_, run = [k, s, e, 1], (k, r)
+            yield _rows(out, kind, schema.names, pa.int64())
+        if open_:
+            yield _rows([open_], kind, schema.names, pa.int64())
+
+    runs = chunk_runs(clipped, key, window, most).select(key, "run", F.col("start").cast("double"), F.col("end").cast("double"))
+    ordered = runs.repartition(key, "run").sortWithinPartitions(key, "run", "start", "end")
+    chunks = staged(ordered.mapInArrow(fold, schema), "chunks")
     ends = chunks.groupBy(key).agg(F.min("start").alias("first"), F.max_by("end", F.struct("start", "end")).alias("last"))
     ends = ends.join(clipped.groupBy(key).agg(F.max("duration").alias("duration")), key)
     none = F.lit(0).cast("long").alias("segments")
