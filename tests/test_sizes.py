@@ -4,7 +4,9 @@ import time
 
 from pyspark.sql import functions as F
 
-from siltbed.operators import intervals
+from siltbed.functions import geometry as gm
+from siltbed.operators import intervals, spatial
+from siltbed.operators import shapes as sh
 
 
 def test_chunks_of_many_short_runs(spark):
@@ -14,3 +16,58 @@ def test_chunks_of_many_short_runs(spark):
     got = intervals.chunked(rows, "key", 20.0).groupBy("start", "end", "segments").count().collect()
     assert time.monotonic() - began < 25
     assert sorted(map(tuple, got)) == [(0.0, 8.0, 2, 6000), (8.0, 9.0, 0, 6000)]
+
+
+def joined_rows(monkeypatch, module, label):
+    """What is written under the label, as a list that fills while a query runs."""
+    seen, real = [], module.staged
+
+    def staged(df, name, **options):
+        out = real(df, name, **options)
+        if name == label:
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "staged", staged)
+    return seen
+
+
+TEXTS = ('{"type":"Point","coordinates":[1,1]}', '{"type":"Polygon","coordinates":[[[0,0],[2,0],[2,2],[0,2],[0,0]]]}', '{"type":"LineString","coordinates":[[1,1],[5,1]]}', '{"type":"Point","coordinates":[8,8]}')
+
+
+def copies(spark, n):
+    text = F.element_at(F.array(*map(F.lit, TEXTS)), (F.col("id") % len(TEXTS) + 1).cast("int"))
+    return gm.with_shape(spark.range(n).select("id", text.alias("text")), "text").select("id", "shape")
+
+
+def by_kinds(rows, *columns):
+    """How often each two kinds and values meet."""
+    n = len(TEXTS)
+    return {tuple(r)[:-1]: r["count"] for r in rows.groupBy((F.col("left_id") % n).alias("a"), (F.col("right_id") % n).alias("b"), *columns).count().collect()}
+
+
+def test_equal_shapes_are_related_once(spark, monkeypatch):
+    """Forty copies of each of four shapes: 4 x 4 shapes are compared, and 160 x 160 pairs told."""
+    pairs = joined_rows(monkeypatch, sh, "shapes-pairs")
+    many = copies(spark, 160).unionByName(copies(spark, 4))  # repeated rows count once
+    got = by_kinds(sh.relate(many, many).where("intersects"), "within", "contains", "crosses")
+    assert max(pairs) <= 16
+    assert got == {key: n * 1600 for key, n in by_kinds(sh.relate(copies(spark, 4), copies(spark, 4)).where("intersects"), "within", "contains", "crosses").items()} and len(got) > 5
+
+
+def test_near_copies_are_measured_once(spark, monkeypatch):
+    pairs = joined_rows(monkeypatch, sh, "near-pairs")
+    many = copies(spark, 160)
+    got = by_kinds(sh.near(many, many, 500_000.0), F.round("distance", 3))
+    assert max(pairs) <= 16
+    assert got == {key: n * 1600 for key, n in by_kinds(sh.near(copies(spark, 4), copies(spark, 4), 500_000.0), F.round("distance", 3)).items()} and len(got) > 5
+
+
+def test_equal_places_meet_equal_rings_once(spark, monkeypatch):
+    """Of ids that share a place or a ring, and of repeated rows, all pairs are told; places without a coordinate are in none."""
+    found = joined_rows(monkeypatch, spatial, "places-in-rings")
+    points = spark.range(600).select((F.col("id") % 300).alias("id"), (F.col("id") % 3 * 1.0).alias("lat"), F.when(F.col("id") % 100 > 0, 0.5).alias("lon"))
+    ring = F.array(*[F.struct(F.lit(x).alias("lon"), F.lit(y).alias("lat")) for x, y in ((0.0, -0.5), (1.0, -0.5), (1.0, 1.5), (0.0, 1.5), (0.0, -0.5))])
+    got = spatial.in_polygons(points, spark.range(70).select(F.col("id").alias("polygon_id"), ring.alias("ring")), 1.0)
+    assert got.count() == 2 * 198 * 70 and got.distinct().count() == 198 * 70
+    assert found == [2]
