@@ -9,6 +9,7 @@ from siltbed.functions import geometry as gm
 from siltbed.operators import hulls
 from siltbed.operators import shapes as sh
 from siltbed.sources import fixtures as fx
+from siltbed.stages import numbered, staged
 
 # Hundredths of a degree: a supplier's ring with a hole, and a customer's line, box and large box.
 OUTER, HOLE = (0, 0, 100, 80), (20, 20, 60, 50)
@@ -57,7 +58,9 @@ def supplier_shapes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _shapes(df: DataFrame) -> DataFrame:
-    return gm.with_shape(df, "text").select("id", "shape")
+    """id, shape; each text is read once, however many have it."""
+    texts, ids = numbered(df, ["text"], "kind", "texts")
+    return ids.join(staged(gm.with_shape(texts, "text").select("kind", "shape"), "texts-shapes"), "kind").select("id", "shape")
 
 
 def spatial_relations(spark: SparkSession, sf: str) -> DataFrame:

@@ -71,3 +71,9 @@ def test_equal_places_meet_equal_rings_once(spark, monkeypatch):
     got = spatial.in_polygons(points, spark.range(70).select(F.col("id").alias("polygon_id"), ring.alias("ring")), 1.0)
     assert got.count() == 2 * 198 * 70 and got.distinct().count() == 198 * 70
     assert found == [2]
+
+
+def test_an_id_with_several_shapes_has_the_least(spark):
+    rows = spark.createDataFrame([(1, TEXTS[0]), (1, TEXTS[3]), (1, TEXTS[0]), (2, TEXTS[3]), (None, TEXTS[0])], "id long, text string")
+    rows = gm.with_shape(rows, "text").select("id", "shape")
+    assert sorted((r["left_id"], r["right_id"]) for r in sh.relate(rows, rows).where("intersects").collect()) == [(1, 1), (2, 2)]
