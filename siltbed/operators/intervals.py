@@ -79,8 +79,10 @@ def even_subsample(df: DataFrame, key: list[str], order: list, keep: int) -> Dat
     """At most ``keep`` rows of each key, evenly spread with both ends; places are rounded half to even."""
     w = Window.partitionBy(*key)
     numbered = df.withColumn("place", F.row_number().over(w.orderBy(*order)) - 1).withColumn("count", F.count(F.lit(1)).over(w))
-    steps = F.transform(F.sequence(F.lit(0), F.lit(keep - 1)), lambda i: F.bround(i * (F.col("count") - 1) / F.lit(keep - 1)).cast("int"))
-    chosen = (F.col("count") <= keep) | F.array_contains(steps, F.col("place"))
+    # Steps are longer than a place, so only the step below a place and the next one can be rounded to it.
+    below = F.floor(F.col("place") * F.lit(keep - 1) / F.nullif(F.col("count") - 1, F.lit(0))).cast("long")
+    here = [F.bround(i * (F.col("count") - 1) / F.lit(keep - 1)).cast("int") == F.col("place") for i in (below, below + 1)]
+    chosen = F.when(F.col("count") <= keep, True).otherwise(here[0] | here[1])
     return numbered.where(chosen).drop("place", "count")
 
 

@@ -45,11 +45,11 @@ def profile(paths: DataFrame, cells: DataFrame, path: str, order: str, step: flo
     without a height gives no rows.
     """
     grid = paths.groupBy(path).agg(F.min("grid").alias("grid"))
-    rows = path_samples(paths, path, order, step).join(grid, path).withColumn("id", F.struct(path, "leg", "n"))
-    found = sp.sampled(rows.select("grid", "id", "x", "y"), cells).select(F.col("id").alias("at"), "value")
-    rows = rows.join(found, F.col("id") == F.col("at")).drop("at", "id")
-    lost = rows.where("value IS NULL").select(path).distinct()
-    rows = intervals.even_subsample(rows.join(lost, path, "left_anti"), [path], ["leg", "n"], keep)
+    rows = path_samples(paths, path, order, step).join(grid.hint("merge"), path)
+    at = F.struct(path, "leg", "n", "distance").alias("id")
+    found = sp.sampled(rows.select("grid", at, "x", "y"), cells).select("id.*", "x", "y", "value")
+    lost = F.max(F.col("value").isNull()).over(Window.partitionBy(path))
+    rows = intervals.even_subsample(found.withColumn("lost", lost).where("NOT lost").drop("lost"), [path], ["leg", "n"], keep)
     place = F.row_number().over(Window.partitionBy(path).orderBy("leg", "n"))
     return rows.select(path, place.alias("place"), "x", "y", "distance", "value")
 

@@ -5,7 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from siltbed.functions import geometry as gm
-from siltbed.operators import intervals, spatial
+from siltbed.operators import intervals, spatial, terrain
 from siltbed.operators import shapes as sh
 
 
@@ -77,3 +77,20 @@ def test_an_id_with_several_shapes_has_the_least(spark):
     rows = spark.createDataFrame([(1, TEXTS[0]), (1, TEXTS[3]), (1, TEXTS[0]), (2, TEXTS[3]), (None, TEXTS[0])], "id long, text string")
     rows = gm.with_shape(rows, "text").select("id", "shape")
     assert sorted((r["left_id"], r["right_id"]) for r in sh.relate(rows, rows).where("intersects").collect()) == [(1, 1), (2, 2)]
+
+
+def test_samples_do_not_go_through_the_driver(spark, tmp_path):
+    """Estimates by the size of files take exploded samples for a small table: only the grids' sizes, a row each, may be broadcast."""
+    spark.range(500).select(F.col("id").alias("path"), F.lit(0).alias("grid"), F.explode(F.array(F.lit(0), F.lit(1))).alias("j")).withColumn("x", F.col("j") * 4.0 + 1).withColumn("y", F.lit(2.0)).write.parquet(str(tmp_path / "p"))
+    spark.range(60).select(F.lit(0).alias("grid"), F.expr("cast(id div 10 as int)").alias("row"), F.expr("cast(id % 10 as int)").alias("col"), (F.col("id") * 1.0).alias("value")).write.parquet(str(tmp_path / "c"))
+    found = terrain.profile(spark.read.parquet(str(tmp_path / "p")), spark.read.parquet(str(tmp_path / "c")), "path", "j", 0.1, keep=7)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") <= 1 and plan.count("SortMergeJoin") >= 2
+    assert found.count() == 3500
+
+
+def test_even_places_are_those_of_all_steps(spark):
+    rows = spark.createDataFrame([(n, i) for n in (1, 2, 5, 6, 7, 11, 12, 50, 51) for i in range(n)], "k long, i long")
+    for keep in (2, 5, 6, 7):
+        got = sorted(map(tuple, intervals.even_subsample(rows, ["k"], ["i"], keep).select("k", "i").collect()))
+        assert got == sorted({(n, i) for n in (1, 2, 5, 6, 7, 11, 12, 50, 51) for i in (range(n) if n <= keep else [round(j * (n - 1) / (keep - 1)) for j in range(keep)])})
