@@ -1,11 +1,13 @@
 """Queries on inputs that are large in one way: many keys, many copies, many pairs."""
 
+import random
 import time
+from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
 from siltbed.functions import geometry as gm
-from siltbed.operators import intervals, spatial, terrain
+from siltbed.operators import dedup, intervals, spatial, terrain
 from siltbed.operators import shapes as sh
 
 
@@ -94,3 +96,30 @@ def test_even_places_are_those_of_all_steps(spark):
     for keep in (2, 5, 6, 7):
         got = sorted(map(tuple, intervals.even_subsample(rows, ["k"], ["i"], keep).select("k", "i").collect()))
         assert got == sorted({(n, i) for n in (1, 2, 5, 6, 7, 11, 12, 50, 51) for i in (range(n) if n <= keep else [round(j * (n - 1) / (keep - 1)) for j in range(keep)])})
+
+
+def test_few_titles_are_compared_and_none_is_lost():
+    rng = random.Random(8)
+    parts = ["the", "ing", "ou", "re", "st", "an", "or", "ti", "tion", "ha", "éa"]
+    titles = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 24))) for _ in range(240)]
+    titles += [t[:k] + rng.choice("xyz") + t[k + d :] for t in titles[:60] for k, d in ((rng.randrange(len(t)), rng.randrange(3)),)] + ["", "a", "ab", "aa"]
+    for least in (0.84, 0.6):
+        may = dedup.may_match(titles[::2], titles[1::2], least)
+        for i, a in enumerate(titles[::2]):
+            for j, b in enumerate(titles[1::2]):
+                assert may[i, j] or dedup.similarity(a, b, SequenceMatcher(None, "", b)) < least
+        assert least < 0.84 or may.mean() < 0.1
+
+
+def test_equal_similarities_take_few_rounds(spark, monkeypatch):
+    """Of 40 x 40 equal titles each round of best pairs takes one pair: forty rounds."""
+    chosen = joined_rows(monkeypatch, dedup, "chosen")
+    pairs = spark.range(1600).select((F.col("id") % 2).alias("block"), F.expr("id div 40").alias("left"), (F.col("id") % 40 + 100).alias("right"), F.lit(1.0).alias("similarity"))
+    got = {tuple(r) for r in dedup.greedy_matches(pairs).select("left", "right").collect()}
+    want, lefts, rights = set(), set(), set()
+    for r in sorted(pairs.collect(), key=lambda r: (r["similarity"], r["left"], r["right"]), reverse=True):
+        if (r["block"], r["left"]) not in lefts and (r["block"], r["right"]) not in rights:
+            want.add((r["left"], r["right"]))
+            lefts.add((r["block"], r["left"]))
+            rights.add((r["block"], r["right"]))
+    assert got == want and len(chosen) <= 4
