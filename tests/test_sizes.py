@@ -4,10 +4,11 @@ import random
 import time
 from difflib import SequenceMatcher
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from siltbed.functions import geometry as gm
-from siltbed.operators import dedup, intervals, spatial, terrain
+from siltbed.operators import dedup, intervals, prints, spatial, terrain
 from siltbed.operators import shapes as sh
 
 
@@ -123,3 +124,22 @@ def test_equal_similarities_take_few_rounds(spark, monkeypatch):
             lefts.add((r["block"], r["left"]))
             rights.add((r["block"], r["right"]))
     assert got == want and len(chosen) <= 4
+
+
+def test_agreement_in_pieces_is_the_count_of_bits(monkeypatch):
+    """Products of matrices over several pieces of a print give the counts of bits themselves."""
+    monkeypatch.setattr(prints, "PIECE", 32 * 20)
+    rng = np.random.default_rng(4)
+    left, right = ([rng.integers(0, 1 << 32, n, dtype=np.uint64).astype(np.uint32) for n in sizes] for sizes in ((15, 30, 90), (16, 41, 77, 100)))
+    right[3][5:95] = left[2]
+
+    def plain(a, b):
+        scores = [0.0]
+        for shift in range(-prints.SHIFTS, prints.SHIFTS + 1):
+            one, two = a[max(shift, 0) :], b[max(-shift, 0) :]
+            n = min(len(one), len(two))
+            if n >= prints.LEAST:
+                scores.append(1 - int(np.bitwise_count(one[:n] ^ two[:n]).sum()) / (n * 32.0))
+        return max(scores)
+
+    assert prints.agreement(left, right).tolist() == [[plain(a, b) for b in right] for a in left] and prints.agreement(left, right)[2, 3] == 1
